@@ -9,7 +9,9 @@ so agreement checks the Spark plans, not a shared code path.
 
 from __future__ import annotations
 
-from reelstar.plans.queries import INCREMENTAL_START
+from reelstar import schemas
+from reelstar.plans.queries import (EARLY_CUTOFF, INCREMENTAL_START, LANDING_TS,
+                                    MERGE_FIRST_CUTOFF)
 
 EVENT_TIME = "'%Y-%m-%dT%H:%M:%S.%gZ'"
 
@@ -38,6 +40,7 @@ def _event_select(copy: bool) -> str:
 def _media_select(second: bool) -> str:
     return f"""
   SELECT
+    'false' AS archived, CAST(p_partkey AS VARCHAR) AS id, 'Video' AS type,
     'm' || CAST(p_partkey + 10 AS VARCHAR) AS hashed_id,
     '2023-12-' || lpad(CAST(p_partkey % 28 + {2 if second else 1} AS VARCHAR), 2, '0')
       || 'T00:00:00+00:00' AS created,
@@ -79,7 +82,25 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
          try_cast(percent_viewed AS DOUBLE) AS percent_viewed,
          try_cast(ingest_ts AS TIMESTAMP) AS ingest_at, event_key, ingest_date
   FROM raw_events"""),
-    "fct_events_all": (("typed_events", "durations"), """
+    "fct_events_all": (("typed_events", "durations"), "<fct:typed_events>"),
+    "engagement_all": (("fct_events_all",), "<eng:fct_events_all>"),
+    "dim_visitors": (("raw_events",), """
+  SELECT visitor_key AS visitor_id, min(try_cast(received_at AS TIMESTAMP)) AS created_at,
+         max(ip) AS ip_address, max(country) AS country, max(region) AS region
+  FROM raw_events WHERE visitor_key IS NOT NULL GROUP BY visitor_key"""),
+    "bounds": (("raw_events",), f"""
+  SELECT min(CAST(try_strptime(received_at, {EVENT_TIME}) AS DATE)) AS first_event_date,
+         max(ingest_date) AS run_date
+  FROM raw_events"""),
+    "observed": (("raw_events",), f"""
+  SELECT DISTINCT CAST(try_strptime(received_at, {EVENT_TIME}) AS DATE) AS date
+  FROM raw_events WHERE try_strptime(received_at, {EVENT_TIME}) IS NOT NULL"""),
+}
+
+
+def _fct(src: str) -> str:
+    """fct_events over a typed-events relation: latest copy per key by window."""
+    return f"""
   SELECT r.media_id, r.visitor_id, r.created_at, CAST(r.created_at AS DATE) AS date,
          r.percent_viewed, d.duration * r.percent_viewed / 100 AS duration_viewed,
          CAST(r.created_at AS DATE) AS p_date
@@ -87,28 +108,60 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
           PARTITION BY media_id, visitor_id, created_at
           ORDER BY ingest_at DESC NULLS LAST, event_key DESC NULLS LAST,
                    percent_viewed DESC NULLS LAST) AS rn
-        FROM typed_events) r
+        FROM {src}) r
   LEFT JOIN durations d ON r.media_id = d.media_id
-  WHERE r.rn = 1"""),
-    "engagement_all": (("fct_events_all",), """
+  WHERE r.rn = 1"""
+
+
+def _eng(src: str) -> str:
+    return f"""
   SELECT media_id, visitor_id, date, count(created_at) AS play_count,
          round(sum(duration_viewed), 8) AS total_watch_time,
          round(avg(duration_viewed), 8) AS avg_watch_time_per_view,
          max(percent_viewed) AS max_percent_viewed,
          round(avg(percent_viewed), 8) AS avg_percent_viewed, date AS p_date
-  FROM fct_events_all GROUP BY media_id, visitor_id, date"""),
-    "dim_visitors": (("raw_events",), """
-  SELECT visitor_key AS visitor_id, min(try_cast(received_at AS TIMESTAMP)) AS created_at,
-         max(ip) AS ip_address, max(country) AS country, max(region) AS region
-  FROM raw_events WHERE visitor_key IS NOT NULL GROUP BY visitor_key"""),
-    "bounds": (("raw_events",), f"""
-  SELECT min(CAST(try_strptime(received_at, {EVENT_TIME}) AS DATE)) AS first_event_date,
-         max(ingest_date) AS run_date
-  FROM raw_events"""),
-    "observed": (("raw_events",), f"""
-  SELECT DISTINCT CAST(try_strptime(received_at, {EVENT_TIME}) AS DATE) AS date
-  FROM raw_events WHERE try_strptime(received_at, {EVENT_TIME}) IS NOT NULL"""),
-}
+  FROM {src} GROUP BY media_id, visitor_id, date"""
+
+
+def _full_columns(src: str, names: list[str], present: set[str], extra: str) -> str:
+    cols = [c if c in present else f"CAST(NULL AS VARCHAR) AS {c}" for c in names]
+    return f"SELECT {', '.join(cols)}, {extra} FROM {src}"
+
+
+_EVENT_PRESENT = {"country", "event_key", "ingest_ts", "ip", "media_id", "media_url",
+                  "percent_viewed", "received_at", "region", "visitor_key"}
+_MEDIA_PRESENT = {"archived", "id", "type", "hashed_id", "created", "duration", "name"}
+_DATED = f"CAST(try_strptime(received_at, {EVENT_TIME}) AS DATE)"
+
+CTES.update({
+    "raw_events_full": (("raw_events",), _full_columns(
+        "raw_events", schemas.RAW_EVENT_COLUMNS, _EVENT_PRESENT, "ingest_date")),
+    "raw_media_full": (("raw_media",), _full_columns(
+        "raw_media", schemas.RAW_MEDIA_COLUMNS, _MEDIA_PRESENT, "ingest_date")),
+    "original_events": (("ev",), _event_select(False)),
+    "landed_pages": (("original_events",), _full_columns(
+        "original_events", schemas.RAW_EVENT_COLUMNS, _EVENT_PRESENT - {"ingest_ts"},
+        f"'{LANDING_TS}' AS ingest_ts, DATE '{LANDING_TS[:10]}' AS ingest_date")
+        .replace("CAST(NULL AS VARCHAR) AS ingest_ts, ", "")),
+    "typed_since": (("typed_events",), f"""
+  SELECT * FROM typed_events WHERE CAST(created_at AS DATE) >= DATE '{INCREMENTAL_START}'"""),
+    "fct_since": (("typed_since", "durations"), "<fct:typed_since>"),
+    "typed_first": (("typed_events",), f"""
+  SELECT * FROM typed_events WHERE ingest_date <= DATE '{MERGE_FIRST_CUTOFF}'"""),
+    "fct_first": (("typed_first", "durations"), "<fct:typed_first>"),
+    "dim_dates_run": (("bounds",), "<cal:DATE '2024-01-29'>"),
+})
+
+
+def _body(name: str) -> str:
+    body = CTES[name][1]
+    if body.startswith("<fct:"):
+        return _fct(body[5:-1])
+    if body.startswith("<eng:"):
+        return _eng(body[5:-1])
+    if body.startswith("<cal:"):
+        return _calendar(_spine(body[5:-1], "run_date"))
+    return body
 
 
 def _calendar(spine_sql: str) -> str:
@@ -137,7 +190,7 @@ def _with(body: str, *needs: str) -> str:
 
     for n in needs:
         visit(n)
-    ctes = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order)
+    ctes = ",\n".join(f"{n} AS ({_body(n)}\n)" for n in order)
     return f"WITH {ctes}\n{body}"
 
 
@@ -153,4 +206,85 @@ def oracle_sql() -> dict[str, str]:
 SELECT s.date, o.date IS NOT NULL AS has_events
 FROM ({_spine("first_event_date", "run_date")}) s LEFT JOIN observed o ON s.date = o.date""",
                                      "bounds", "observed"),
+        "raw_scan": _with("SELECT * FROM raw_events_full", "raw_events_full"),
+        "raw_media_scan": _with("SELECT * FROM raw_media_full", "raw_media_full"),
+        "raw_ingest_date_counts": _with(
+            "SELECT ingest_date, count(*) AS rows FROM raw_events GROUP BY ingest_date",
+            "raw_events"),
+        "land_events": _with("SELECT * FROM landed_pages", "landed_pages"),
+        "land_media": _with("SELECT * FROM raw_media_full", "raw_media_full"),
+        "typed_visitors": _with("""
+SELECT visitor_key AS visitor_id, try_cast(received_at AS TIMESTAMP) AS created_at,
+       ip AS ip_address, country, region
+FROM raw_events WHERE visitor_key IS NOT NULL""", "raw_events"),
+        "typed_media": _with("SELECT * FROM media_typed", "media_typed"),
+        "typed_events": _with("""
+SELECT created_at, visitor_id, media_id, percent_viewed, ingest_at, event_key,
+       CAST(created_at AS DATE) AS date, CAST(created_at AS DATE) AS p_date
+FROM typed_events""", "typed_events"),
+        "event_watch_time": _with("""
+SELECT t.event_key, t.media_id, t.percent_viewed, d.duration,
+       d.duration * t.percent_viewed / 100 AS duration_viewed
+FROM typed_events t LEFT JOIN durations d ON t.media_id = d.media_id""",
+                                  "typed_events", "durations"),
+        "media_channel_counts": _with(
+            "SELECT channel, count(*) AS n_media FROM dim_media GROUP BY channel", "dim_media"),
+        "incremental_filter": _with(f"""
+SELECT event_key, media_id, received_at, ingest_date FROM raw_events
+WHERE {_DATED} >= DATE '{INCREMENTAL_START}'""", "raw_events"),
+        "latest_per_key": _with("""
+SELECT visitor_id, event_key, ingest_at, media_id, created_at, percent_viewed
+FROM (SELECT *, row_number() OVER (PARTITION BY visitor_id
+        ORDER BY ingest_at DESC NULLS LAST, event_key DESC NULLS LAST) AS rn
+      FROM typed_events WHERE visitor_id IS NOT NULL)
+WHERE rn = 1""", "typed_events"),
+        "media_with_url": _with("SELECT media_id, title, media_url FROM dim_media", "dim_media"),
+        "distinct_media_urls": _with("SELECT DISTINCT media_id, media_url FROM raw_events",
+                                     "raw_events"),
+        "affected_partitions": _with(
+            "SELECT p_date, count(*) AS rows FROM fct_since GROUP BY p_date", "fct_since"),
+        "pk_violations": _with(_pk_sql(), *_TABLE_CTES.values()),
+        "overwrite_table_roundtrip": _with("SELECT * FROM dim_visitors", "dim_visitors"),
+        "overwrite_partitions_merge": _with(f"""
+SELECT * FROM fct_first WHERE p_date < DATE '{INCREMENTAL_START}' OR p_date IS NULL
+UNION ALL
+SELECT * FROM fct_since""", "fct_first", "fct_since"),
+        "table_counts": _with(" UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS rows FROM {c}"
+            for t, c in _TABLE_CTES.items()), *_TABLE_CTES.values()),
+        "full_pipeline_counts": _with(" UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS rows, "
+            + ("count(DISTINCT p_date) AS partitions, "
+               "count(*) FILTER (WHERE p_date IS NULL) AS null_date_rows"
+               if t.startswith("fct") else
+               "CAST(0 AS BIGINT) AS partitions, CAST(0 AS BIGINT) AS null_date_rows")
+            + f" FROM {c}" for t, c in _TABLE_CTES.items()), *_TABLE_CTES.values()),
+        "incremental_equals_full": _with(" UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, 'rows' AS metric, count(*) AS value FROM {c}"
+            + (" WHERE p_date IS NOT NULL" if t.startswith("fct") else "")
+            + f" UNION ALL SELECT '{t}', 'mismatched_rows', CAST(0 AS BIGINT)"
+            for t, c in _TABLE_CTES.items()), *_TABLE_CTES.values()),
+        "stream_incremental": _with(
+            "SELECT * FROM engagement_all WHERE p_date IS NOT NULL", "engagement_all"),
     }
+
+
+# curated table -> CTE computing it
+_TABLE_CTES = {
+    "dim_dates": "dim_dates_run",
+    "dim_visitors": "dim_visitors",
+    "dim_media": "dim_media",
+    "fct_events": "fct_events_all",
+    "fct_media_engagement": "engagement_all",
+}
+
+
+def _pk_sql() -> str:
+    parts = []
+    for table, cte in _TABLE_CTES.items():
+        keys = ", ".join(schemas.PRIMARY_KEYS[table])
+        parts.append(f"SELECT '{table}' AS table_name, 'rows' AS metric, count(*) AS value "
+                     f"FROM {cte}")
+        parts.append(f"SELECT '{table}', 'duplicate_keys', count(*) FROM "
+                     f"(SELECT {keys} FROM {cte} GROUP BY {keys} HAVING count(*) > 1)")
+    return "\nUNION ALL\n".join(parts)

@@ -10,23 +10,35 @@ floating sums and averages are rounded to 8 decimals for the comparison
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar import schemas, session
-from reelstar.functions import parse_event_time
+from reelstar.functions import parse_event_time, watch_time
 from reelstar.operators import dims, facts
-from reelstar.operators.dedupe import latest_per_key
+from reelstar.operators.dedupe import key_violations, latest_per_key
+from reelstar.operators.joins import lookup_join
 from reelstar.operators.spine import date_spine_between
-from reelstar.sources import testdata
+from reelstar.plans.batch import run_batch
+from reelstar.plans.config import PipelineConfig
+from reelstar.sinks.tables import (ensure_tables, overwrite_partitions, overwrite_table,
+                                   table_counts)
+from reelstar.sources import landing, testdata
+from reelstar.sources.raw import ingest_date_counts, read_raw_events, read_raw_media
+from reelstar.streaming import incremental as incremental_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROUND = 8
 ROUNDED = ("total_watch_time", "avg_watch_time_per_view", "avg_percent_viewed")
-# Start of the incremental window used by the incremental queries.
+# Parameters of the job-level queries: start of the incremental window,
+# landing cut-offs of the earlier runs, and the landing time of the pages.
 INCREMENTAL_START = "2024-01-20"
+EARLY_CUTOFF = "2024-01-10"
+MERGE_FIRST_CUTOFF = "2024-01-22"
+LANDING_TS = "2024-02-02T00:00:00"
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -98,13 +110,315 @@ def q_spine_left_observed(spark, sf_dir):
             .select("date", F.coalesce("has_events", F.lit(False)).alias("has_events")))
 
 
+# --- raw zone: scans and landing ------------------------------------------
+
+def _landed(spark: SparkSession, sf_dir: str, events_filter=None) -> str:
+    """Land the raw inputs as JSON Lines under a fresh scratch root."""
+    ev, media = _inputs(spark, sf_dir)
+    root = session.scratch_path(spark, "raw")
+    landing.land(ev if events_filter is None else ev.where(events_filter), root, "events",
+                 "adapter")
+    landing.land(media, root, "media", "media")
+    return root
+
+
+def q_raw_scan(spark, sf_dir):
+    """JSON round trip of the raw events: every column as landed."""
+    return read_raw_events(spark, _landed(spark, sf_dir))
+
+
+def q_raw_media_scan(spark, sf_dir):
+    return read_raw_media(spark, _landed(spark, sf_dir))
+
+
+def q_raw_ingest_date_counts(spark, sf_dir):
+    """Rows per discovered landing partition."""
+    return ingest_date_counts(read_raw_events(spark, _landed(spark, sf_dir)))
+
+
+def q_land_events(spark, sf_dir):
+    """API pages -> records stamped with media and landing time -> JSON -> read."""
+    session.configure(spark)
+    root = session.scratch_path(spark, "land")
+    records = landing.records_from_pages(testdata.pages(spark, sf_dir), LANDING_TS)
+    batch = landing.batch_name(None, None)
+    landing.land_events(records, root, batch)
+    landing.land_events(records, root, batch)        # replayed batch replaces itself
+    return read_raw_events(spark, root)
+
+
+def q_land_media(spark, sf_dir):
+    """Media snapshots landed per day; a replayed day replaces its snapshot."""
+    _, media = _inputs(spark, sf_dir)
+    root = session.scratch_path(spark, "land")
+    landing.land_media(media, root)
+    first = media.where(F.col(schemas.RAW_PARTITION_COL) == F.lit(testdata.FIRST_SNAPSHOT_DATE))
+    landing.land_media(first, root)
+    return read_raw_media(spark, root)
+
+
+# --- projections, filters -------------------------------------------------
+
+def q_typed_visitors(spark, sf_dir):
+    ev, _ = _inputs(spark, sf_dir)
+    return dims.typed_visitors(ev)
+
+
+def q_typed_media(spark, sf_dir):
+    _, media = _inputs(spark, sf_dir)
+    return dims.typed_media(media)
+
+
+def q_typed_events(spark, sf_dir):
+    ev, _ = _inputs(spark, sf_dir)
+    t = facts.typed_events(ev)
+    return t.select(*t.columns, F.to_date("created_at").alias("date"),
+                    F.to_date("created_at").alias(schemas.TARGET_PARTITION_COL))
+
+
+def q_event_watch_time(spark, sf_dir):
+    """Every raw event with its media duration and seconds watched."""
+    ev, media = _inputs(spark, sf_dir)
+    t = facts.typed_events(ev)
+    joined = lookup_join(t, dims.media_durations(media), "media_id")
+    return joined.select("event_key", "media_id", "percent_viewed", "duration",
+                         watch_time("duration", "percent_viewed").alias("duration_viewed"))
+
+
+def q_media_channel_counts(spark, sf_dir):
+    ev, media = _inputs(spark, sf_dir)
+    return (dims.build_media(media, ev).groupBy("channel")
+            .agg(F.count(F.lit(1)).alias("n_media")))
+
+
+def q_incremental_filter(spark, sf_dir):
+    """Raw events dated on/after the window start (landing partitions pruned)."""
+    ev, _ = _inputs(spark, sf_dir)
+    return (facts.events_since(ev, INCREMENTAL_START)
+            .select("event_key", "media_id", "received_at", schemas.RAW_PARTITION_COL))
+
+
+# --- joins, aggregates, windows -------------------------------------------
+
+def q_latest_per_key(spark, sf_dir):
+    """Generic dedupe on another key: each visitor's latest landed event."""
+    ev, _ = _inputs(spark, sf_dir)
+    t = facts.typed_events(ev).where(F.col("visitor_id").isNotNull())
+    return latest_per_key(t, "visitor_id", ["ingest_at", "event_key"]).select(
+        "visitor_id", "event_key", "ingest_at", "media_id", "created_at", "percent_viewed")
+
+
+def q_media_with_url(spark, sf_dir):
+    ev, media = _inputs(spark, sf_dir)
+    return dims.build_media(media, ev).select("media_id", "title", "media_url")
+
+
+def q_distinct_media_urls(spark, sf_dir):
+    ev, _ = _inputs(spark, sf_dir)
+    return ev.select("media_id", "media_url").distinct()
+
+
+def q_affected_partitions(spark, sf_dir):
+    """Partitions an incremental run rewrites, with their row counts."""
+    return (_fct_events(spark, sf_dir, INCREMENTAL_START).groupBy(schemas.TARGET_PARTITION_COL)
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+def _built_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    ev, media = _inputs(spark, sf_dir)
+    bounds = _run_date_bounds(ev).withColumn("start", F.lit(dims.DEFAULT_DATES_START))
+    fct = facts.build_events(ev, dims.media_durations(media))
+    return {
+        "dim_dates": dims.dates_from_spine(date_spine_between(bounds, "start", "run_date")),
+        "dim_visitors": dims.build_visitors(ev),
+        "dim_media": dims.build_media(media, ev),
+        "fct_events": fct,
+        "fct_media_engagement": facts.build_media_engagement(fct),
+    }
+
+
+def _long(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _metric(df: DataFrame, table: str, metric: str, value) -> DataFrame:
+    return df.agg(value.cast("bigint").alias("value")).select(
+        F.lit(table).alias("table_name"), F.lit(metric).alias("metric"), "value")
+
+
+def q_pk_violations(spark, sf_dir):
+    """Rows and duplicated primary keys of each built table (expect 0)."""
+    frames = []
+    for table, df in _built_tables(spark, sf_dir).items():
+        keys = list(schemas.PRIMARY_KEYS[table])
+        frames.append(_metric(df, table, "rows", F.count(F.lit(1))))
+        frames.append(_metric(key_violations(df, keys), table, "duplicate_keys",
+                              F.count(F.lit(1))))
+    return _long(frames)
+
+
+# --- sinks and jobs -------------------------------------------------------
+
+def _scratch_db(spark: SparkSession) -> tuple[str, str]:
+    name = f"reelstar_{uuid.uuid4().hex[:10]}"
+    return name, session.scratch_path(spark, "wh")
+
+
+def _run_date(raw: DataFrame):
+    return raw.agg(F.max(schemas.RAW_PARTITION_COL)).first()[0]
+
+
+def q_overwrite_table_roundtrip(spark, sf_dir):
+    """dim_visitors written from early data, then fully replaced, read back."""
+    ev, _ = _inputs(spark, sf_dir)
+    db, wh = _scratch_db(spark)
+    ensure_tables(spark, db, wh)
+    early = ev.where(F.col(schemas.RAW_PARTITION_COL) <= F.lit(EARLY_CUTOFF).cast("date"))
+    overwrite_table(dims.build_visitors(early), f"{db}.dim_visitors")
+    overwrite_table(dims.build_visitors(ev), f"{db}.dim_visitors")
+    return _values(spark.table(f"{db}.dim_visitors"), "dim_visitors")
+
+
+def q_overwrite_partitions_merge(spark, sf_dir):
+    """Dynamic overwrite: a later rebuild of some days leaves the others."""
+    ev, media = _inputs(spark, sf_dir)
+    db, wh = _scratch_db(spark)
+    ensure_tables(spark, db, wh)
+    durations = dims.media_durations(media)
+    first = ev.where(F.col(schemas.RAW_PARTITION_COL) <= F.lit(MERGE_FIRST_CUTOFF).cast("date"))
+    overwrite_partitions(facts.build_events(first, durations), f"{db}.fct_events")
+    overwrite_partitions(facts.build_events(facts.events_since(ev, INCREMENTAL_START), durations),
+                         f"{db}.fct_events")
+    return _values(spark.table(f"{db}.fct_events"), "fct_events")
+
+
+def _full_run(spark, sf_dir) -> str:
+    root = _landed(spark, sf_dir)
+    db, wh = _scratch_db(spark)
+    run_date = _run_date(read_raw_events(spark, root))
+    run_batch(spark, PipelineConfig(source_path=root, target_db=db, warehouse_dir=wh,
+                                    dates_end=run_date))
+    return db
+
+
+def q_table_counts(spark, sf_dir):
+    """Row count of every table in the curated database after a full run."""
+    return table_counts(spark, _full_run(spark, sf_dir))
+
+
+def _table_summary(spark, db: str) -> DataFrame:
+    frames = []
+    for table in schemas.CURATED:
+        df = spark.table(f"{db}.{table}")
+        if schemas.PARTITION_COLS[table]:
+            pc = F.col(schemas.TARGET_PARTITION_COL)
+            parts, nulls = F.countDistinct(pc), F.sum(F.when(pc.isNull(), 1).otherwise(0))
+        else:
+            parts, nulls = F.lit(0), F.lit(0)
+        frames.append(df.agg(F.count(F.lit(1)).alias("rows"),
+                             parts.cast("bigint").alias("partitions"),
+                             F.coalesce(nulls, F.lit(0)).cast("bigint").alias("null_date_rows"))
+                      .select(F.lit(table).alias("table_name"), "*"))
+    return _long(frames)
+
+
+def q_full_pipeline_counts(spark, sf_dir):
+    """Full rebuild from landed JSON: rows, partitions, NULL-day rows per table."""
+    return _table_summary(spark, _full_run(spark, sf_dir))
+
+
+def _dated(df: DataFrame, table: str) -> DataFrame:
+    df = _values(df, table)
+    if schemas.PARTITION_COLS[table]:
+        df = df.where(F.col(schemas.TARGET_PARTITION_COL).isNotNull())
+    return df
+
+
+def q_incremental_equals_full(spark, sf_dir):
+    """Full run on early landings, then an incremental run after the rest
+    landed, against one full run over everything (dated partitions)."""
+    ev, media = _inputs(spark, sf_dir)
+    cut = F.lit(INCREMENTAL_START).cast("date")
+    root = session.scratch_path(spark, "raw")
+    landing.land(media, root, "media", "media")
+    landing.land(ev.where(F.col(schemas.RAW_PARTITION_COL) < cut), root, "events", "b1")
+    db_inc, wh = _scratch_db(spark)
+    late = ev.where(F.col(schemas.RAW_PARTITION_COL) >= cut)
+    run_date = _run_date(ev)
+    run_batch(spark, PipelineConfig(source_path=root, target_db=db_inc, warehouse_dir=wh,
+                                    dates_end=run_date))
+    landing.land(late, root, "events", "b2")
+    # the window starts at the earliest event day among the new landings
+    start = late.agg(F.min(F.to_date(parse_event_time("received_at")))).first()[0]
+    run_batch(spark, PipelineConfig(source_path=root, target_db=db_inc, warehouse_dir=wh,
+                                    mode="incremental", start_date=start, dates_end=run_date))
+    db_full, wh2 = _scratch_db(spark)
+    run_batch(spark, PipelineConfig(source_path=root, target_db=db_full, warehouse_dir=wh2,
+                                    dates_end=run_date))
+    frames = []
+    for table in schemas.CURATED:
+        a = _dated(spark.table(f"{db_inc}.{table}"), table)
+        b = _dated(spark.table(f"{db_full}.{table}"), table)
+        frames.append(_metric(a, table, "rows", F.count(F.lit(1))))
+        frames.append(_metric(a.exceptAll(b).unionByName(b.exceptAll(a)), table,
+                              "mismatched_rows", F.count(F.lit(1))))
+    return _long(frames)
+
+
+def q_stream_incremental(spark, sf_dir):
+    """availableNow file stream over two landings; dated engagement after both."""
+    ev, media = _inputs(spark, sf_dir)
+    cut = F.lit(INCREMENTAL_START).cast("date")
+    root = session.scratch_path(spark, "raw")
+    landing.land(media, root, "media", "media")
+    db, wh = _scratch_db(spark)
+    cfg = PipelineConfig(source_path=root, target_db=db, warehouse_dir=wh)
+    ckpt = session.scratch_path(spark, "stream")
+    landing.land(ev.where(F.col(schemas.RAW_PARTITION_COL) < cut), root, "events", "b1")
+    incremental_stream.run_available_now(spark, cfg, ckpt, max_files_per_trigger=64)
+    landing.land(ev.where(F.col(schemas.RAW_PARTITION_COL) >= cut), root, "events", "b2")
+    incremental_stream.run_available_now(spark, cfg, ckpt, max_files_per_trigger=64)
+    return _values(spark.table(f"{db}.fct_media_engagement"), "fct_media_engagement")
+
+
 def queries() -> dict[str, Query]:
     return {
+        # flagship and the five tables
         "fct_media_engagement": q_fct_media_engagement,
         "fct_events": q_fct_events,
         "dim_visitors": q_dim_visitors,
         "dim_media": q_dim_media,
         "dim_dates": q_dim_dates,
+        # generators and joins on the calendar
         "date_spine": q_date_spine,
         "spine_left_observed": q_spine_left_observed,
+        # raw zone
+        "raw_scan": q_raw_scan,
+        "raw_media_scan": q_raw_media_scan,
+        "raw_ingest_date_counts": q_raw_ingest_date_counts,
+        "land_events": q_land_events,
+        "land_media": q_land_media,
+        # projections and filters
+        "typed_visitors": q_typed_visitors,
+        "typed_media": q_typed_media,
+        "typed_events": q_typed_events,
+        "event_watch_time": q_event_watch_time,
+        "media_channel_counts": q_media_channel_counts,
+        "incremental_filter": q_incremental_filter,
+        # joins, aggregates, dedupe
+        "latest_per_key": q_latest_per_key,
+        "media_with_url": q_media_with_url,
+        "distinct_media_urls": q_distinct_media_urls,
+        "affected_partitions": q_affected_partitions,
+        "pk_violations": q_pk_violations,
+        # sinks and jobs
+        "overwrite_table_roundtrip": q_overwrite_table_roundtrip,
+        "overwrite_partitions_merge": q_overwrite_partitions_merge,
+        "table_counts": q_table_counts,
+        "full_pipeline_counts": q_full_pipeline_counts,
+        "incremental_equals_full": q_incremental_equals_full,
+        "stream_incremental": q_stream_incremental,
     }
