@@ -19,6 +19,7 @@ from reelstar import schemas
 
 log = logging.getLogger("reelstar")
 _ids = itertools.count()
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 @dataclass
@@ -84,8 +85,15 @@ def _write(df: DataFrame, table: str, partition_col: str | None, dry_run: bool,
         # Cluster rows of a day together so each task writes few files; AQE
         # splits a heavy day and merges light ones (no single-task day).
         observed = observed.hint("rebalance", partition_col)
-    (observed.write.option("partitionOverwriteMode", mode)
-     .insertInto(table, overwrite=True))
+    # insertInto takes the overwrite mode from the session, not from writer
+    # options: switch it for this write only.
+    conf = df.sparkSession.conf
+    previous = conf.get(_OVERWRITE_MODE, "static")
+    conf.set(_OVERWRITE_MODE, mode)
+    try:
+        observed.write.insertInto(table, overwrite=True)
+    finally:
+        conf.set(_OVERWRITE_MODE, previous)
     df.sparkSession.catalog.refreshTable(table)
     res = _result(table, obs.get, partition_col, written=True)
     log.info("%s: wrote %d rows, partitions %s", table, res.rows, res.partitions)
