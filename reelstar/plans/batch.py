@@ -1,10 +1,13 @@
 """Batch jobs: full or incremental rebuild of the star schema (R1, R2),
 and the land -> build -> commit chain (R4).
 
-Raw events are scanned three times in a full run: media URLs, visitors and
-the event fact. Engagement reads the event fact back from the partitions
-just written (columnar, pruned), and the duration lookup comes from the
-written media dimension; counts are observed on the writes.
+Raw events JSON is parsed once per run: the used columns are staged as
+parquet next to the tables, and media URLs, visitors and the event fact
+read that columnar copy (the fact pruned to its landing days). Incremental
+runs read only recent landings: dimensions are merged, not rebuilt.
+Engagement reads the event fact back from the partitions just written, the
+duration lookup comes from the written media dimension, and row counts are
+observed on the writes themselves.
 """
 
 from __future__ import annotations
@@ -13,17 +16,18 @@ import datetime as dt
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar import schemas, session
 from reelstar.operators import dims, facts
 from reelstar.plans.config import PipelineConfig
+from reelstar.plans.dimstate import DimState
 from reelstar.plans.state import commit_checkpoint, read_checkpoint, resolve_window
 from reelstar.sinks.tables import (WriteResult, ensure_tables, overwrite_partitions,
                                    overwrite_table, table_counts)
 from reelstar.sources import landing
-from reelstar.sources.raw import read_raw_events, read_raw_media
+from reelstar.sources.raw import read_raw_events, read_raw_media, stage
 
 log = logging.getLogger("reelstar")
 
@@ -36,6 +40,7 @@ class RunReport:
     writes: dict[str, WriteResult] = field(default_factory=dict)
     table_rows: dict[str, int] = field(default_factory=dict)
     checkpoint: dict | None = None
+    dimensions: str = "rebuilt"      # or "merged" (incremental, from new landings)
 
 
 def _written_partitions(spark: SparkSession, table: str, res: WriteResult) -> DataFrame:
@@ -49,48 +54,105 @@ def _written_partitions(spark: SparkSession, table: str, res: WriteResult) -> Da
 
 def run_batch(spark: SparkSession, cfg: PipelineConfig,
               run_ts: dt.datetime | None = None) -> RunReport:
-    """Rebuild dimensions from all raw data and facts from ``cfg.facts_start`` on."""
+    """Rebuild dimensions over all raw data and facts from ``cfg.facts_start`` on.
+
+    Full mode aggregates every landing. Incremental mode, once a previous run
+    left its dimension state, reads only landings on or after the older of
+    the fact window start and the dimension watermark, and merges them into
+    the existing dimensions (same result as a rebuild, see ``dims``).
+    """
     session.configure(spark)
     run_ts = (run_ts or dt.datetime.now(dt.timezone.utc)).replace(tzinfo=None, microsecond=0)
     db, start = cfg.target_db, cfg.facts_start
     report = RunReport(cfg.mode, start, run_ts)
-    if not cfg.dry_run:
-        ensure_tables(spark, db, cfg.warehouse_dir)
+    if cfg.dry_run:
+        return _dry_run(spark, cfg, run_ts, report)
+    ensure_tables(spark, db, cfg.warehouse_dir)
+    state = DimState.for_db(spark, db, cfg.warehouse_dir)
+    events_wm, media_wm = state.watermark(spark) if start else (None, None)
+    urls_prev = state.urls(spark) if events_wm and media_wm else None
+    merge_dims = bool(start and cfg.incremental_dims and urls_prev is not None)
+
+    raw_events = read_raw_events(spark, cfg.source_path,
+                                 since=min(events_wm, start) if merge_dims else None)
+    raw_media = read_raw_media(spark, cfg.source_path, since=media_wm if merge_dims else None)
+    # The latest landing day seen is observed on the scan feeding the
+    # dimensions (an observe node stops filter pushdown, so the fact scan
+    # stays unobserved and keeps its partition pruning).
+    ev_obs, media_obs = Observation("events_through"), Observation("media_through")
+    part = F.col(schemas.RAW_PARTITION_COL)
+    dim_events = raw_events.observe(ev_obs, F.max(part).alias("through"))
+    raw_media = raw_media.observe(media_obs, F.max(part).alias("through"))
+    if cfg.stage_raw:
+        raw_events = dim_events = stage(dim_events, f"{state.root}/staging/raw_events")
+
+    if merge_dims:
+        report.dimensions = "merged"
+        new_events = dim_events.where(part >= F.lit(events_wm))
+        urls = state.materialize(dims.merge_media_urls(urls_prev, new_events), "media_urls")
+        visitors = state.materialize(
+            dims.merge_visitors(spark.table(f"{db}.dim_visitors"), new_events, run_ts),
+            "dim_visitors")
+        media = state.materialize(
+            dims.merge_media(spark.table(f"{db}.dim_media"), raw_media, urls, run_ts),
+            "dim_media")
+    else:
+        urls = state.materialize(dims.media_urls(dim_events), "media_urls")
+        visitors = dims.build_visitors(dim_events, run_ts)
+        media = dims.media_from_urls(raw_media, urls, run_ts)
 
-    raw_media = read_raw_media(spark, cfg.source_path)
-    raw_events = read_raw_events(spark, cfg.source_path)
-
-    # Dimensions always from every raw event.
     dimensions = {
         "dim_dates": dims.build_dates(spark, cfg.dates_start, cfg.dates_end or run_ts.date(),
                                       run_ts),
-        "dim_visitors": dims.build_visitors(raw_events, run_ts),
-        "dim_media": dims.build_media(raw_media, raw_events, run_ts),
+        "dim_visitors": visitors,
+        "dim_media": media,
     }
     for name, df in dimensions.items():
-        if cfg.dry_run:
-            df = df.select(*schemas.CURATED[name].names)
-            report.writes[name] = WriteResult(name, df.count(), written=False)
-        else:
-            report.writes[name] = overwrite_table(df, f"{db}.{name}")
+        report.writes[name] = overwrite_table(df, f"{db}.{name}")
+    state.write_urls(urls)
 
     # Facts from the events of the window only.
-    durations = (dims.media_durations(raw_media) if cfg.dry_run
-                 else spark.table(f"{db}.dim_media").select("media_id", "duration"))
+    durations = spark.table(f"{db}.dim_media").select("media_id", "duration")
     fct_events = facts.build_events(
         facts.events_since(raw_events, start, cfg.prune_raw_by_ingest_date),
         durations, run_ts, cfg.max_broadcast_rows)
-    res = overwrite_partitions(fct_events, f"{db}.fct_events", dry_run=cfg.dry_run,
-                               replace_all=cfg.replace_all)
+    res = overwrite_partitions(fct_events, f"{db}.fct_events", replace_all=cfg.replace_all)
     report.writes["fct_events"] = res
-    events_for_engagement = (fct_events if cfg.dry_run
-                             else _written_partitions(spark, f"{db}.fct_events", res))
     report.writes["fct_media_engagement"] = overwrite_partitions(
-        facts.build_media_engagement(events_for_engagement, run_ts),
-        f"{db}.fct_media_engagement", dry_run=cfg.dry_run, replace_all=cfg.replace_all)
+        facts.build_media_engagement(_written_partitions(spark, f"{db}.fct_events", res), run_ts),
+        f"{db}.fct_media_engagement", replace_all=cfg.replace_all)
+
+    # Dimension watermark last: a failed run leaves the previous one.
+    seen_events = ev_obs.get.get("through") or events_wm
+    seen_media = media_obs.get.get("through") or media_wm
+    if merge_dims or not start or events_wm is None:
+        state.write_watermark(spark, seen_events, seen_media)
+    report.table_rows = {r.table_name: r.rows for r in table_counts(spark, db).collect()}
+    return report
 
-    if not cfg.dry_run:
-        report.table_rows = {r.table_name: r.rows for r in table_counts(spark, db).collect()}
+
+def _dry_run(spark: SparkSession, cfg: PipelineConfig, run_ts: dt.datetime,
+             report: RunReport) -> RunReport:
+    """Build every table and count it, write nothing."""
+    raw_media = read_raw_media(spark, cfg.source_path)
+    raw_events = read_raw_events(spark, cfg.source_path)
+    built = {
+        "dim_dates": dims.build_dates(spark, cfg.dates_start, cfg.dates_end or run_ts.date(),
+                                      run_ts),
+        "dim_visitors": dims.build_visitors(raw_events, run_ts),
+        "dim_media": dims.build_media(raw_media, raw_events, run_ts),
+    }
+    for name, df in built.items():
+        report.writes[name] = WriteResult(name, df.count(), written=False)
+    fct = facts.build_events(
+        facts.events_since(raw_events, cfg.facts_start, cfg.prune_raw_by_ingest_date),
+        dims.media_durations(raw_media), run_ts, cfg.max_broadcast_rows)
+    for name, df in (("fct_events", fct),
+                     ("fct_media_engagement", facts.build_media_engagement(fct, run_ts))):
+        values = df.agg(F.count(F.lit(1)).alias("rows"),
+                        F.collect_set(schemas.TARGET_PARTITION_COL).alias("partitions")).first()
+        report.writes[name] = WriteResult(name, values.rows, sorted(values.partitions),
+                                          written=False)
     return report
 
 

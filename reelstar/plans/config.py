@@ -59,6 +59,8 @@ class PipelineConfig:
     dates_start: dt.date = DEFAULT_DATES_START
     dates_end: dt.date | None = None          # None: the run date
     prune_raw_by_ingest_date: bool = True
+    stage_raw: bool = True                    # parse raw JSON once per run
+    incremental_dims: bool = True             # merge dims from new landings
     replace_all: bool = False                 # static overwrite of the facts
     state_path: str | None = None             # checkpoint of the last run
     persist_state: bool = True
@@ -71,6 +73,8 @@ class PipelineConfig:
         object.__setattr__(self, "dates_end", parse_date(self.dates_end))
         object.__setattr__(self, "dry_run", parse_bool(self.dry_run))
         object.__setattr__(self, "persist_state", parse_bool(self.persist_state, True))
+        object.__setattr__(self, "stage_raw", parse_bool(self.stage_raw, True))
+        object.__setattr__(self, "incremental_dims", parse_bool(self.incremental_dims, True))
         if not self.source_path or not self.target_db:
             raise ValueError("source_path and target_db are required")
 

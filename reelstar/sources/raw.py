@@ -62,3 +62,25 @@ def read_raw_media(spark: SparkSession, source_path: str, **kw) -> DataFrame:
 def ingest_date_counts(raw: DataFrame) -> DataFrame:
     """Rows per landing partition."""
     return raw.groupBy(schemas.RAW_PARTITION_COL).agg(F.count(F.lit(1)).alias("rows"))
+
+
+# Raw event columns any builder reads.
+EVENT_COLUMNS_USED = ("visitor_key", "received_at", "ip", "country", "region", "media_id",
+                      "media_url", "percent_viewed", "ingest_ts", "event_key")
+
+
+def stage(raw: DataFrame, path: str, columns: tuple[str, ...] = EVENT_COLUMNS_USED) -> DataFrame:
+    """Parse raw JSON once and keep the used columns as parquet at ``path``.
+
+    Builders that would each re-parse the JSON (the costliest step at scale)
+    read this columnar copy instead, pruned to their own columns and, by
+    ``ingest_date``, to their own landing days. The copy also cuts the
+    lineage: a lost executor costs a re-read of parquet, not a re-parse.
+    ``path`` is overwritten by the next run, so one copy exists at a time.
+    """
+    part = schemas.RAW_PARTITION_COL
+    (raw.select(*columns, part).write.mode("overwrite")
+     .partitionBy(part).parquet(path))
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns]
+                          + [T.StructField(part, T.DateType(), True)])
+    return raw.sparkSession.read.schema(schema).parquet(path)
