@@ -126,11 +126,19 @@ def table_ddl(db: str, table: str, location: str | None = None) -> str:
     )
 
 
+RAW_BATCH_COL = "batch"
+
+
 def raw_table_ddl(db: str, table: str, location: str) -> str:
-    """External JSON table over a raw landing directory."""
+    """External JSON table over a raw landing directory.
+
+    Landing writes ``ingest_date=D/batch=B/`` (see ``sources.landing``), so
+    both levels are partition columns; run ``MSCK REPAIR TABLE`` after new
+    landings to register their directories.
+    """
     schema = RAW_EVENTS if table == "events" else RAW_MEDIA
     return (
         f"CREATE TABLE IF NOT EXISTS {db}.{table} "
-        f"({columns_ddl(schema)}, {RAW_PARTITION_COL} date) USING json "
-        f"PARTITIONED BY ({RAW_PARTITION_COL}) LOCATION '{location}'"
+        f"({columns_ddl(schema)}, {RAW_PARTITION_COL} date, {RAW_BATCH_COL} string) USING json "
+        f"PARTITIONED BY ({RAW_PARTITION_COL}, {RAW_BATCH_COL}) LOCATION '{location}'"
     )

@@ -21,7 +21,7 @@ STAMPED = ("media_id", "ingest_ts")
 RECORD_FIELDS = [c for c in schemas.RAW_EVENT_COLUMNS if c not in STAMPED]
 RECORD_SCHEMA = T.ArrayType(T.StructType(
     [T.StructField(c, T.StringType(), True) for c in RECORD_FIELDS]))
-BATCH_COL = "batch"
+BATCH_COL = schemas.RAW_BATCH_COL
 
 
 def records_from_pages(pages: DataFrame, ingest_ts: dt.datetime | str,

@@ -195,3 +195,16 @@ def test_incremental_run_merges_dimensions_like_a_rebuild(spark):
     m7 = spark.table(f"{db}.dim_media").where("media_id = 'm7'").first()
     assert m7.media_url == "https://b"      # URL seen before m7 had metadata is kept
     assert spark.table(f"{db}.dim_visitors").where("visitor_id = 'v2'").first().country == "CA"
+
+
+def test_raw_catalog_tables_over_landed_data(spark):
+    from reelstar.__main__ import ddl
+    root = _landed(spark)
+    src = _db()
+    for stmt in ddl(src, _db(), root, scratch_path(spark, "wh")).split(";\n"):
+        spark.sql(stmt.rstrip(";"))
+    for t, n in (("events", 1100), ("media", 240)):
+        spark.sql(f"MSCK REPAIR TABLE {src}.{t}")
+        assert spark.table(f"{src}.{t}").count() == n
+    days = spark.table(f"{src}.events").where("ingest_date = DATE'2024-01-05'").count()
+    assert days == read_raw_events(spark, root).where("ingest_date = DATE'2024-01-05'").count()
