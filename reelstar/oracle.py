@@ -266,6 +266,8 @@ SELECT * FROM fct_since""", "fct_first", "fct_since"),
             for t, c in _TABLE_CTES.items()), *_TABLE_CTES.values()),
         "stream_incremental": _with(
             "SELECT * FROM engagement_all WHERE p_date IS NOT NULL", "engagement_all"),
+        "stream_dim_visitors": _with("SELECT * FROM dim_visitors", "dim_visitors"),
+        "stream_dim_media": _with("SELECT * FROM dim_media", "dim_media"),
     }
 
 

@@ -88,28 +88,9 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig,
 
     if merge_dims:
         report.dimensions = "merged"
-        new_events = dim_events.where(part >= F.lit(events_wm))
-        urls = state.materialize(dims.merge_media_urls(urls_prev, new_events), "media_urls")
-        visitors = state.materialize(
-            dims.merge_visitors(spark.table(f"{db}.dim_visitors"), new_events, run_ts),
-            "dim_visitors")
-        media = state.materialize(
-            dims.merge_media(spark.table(f"{db}.dim_media"), raw_media, urls, run_ts),
-            "dim_media")
-    else:
-        urls = state.materialize(dims.media_urls(dim_events), "media_urls")
-        visitors = dims.build_visitors(dim_events, run_ts)
-        media = dims.media_from_urls(raw_media, urls, run_ts)
-
-    dimensions = {
-        "dim_dates": dims.build_dates(spark, cfg.dates_start, cfg.dates_end or run_ts.date(),
-                                      run_ts),
-        "dim_visitors": visitors,
-        "dim_media": media,
-    }
-    for name, df in dimensions.items():
-        report.writes[name] = overwrite_table(df, f"{db}.{name}")
-    state.write_urls(urls)
+        dim_events = dim_events.where(part >= F.lit(events_wm))
+    report.writes.update(write_dimensions(spark, cfg, state, dim_events, raw_media, run_ts,
+                                          urls_prev if merge_dims else None))
 
     # Facts from the events of the window only.
     durations = spark.table(f"{db}.dim_media").select("media_id", "duration")
@@ -131,6 +112,39 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig,
     return report
 
 
+def write_dimensions(spark: SparkSession, cfg: PipelineConfig, state: DimState,
+                     events: DataFrame, raw_media: DataFrame, run_ts: dt.datetime,
+                     previous_urls: DataFrame | None) -> dict[str, WriteResult]:
+    """Write the three dimensions and the URL state.
+
+    With ``previous_urls`` (the state of an earlier run) ``events`` and
+    ``raw_media`` are only the new landings and are merged into the
+    existing dimensions; without it they are everything and the dimensions
+    are rebuilt.
+    """
+    db = cfg.target_db
+    if previous_urls is not None:
+        urls = state.materialize(dims.merge_media_urls(previous_urls, events), "media_urls")
+        visitors = state.materialize(
+            dims.merge_visitors(spark.table(f"{db}.dim_visitors"), events, run_ts), "dim_visitors")
+        media = state.materialize(
+            dims.merge_media(spark.table(f"{db}.dim_media"), raw_media, urls, run_ts), "dim_media")
+    else:
+        urls = state.materialize(dims.media_urls(events), "media_urls")
+        visitors = dims.build_visitors(events, run_ts)
+        media = dims.media_from_urls(raw_media, urls, run_ts)
+    out = {}
+    for name, df in (
+        ("dim_dates", dims.build_dates(spark, cfg.dates_start, cfg.dates_end or run_ts.date(),
+                                       run_ts)),
+        ("dim_visitors", visitors),
+        ("dim_media", media),
+    ):
+        out[name] = overwrite_table(df, f"{db}.{name}")
+    state.write_urls(urls)
+    return out
+
+
 def _dry_run(spark: SparkSession, cfg: PipelineConfig, run_ts: dt.datetime,
              report: RunReport) -> RunReport:
     """Build every table and count it, write nothing."""

@@ -9,15 +9,18 @@ replace their fact partitions by dynamic overwrite. A replayed batch
 recomputes the same partitions from the same immutable files, so the sink
 is idempotent and the stream's checkpoint gives exactly-once progress.
 
-Like the batch job's incremental mode, events whose time cannot be parsed
-(NULL day) are left to full runs.
+Dimensions are merged from the micro-batch itself (min/max merges, see
+``operators.dims``) plus the media snapshots landed since the media
+watermark, so the stream keeps all five tables current. Like the batch
+job's incremental mode, events whose time cannot be parsed (NULL day) are
+left to full runs.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -60,9 +63,31 @@ def rebuild_dates(spark: SparkSession, cfg: PipelineConfig, dates: list[dt.date]
     return out
 
 
+def refresh_dimensions(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame,
+                       run_ts: dt.datetime | None = None) -> dict[str, WriteResult]:
+    """Merge a micro-batch of raw events (and new media snapshots) into the
+    dimensions. The events watermark is left to batch runs, which re-read
+    from their own watermark (harmless overlap: the merges are idempotent)."""
+    from reelstar.plans.batch import write_dimensions
+    from reelstar.plans.dimstate import DimState
+
+    run_ts = (run_ts or dt.datetime.now(dt.timezone.utc)).replace(tzinfo=None, microsecond=0)
+    state = DimState.for_db(spark, cfg.target_db, cfg.warehouse_dir)
+    events_wm, media_wm = state.watermark(spark)
+    urls = state.urls(spark)
+    if urls is None:
+        urls = spark.createDataFrame([], "media_id string, media_url string")
+    obs = Observation("stream_media_through")
+    media = read_raw_media(spark, cfg.source_path, since=media_wm).observe(
+        obs, F.max(schemas.RAW_PARTITION_COL).alias("through"))
+    out = write_dimensions(spark, cfg, state, batch, media, run_ts, urls)
+    state.write_watermark(spark, events_wm, obs.get.get("through") or media_wm)
+    return out
+
+
 def start(spark: SparkSession, cfg: PipelineConfig, checkpoint_location: str,
           max_files_per_trigger: int | None = None, available_now: bool = True,
-          processing_time: str | None = None) -> StreamingQuery:
+          processing_time: str | None = None, maintain_dimensions: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops when caught up."""
     session.configure(spark)
     ensure_tables(spark, cfg.target_db, cfg.warehouse_dir)
@@ -71,9 +96,11 @@ def start(spark: SparkSession, cfg: PipelineConfig, checkpoint_location: str,
     reader = spark.readStream.schema(read_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(f"{cfg.source_path.rstrip('/')}/events").select("received_at")
+    stream = reader.json(f"{cfg.source_path.rstrip('/')}/events")
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        if maintain_dimensions:
+            refresh_dimensions(spark, cfg, batch)
         rebuild_dates(spark, cfg, touched_dates(batch))
 
     writer = (stream.writeStream.foreachBatch(process)
@@ -86,9 +113,11 @@ def start(spark: SparkSession, cfg: PipelineConfig, checkpoint_location: str,
 
 
 def run_available_now(spark: SparkSession, cfg: PipelineConfig, checkpoint_location: str,
-                      max_files_per_trigger: int | None = None) -> int:
+                      max_files_per_trigger: int | None = None,
+                      maintain_dimensions: bool = True) -> int:
     """Process everything landed so far; returns the number of micro-batches."""
-    q = start(spark, cfg, checkpoint_location, max_files_per_trigger)
+    q = start(spark, cfg, checkpoint_location, max_files_per_trigger,
+              maintain_dimensions=maintain_dimensions)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -156,6 +156,14 @@ def test_stream_second_run_without_new_files_is_a_noop(spark):
     assert dated == 1000 - 5  # the NULL-day rows are left to full runs
     assert incremental.run_available_now(spark, cfg, ckpt) == 0
     assert spark.table(f"{db}.fct_events").count() == dated
+    # dimensions maintained by the stream equal a batch rebuild
+    db_full = _db()
+    run_batch(spark, PipelineConfig(source_path=root, target_db=db_full, warehouse_dir=wh,
+                                    dates_end="2024-02-01"))
+    for t in ("dim_visitors", "dim_media"):
+        a = spark.table(f"{db}.{t}").drop("updated_at")
+        b = spark.table(f"{db_full}.{t}").drop("updated_at")
+        assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, t
 
 
 def test_incremental_run_merges_dimensions_like_a_rebuild(spark):
