@@ -41,6 +41,7 @@ class RunReport:
     table_rows: dict[str, int] = field(default_factory=dict)
     checkpoint: dict | None = None
     dimensions: str = "rebuilt"      # or "merged" (incremental, from new landings)
+    raw_rows: dict[str, int] = field(default_factory=dict)   # rows scanned for dimensions
 
 
 def _written_partitions(spark: SparkSession, table: str, res: WriteResult) -> DataFrame:
@@ -81,8 +82,10 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig,
     # stays unobserved and keeps its partition pruning).
     ev_obs, media_obs = Observation("events_through"), Observation("media_through")
     part = F.col(schemas.RAW_PARTITION_COL)
-    dim_events = raw_events.observe(ev_obs, F.max(part).alias("through"))
-    raw_media = raw_media.observe(media_obs, F.max(part).alias("through"))
+    dim_events = raw_events.observe(ev_obs, F.max(part).alias("through"),
+                                    F.count(F.lit(1)).alias("rows"))
+    raw_media = raw_media.observe(media_obs, F.max(part).alias("through"),
+                                  F.count(F.lit(1)).alias("rows"))
     if cfg.stage_raw:
         raw_events = dim_events = stage(dim_events, f"{state.root}/staging/raw_events")
 
@@ -106,6 +109,8 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig,
     # Dimension watermark last: a failed run leaves the previous one.
     seen_events = ev_obs.get.get("through") or events_wm
     seen_media = media_obs.get.get("through") or media_wm
+    report.raw_rows = {"events": ev_obs.get.get("rows", 0), "media": media_obs.get.get("rows", 0)}
+    log.info("raw rows read: %s", report.raw_rows)
     if merge_dims or not start or events_wm is None:
         state.write_watermark(spark, seen_events, seen_media)
     report.table_rows = {r.table_name: r.rows for r in table_counts(spark, db).collect()}

@@ -79,6 +79,7 @@ def test_full_run_counts_and_rerun_is_idempotent(spark):
     root, db, wh = _landed(spark), _db(), scratch_path(spark, "wh")
     cfg = PipelineConfig(source_path=root, target_db=db, warehouse_dir=wh, dates_end="2024-02-01")
     rep = run_batch(spark, cfg)
+    assert rep.raw_rows == {"events": 1100, "media": 240}
     assert rep.table_rows == {"dim_dates": 4, "dim_media": 200, "dim_visitors": 15,
                               "fct_events": 1000, "fct_media_engagement": 987}
     snap = {t: spark.table(f"{db}.{t}").drop("updated_at").collect() for t in schemas.CURATED}
