@@ -1,13 +1,14 @@
 """State that lets dimensions be maintained from new landings only.
 
-Kept next to the curated tables (``<warehouse>/<db>.db/_reelstar_state``):
-
-* ``watermark`` - one-row JSON: the latest landing day the dimensions have
-  seen, for events and for media snapshots. A landing is stamped with its
-  landing day, so every later landing is on or after it; the next run
-  re-reads that boundary day (harmless: min/max are idempotent).
-* ``media_urls`` - URL per media id over all events, including media that
-  no snapshot has described yet (they are absent from dim_media).
+* Watermark - table properties of ``dim_visitors``: the latest landing day
+  the dimensions have seen, for events and for media snapshots. A landing
+  is stamped with its landing day, so every later landing is on or after
+  it; the next run re-reads that boundary day (harmless: min/max are
+  idempotent). Catalog properties need no file that may be missing.
+* ``media_urls`` - parquet next to the curated tables
+  (``<warehouse>/<db>.db/_reelstar_state``): URL per media id over all
+  events, including media that no snapshot has described yet (they are
+  absent from dim_media). Read only once the watermark says it exists.
 
 Frames that are read from and then overwrite the same place are first
 written to ``staging/`` in the same folder (reliable storage, lineage cut).
@@ -18,7 +19,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -26,52 +26,47 @@ from reelstar import session
 
 URLS_SCHEMA = T.StructType([T.StructField("media_id", T.StringType(), True),
                             T.StructField("media_url", T.StringType(), True)])
-WATERMARK_SCHEMA = "events_through string, media_through string"
-
-
-def _missing(exc: AnalysisException) -> bool:
-    return "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc)
+# Property keys (none may contain "url": Spark redacts such values).
+EVENTS_KEY, MEDIA_KEY, URLS_KEY = ("reelstar.events_through", "reelstar.media_through",
+                                   "reelstar.state_written")
 
 
 @dataclass
 class DimState:
     root: str
+    table: str          # the table carrying the watermark properties
 
     @classmethod
     def for_db(cls, spark: SparkSession, db: str, warehouse_dir: str | None) -> DimState:
         base = warehouse_dir.rstrip("/") if warehouse_dir else session.checkpoint_dir(spark)
-        return cls(f"{base}/{db}.db/_reelstar_state")
+        return cls(f"{base}/{db}.db/_reelstar_state", f"{db}.dim_visitors")
+
+    def _props(self, spark: SparkSession) -> dict[str, str]:
+        if not spark.catalog.tableExists(self.table):
+            return {}
+        return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {self.table}").collect()}
 
     def watermark(self, spark: SparkSession) -> tuple[dt.date | None, dt.date | None]:
-        try:
-            rows = spark.read.schema(WATERMARK_SCHEMA).json(f"{self.root}/watermark").take(1)
-        except AnalysisException as exc:
-            if _missing(exc):
-                return None, None
-            raise
-        if not rows:
-            return None, None
+        props = self._props(spark)
         conv = lambda v: dt.date.fromisoformat(v) if v else None
-        return conv(rows[0].events_through), conv(rows[0].media_through)
+        return conv(props.get(EVENTS_KEY)), conv(props.get(MEDIA_KEY))
 
     def write_watermark(self, spark: SparkSession, events_through: dt.date | None,
                         media_through: dt.date | None) -> None:
-        row = (events_through.isoformat() if events_through else None,
-               media_through.isoformat() if media_through else None)
-        (spark.createDataFrame([row], WATERMARK_SCHEMA).coalesce(1)
-         .write.mode("overwrite").json(f"{self.root}/watermark"))
+        text = lambda d: d.isoformat() if d else ""
+        spark.sql(f"ALTER TABLE {self.table} SET TBLPROPERTIES ("
+                  f"'{EVENTS_KEY}' = '{text(events_through)}', "
+                  f"'{MEDIA_KEY}' = '{text(media_through)}')")
 
     def urls(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.schema(URLS_SCHEMA).parquet(f"{self.root}/media_urls")
-        except AnalysisException as exc:
-            if _missing(exc):
-                return None
-            raise
+        if self._props(spark).get(URLS_KEY) != "true":
+            return None
+        return spark.read.schema(URLS_SCHEMA).parquet(f"{self.root}/media_urls")
 
     def write_urls(self, urls: DataFrame) -> None:
         urls.select("media_id", "media_url").write.mode("overwrite").parquet(
             f"{self.root}/media_urls")
+        urls.sparkSession.sql(f"ALTER TABLE {self.table} SET TBLPROPERTIES ('{URLS_KEY}' = 'true')")
 
     def materialize(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` to the staging folder and read it back."""
