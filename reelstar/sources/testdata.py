@@ -15,7 +15,7 @@ DuckDB oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar import schemas
@@ -47,29 +47,35 @@ def _events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
-def _shape_events(ev: DataFrame, copy: bool) -> DataFrame:
-    k = F.get_json_object("props", "$.k")
-    eid, uid = F.col("event_id"), F.col("user_id")
-    landed = F.col("ts") + F.expr(f"INTERVAL {2 if copy else 1} DAYS")
-    value = F.col("value") + F.lit(1.0) if copy else F.col("value")
-    cols: dict[str, Column] = {
-        "country": F.when(uid % 4 == 0, "US").when(uid % 4 == 1, "CA").when(uid % 4 == 2, "DE"),
-        "event_key": F.concat(F.lit("e"), eid.cast("string"), F.lit("r" if copy else "")),
-        "ingest_ts": F.date_format(landed, INGEST_FORMAT),
-        "ip": F.concat_ws(".", F.lit("10"), (uid % 7).cast("string"),
-                          (uid % 256).cast("string"), (eid % 256).cast("string")),
-        "media_id": F.concat(F.lit("m"), k),
-        "media_url": F.concat(F.lit(URL_PREFIX), F.col("event_type"), F.lit("/"), k),
-        "percent_viewed": F.least(value, F.lit(100.0)).cast("string"),
-        "received_at": F.when(eid % 211 == 0, F.lit("not-a-timestamp"))
-                        .otherwise(F.date_format("ts", RECEIVED_FORMAT)),
-        "region": F.concat(F.lit("R"), (uid % 11).cast("string")),
-        "visitor_key": F.when(eid % 97 != 0, F.concat(F.lit("v"), uid.cast("string"))),
+def _event_exprs(copy: bool) -> dict[str, str]:
+    """Spark SQL expression per raw event column (one JVM call per column)."""
+    shift = 2 if copy else 1
+    value = "value + 1.0D" if copy else "value"
+    return {
+        "country": "CASE user_id % 4 WHEN 0 THEN 'US' WHEN 1 THEN 'CA' WHEN 2 THEN 'DE' END",
+        "event_key": f"concat('e', CAST(event_id AS STRING), '{'r' if copy else ''}')",
+        "ingest_ts": f'date_format(ts + INTERVAL {shift} DAYS, "{INGEST_FORMAT}")',
+        "ip": "concat_ws('.', '10', CAST(user_id % 7 AS STRING), CAST(user_id % 256 AS STRING), "
+              "CAST(event_id % 256 AS STRING))",
+        "media_id": "concat('m', get_json_object(props, '$.k'))",
+        "media_url": f"concat('{URL_PREFIX}', event_type, '/', get_json_object(props, '$.k'))",
+        "percent_viewed": f"CAST(least({value}, 100.0D) AS STRING)",
+        "received_at": "CASE WHEN event_id % 211 = 0 THEN 'not-a-timestamp' "
+                       f'ELSE date_format(ts, "{RECEIVED_FORMAT}") END',
+        "region": "concat('R', CAST(user_id % 11 AS STRING))",
+        "visitor_key": "CASE WHEN event_id % 97 != 0 THEN concat('v', CAST(user_id AS STRING)) END",
+        schemas.RAW_PARTITION_COL: f"to_date(ts + INTERVAL {shift} DAYS)",
     }
-    out = [cols.get(c, F.lit(None).cast("string")).alias(c) for c in schemas.RAW_EVENT_COLUMNS]
-    out.append(F.to_date(landed).alias(schemas.RAW_PARTITION_COL))
-    src = ev.where(eid % 10 == 3) if copy else ev
-    return src.select(*out)
+
+
+def _select(df: DataFrame, names: list[str], exprs: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{exprs.get(c, 'CAST(NULL AS STRING)')} AS {c}" for c in names])
+
+
+def _shape_events(ev: DataFrame, copy: bool) -> DataFrame:
+    src = ev.where("event_id % 10 = 3") if copy else ev
+    return _select(src, schemas.RAW_EVENT_COLUMNS + [schemas.RAW_PARTITION_COL],
+                   _event_exprs(copy))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,25 +84,26 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape_events(ev, copy=False).unionByName(_shape_events(ev, copy=True))
 
 
-def _shape_media(part: DataFrame, second: bool) -> DataFrame:
-    key = F.col("p_partkey")
-    day = key % 28 + (2 if second else 1)
-    suffix = F.when(key % 3 == 0, " - FaceBook").when(key % 3 == 1, " - YouTube").otherwise("")
-    cols: dict[str, Column] = {
-        "archived": F.lit("false"),
-        "created": F.concat(F.lit("2023-12-"), F.lpad(day.cast("string"), 2, "0"),
-                            F.lit("T00:00:00+00:00")),
-        "duration": F.col("p_retailprice").cast("string"),
-        "hashed_id": F.concat(F.lit("m"), (key + MEDIA_ID_OFFSET).cast("string")),
-        "id": key.cast("string"),
-        "name": F.concat(F.lit("zz " if second else ""), F.col("p_name"), suffix),
-        "type": F.lit("Video"),
+def _media_exprs(second: bool) -> dict[str, str]:
+    day = f"p_partkey % 28 + {2 if second else 1}"
+    return {
+        "archived": "'false'",
+        "created": f"concat('2023-12-', lpad(CAST({day} AS STRING), 2, '0'), 'T00:00:00+00:00')",
+        "duration": "CAST(p_retailprice AS STRING)",
+        "hashed_id": f"concat('m', CAST(p_partkey + {MEDIA_ID_OFFSET} AS STRING))",
+        "id": "CAST(p_partkey AS STRING)",
+        "name": f"concat('{'zz ' if second else ''}', p_name, CASE p_partkey % 3 "
+                "WHEN 0 THEN ' - FaceBook' WHEN 1 THEN ' - YouTube' ELSE '' END)",
+        "type": "'Video'",
+        schemas.RAW_PARTITION_COL:
+            f"DATE'{SECOND_SNAPSHOT_DATE if second else FIRST_SNAPSHOT_DATE}'",
     }
-    out = [cols.get(c, F.lit(None).cast("string")).alias(c) for c in schemas.RAW_MEDIA_COLUMNS]
-    out.append(F.lit(SECOND_SNAPSHOT_DATE if second else FIRST_SNAPSHOT_DATE)
-               .cast("date").alias(schemas.RAW_PARTITION_COL))
-    src = part.where(key % 5 == 0) if second else part
-    return src.select(*out)
+
+
+def _shape_media(part: DataFrame, second: bool) -> DataFrame:
+    src = part.where("p_partkey % 5 = 0") if second else part
+    return _select(src, schemas.RAW_MEDIA_COLUMNS + [schemas.RAW_PARTITION_COL],
+                   _media_exprs(second))
 
 
 def raw_media(spark: SparkSession, sf_dir: str) -> DataFrame:
