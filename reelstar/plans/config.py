@@ -61,6 +61,7 @@ class PipelineConfig:
     prune_raw_by_ingest_date: bool = True
     stage_raw: bool = True                    # parse raw JSON once per run
     incremental_dims: bool = True             # merge dims from new landings
+    late_aware: bool = False                  # widen the window to late events' days
     replace_all: bool = False                 # static overwrite of the facts
     state_path: str | None = None             # checkpoint of the last run
     persist_state: bool = True
@@ -75,6 +76,7 @@ class PipelineConfig:
         object.__setattr__(self, "persist_state", parse_bool(self.persist_state, True))
         object.__setattr__(self, "stage_raw", parse_bool(self.stage_raw, True))
         object.__setattr__(self, "incremental_dims", parse_bool(self.incremental_dims, True))
+        object.__setattr__(self, "late_aware", parse_bool(self.late_aware, False))
         if not self.source_path or not self.target_db:
             raise ValueError("source_path and target_db are required")
 

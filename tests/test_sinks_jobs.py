@@ -217,3 +217,36 @@ def test_raw_catalog_tables_over_landed_data(spark):
         assert spark.table(f"{src}.{t}").count() == n
     days = spark.table(f"{src}.events").where("ingest_date = DATE'2024-01-05'").count()
     assert days == read_raw_events(spark, root).where("ingest_date = DATE'2024-01-05'").count()
+
+
+def test_late_aware_window_picks_up_late_events(spark):
+    """An event dated before the window lands after the previous run."""
+    first = events_df(spark, [
+        {"event_key": "a", "received_at": "2024-03-01T00:00:00.000Z", "percent_viewed": "10",
+         "ingest_date": dt.date(2024, 3, 1)}])
+    second = events_df(spark, [
+        {"event_key": "late", "received_at": "2024-03-01T05:00:00.000Z", "percent_viewed": "90",
+         "ingest_date": dt.date(2024, 3, 4)},
+        {"event_key": "b", "received_at": "2024-03-04T00:00:00.000Z",
+         "ingest_date": dt.date(2024, 3, 4)}])
+    for late_aware, expect in ((False, 1), (True, 2)):
+        root, wh, db = scratch_path(spark, "raw"), scratch_path(spark, "wh"), _db()
+        cfg = dict(target_db=db, source_path=root, warehouse_dir=wh, dates_end="2024-03-05")
+        landing.land(media_df(spark, [{}]), root, "media", "media")
+        landing.land(first, root, "events", "b1")
+        run_batch(spark, PipelineConfig(**cfg))
+        landing.land(second, root, "events", "b2")
+        rep = run_batch(spark, PipelineConfig(mode="incremental", start_date="2024-03-04",
+                                              late_aware=late_aware, **cfg))
+        day = spark.table(f"{db}.fct_events").where("p_date = DATE'2024-03-01'").count()
+        assert day == expect, (late_aware, day)
+        assert rep.facts_start == (dt.date(2024, 3, 1) if late_aware else dt.date(2024, 3, 4))
+
+
+def test_null_media_and_exact_duplicates(spark):
+    ev = events_df(spark, [{"event_key": "x", "media_id": None}, {"event_key": "x", "media_id": None},
+                           {"event_key": "y"}, {"event_key": "y"}])
+    out = facts.build_events(ev, dims.media_durations(media_df(spark, [{}]))).collect()
+    assert sorted((r.media_id or "", r.percent_viewed) for r in out) == [("", 50.0), ("m1", 50.0)]
+    nulls = [r for r in out if r.media_id is None]
+    assert nulls[0].duration_viewed is None
