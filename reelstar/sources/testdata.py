@@ -30,15 +30,15 @@ SECOND_SNAPSHOT_DATE = "2024-02-01"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that scans as fewer splits than there are cores.
+    """Round-robin an input read from fewer files than there are cores.
 
     The test tables are single files with one row group, which Spark cannot
     split; without this, all per-row work above the scan runs in one task.
-    Inputs that already have enough splits (many files) are left alone, so
-    no shuffle is added at scale.
+    Inputs made of many files (any real landing) are left alone, so no
+    shuffle is added at scale.
     """
     parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
+    if len(df.inputFiles()) < parallelism:
         return df.repartition(parallelism)
     return df
 
