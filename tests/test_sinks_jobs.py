@@ -57,7 +57,7 @@ def test_dynamic_overwrite_keeps_other_days_and_null_partition(spark):
     overwrite_partitions(facts.build_events(day2, media), f"{db}.fct_events")
     day2b = events_df(spark, [{"event_key": "c", "received_at": "2024-03-02T00:00:00.000Z",
                                "percent_viewed": "99"}])
-    overwrite_partitions(facts.build_events(day2b, media), f"{db}.fct_events")
+    overwrite_partitions(facts.build_events(day2b, media), f"{db}.fct_events", repair=True)
     rows = spark.table(f"{db}.fct_events").collect()
     assert sorted((str(r.p_date), r.percent_viewed) for r in rows) == [
         ("2024-03-01", 50.0), ("2024-03-02", 99.0), ("None", 50.0)]
