@@ -144,13 +144,13 @@ def write_dimensions(spark: SparkSession, cfg: PipelineConfig, state: DimState,
     """
     db = cfg.target_db
     if previous_urls is not None:
-        urls = state.materialize(dims.merge_media_urls(previous_urls, events), "media_urls")
+        urls = state.stage_urls(spark, dims.merge_media_urls(previous_urls, events))
         visitors = state.materialize(
             dims.merge_visitors(spark.table(f"{db}.dim_visitors"), events, run_ts), "dim_visitors")
         media = state.materialize(
             dims.merge_media(spark.table(f"{db}.dim_media"), raw_media, urls, run_ts), "dim_media")
     else:
-        urls = state.materialize(dims.media_urls(events), "media_urls")
+        urls = state.stage_urls(spark, dims.media_urls(events))
         visitors = dims.build_visitors(events, run_ts)
         media = dims.media_from_urls(raw_media, urls, run_ts)
     out = {}
@@ -161,7 +161,7 @@ def write_dimensions(spark: SparkSession, cfg: PipelineConfig, state: DimState,
         ("dim_media", media),
     ):
         out[name] = overwrite_table(df, f"{db}.{name}")
-    state.write_urls(urls)
+    state.commit_urls(spark)
     return out
 
 

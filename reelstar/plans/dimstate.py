@@ -8,7 +8,9 @@
 * ``media_urls`` - parquet next to the curated tables
   (``<warehouse>/<db>.db/_reelstar_state``): URL per media id over all
   events, including media that no snapshot has described yet (they are
-  absent from dim_media). Read only once the watermark says it exists.
+  absent from dim_media). Two slots alternate; a table property names the
+  current one, so the state is written once per run and switched only after
+  the dimensions were written.
 
 Frames that are read from and then overwrite the same place are first
 written to ``staging/`` in the same folder (reliable storage, lineage cut).
@@ -28,13 +30,14 @@ URLS_SCHEMA = T.StructType([T.StructField("media_id", T.StringType(), True),
                             T.StructField("media_url", T.StringType(), True)])
 # Property keys (none may contain "url": Spark redacts such values).
 EVENTS_KEY, MEDIA_KEY, URLS_KEY = ("reelstar.events_through", "reelstar.media_through",
-                                   "reelstar.state_written")
+                                   "reelstar.link_slot")
 
 
 @dataclass
 class DimState:
     root: str
-    table: str          # the table carrying the watermark properties
+    table: str                       # the table carrying the state properties
+    staged_slot: str | None = None   # URL slot written by this run, not yet current
 
     @classmethod
     def for_db(cls, spark: SparkSession, db: str, warehouse_dir: str | None) -> DimState:
@@ -59,14 +62,28 @@ class DimState:
                   f"'{MEDIA_KEY}' = '{text(media_through)}')")
 
     def urls(self, spark: SparkSession) -> DataFrame | None:
-        if self._props(spark).get(URLS_KEY) != "true":
+        slot = self._props(spark).get(URLS_KEY)
+        if slot not in ("a", "b"):
             return None
-        return spark.read.schema(URLS_SCHEMA).parquet(f"{self.root}/media_urls")
-
-    def write_urls(self, urls: DataFrame) -> None:
-        urls.select("media_id", "media_url").write.mode("overwrite").parquet(
-            f"{self.root}/media_urls")
-        urls.sparkSession.sql(f"ALTER TABLE {self.table} SET TBLPROPERTIES ('{URLS_KEY}' = 'true')")
+        return spark.read.schema(URLS_SCHEMA).parquet(f"{self.root}/media_urls_{slot}")
+
+    def stage_urls(self, spark: SparkSession, urls: DataFrame) -> DataFrame:
+        """Write merged URLs to the slot not in use and read them back.
+
+        The previous slot stays intact until :meth:`commit_urls` switches
+        the table property, so a failed run leaves the old state usable.
+        """
+        slot = "b" if self._props(spark).get(URLS_KEY) == "a" else "a"
+        path = f"{self.root}/media_urls_{slot}"
+        urls.select("media_id", "media_url").write.mode("overwrite").parquet(path)
+        self.staged_slot = slot
+        return spark.read.schema(URLS_SCHEMA).parquet(path)
+
+    def commit_urls(self, spark: SparkSession) -> None:
+        if self.staged_slot is None:
+            raise RuntimeError("no URL state staged in this run")
+        spark.sql(f"ALTER TABLE {self.table} SET TBLPROPERTIES "
+                  f"('{URLS_KEY}' = '{self.staged_slot}')")
 
     def materialize(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` to the staging folder and read it back."""
