@@ -250,3 +250,17 @@ def test_null_media_and_exact_duplicates(spark):
     assert sorted((r.media_id or "", r.percent_viewed) for r in out) == [("", 50.0), ("m1", 50.0)]
     nulls = [r for r in out if r.media_id is None]
     assert nulls[0].duration_viewed is None
+
+
+def test_watermark_follows_the_latest_landing(spark):
+    from reelstar.plans.dimstate import DimState
+    root, db, wh = _landed(spark), _db(), scratch_path(spark, "wh")
+    cfg = dict(source_path=root, target_db=db, warehouse_dir=wh, dates_end="2024-02-01")
+    run_batch(spark, PipelineConfig(**cfg))
+    state = DimState.for_db(spark, db, wh)
+    assert state.watermark(spark) == (dt.date(2024, 2, 1), dt.date(2024, 2, 1))
+    landing.land(events_df(spark, [{"ingest_date": dt.date(2024, 2, 3)}]), root, "events", "late")
+    rep = run_batch(spark, PipelineConfig(mode="incremental", start_date="2024-02-01",
+                                          incremental_dims=False, **cfg))
+    assert rep.dimensions == "rebuilt"
+    assert state.watermark(spark)[0] == dt.date(2024, 2, 3)
