@@ -54,18 +54,20 @@ def events_since(raw_events: DataFrame, start: dt.date | str | None,
 
 def build_events(raw_events: DataFrame, durations: DataFrame,
                  run_ts: dt.datetime | None = None,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 durations_rows: int | None = None) -> DataFrame:
     """fct_events: one row per (media, visitor, event instant).
 
     Duplicates (overlapping landings, anonymous events at the same instant
     of a media) collapse to the latest landed copy. The dedupe runs before
     the duration lookup so fewer rows are joined; the lookup is broadcast
-    when its size is proven small, and otherwise left to a shuffle join
+    when its size is proven small (``durations_rows`` when the caller already
+    knows it, else a bounded count), and otherwise left to a shuffle join
     with AQE skew handling.
     """
     latest = latest_per_key(typed_events(raw_events), list(EVENT_KEY), list(LATEST_ORDER))
     joined = lookup_join(latest, durations.select("media_id", "duration"), "media_id",
-                         max_broadcast_rows)
+                         max_broadcast_rows, durations_rows)
     date = F.to_date("created_at")
     return joined.select(
         "media_id", "visitor_id", "created_at", date.alias("date"), "percent_viewed",

@@ -10,19 +10,23 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      known_rows: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
 
-    The check is a bounded action (``limit(max_rows + 1).count()``) on what
-    is meant to be a small, aggregated lookup. Beyond the bound the frame is
-    returned unmarked and the join stays a shuffle join, where AQE may still
-    switch to broadcast at run time and splits skewed partitions.
+    ``known_rows`` is a count already proven by Spark (e.g. observed while
+    the lookup table was written); otherwise the check is a bounded action
+    (``limit(max_rows + 1).count()``) on what is meant to be a small,
+    aggregated lookup. Beyond the bound the frame is returned unmarked and
+    the join stays a shuffle join, where AQE may still switch to broadcast
+    at run time and splits skewed partitions.
     """
-    n = df.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
 def lookup_join(left: DataFrame, lookup: DataFrame, key: str,
-                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                known_rows: int | None = None) -> DataFrame:
     """``left`` LEFT JOIN a lookup that is unique on ``key``."""
-    return left.join(bounded_broadcast(lookup, max_rows), on=key, how="left")
+    return left.join(bounded_broadcast(lookup, max_rows, known_rows), on=key, how="left")

@@ -114,7 +114,8 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig,
     durations = spark.table(f"{db}.dim_media").select("media_id", "duration")
     fct_events = facts.build_events(
         facts.events_since(facts_raw, start, cfg.prune_raw_by_ingest_date),
-        durations, run_ts, cfg.max_broadcast_rows)
+        durations, run_ts, cfg.max_broadcast_rows,
+        durations_rows=report.writes["dim_media"].rows)   # observed on its write
     res = overwrite_partitions(fct_events, f"{db}.fct_events", replace_all=cfg.replace_all)
     report.writes["fct_events"] = res
     report.writes["fct_media_engagement"] = overwrite_partitions(
