@@ -42,19 +42,24 @@ def touched_dates(batch: DataFrame) -> list[dt.date]:
 
 
 def rebuild_dates(spark: SparkSession, cfg: PipelineConfig, dates: list[dt.date],
-                  run_ts: dt.datetime | None = None) -> dict[str, WriteResult]:
-    """Recompute both facts for ``dates`` from raw data and replace them."""
+                  run_ts: dt.datetime | None = None,
+                  media_rows: int | None = None) -> dict[str, WriteResult]:
+    """Recompute both facts for ``dates`` from raw data and replace them.
+
+    ``media_rows``: row count of dim_media if this micro-batch just wrote it
+    (a proven bound for broadcasting the duration lookup).
+    """
     if not dates:
         return {}
     db = cfg.target_db
     raw = read_raw_events(spark, cfg.source_path)
     day = F.to_date(parse_event_time("received_at"))
     events = facts.events_since(raw, dates[0], cfg.prune_raw_by_ingest_date).where(day.isin(dates))
-    if spark.catalog.tableExists(f"{db}.dim_media") and spark.table(f"{db}.dim_media").take(1):
+    if media_rows or spark.table(f"{db}.dim_media").take(1):
         durations = spark.table(f"{db}.dim_media").select("media_id", "duration")
     else:
-        durations = dims.media_durations(read_raw_media(spark, cfg.source_path))
-    fct = facts.build_events(events, durations, run_ts, cfg.max_broadcast_rows)
+        durations, media_rows = dims.media_durations(read_raw_media(spark, cfg.source_path)), None
+    fct = facts.build_events(events, durations, run_ts, cfg.max_broadcast_rows, media_rows)
     out = {"fct_events": overwrite_partitions(fct, f"{db}.fct_events")}
     written = spark.table(f"{db}.fct_events").where(
         F.col(schemas.TARGET_PARTITION_COL).isin(out["fct_events"].partitions))
@@ -99,9 +104,10 @@ def start(spark: SparkSession, cfg: PipelineConfig, checkpoint_location: str,
     stream = reader.json(f"{cfg.source_path.rstrip('/')}/events")
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        media_rows = None
         if maintain_dimensions:
-            refresh_dimensions(spark, cfg, batch)
-        rebuild_dates(spark, cfg, touched_dates(batch))
+            media_rows = refresh_dimensions(spark, cfg, batch)["dim_media"].rows
+        rebuild_dates(spark, cfg, touched_dates(batch), media_rows=media_rows)
 
     writer = (stream.writeStream.foreachBatch(process)
               .option("checkpointLocation", checkpoint_location))
