@@ -29,3 +29,17 @@ def test_build_command_runs_and_commits(spark, capsys):
     assert main(args[:-2] + ["--dry-run", "true"]) == 0
     dry = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert dry["checkpoint"]["status"] == "skipped"
+
+
+def test_stream_command(spark, capsys):
+    root = scratch_path(spark, "raw")
+    landing.land(testdata.raw_events(spark, SF_SMALL), root, "events", "b")
+    landing.land(testdata.raw_media(spark, SF_SMALL), root, "media", "media")
+    args = ["stream", "--source-path", root, "--target-db", "cli_stream",
+            "--warehouse-dir", scratch_path(spark, "wh"),
+            "--checkpoint-location", scratch_path(spark, "ckpt")]
+    assert main(args) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["micro_batches"] >= 1
+    assert spark.table("cli_stream.fct_media_engagement").count() > 0
+    assert spark.table("cli_stream.dim_visitors").count() == 15
