@@ -79,6 +79,9 @@ class PipelineConfig:
         object.__setattr__(self, "late_aware", parse_bool(self.late_aware, False))
         if not self.source_path or not self.target_db:
             raise ValueError("source_path and target_db are required")
+        if self.replace_all and self.mode == INCREMENTAL:
+            # a static overwrite with only the window's days would drop history
+            raise ValueError("replace_all needs a full run")
 
     @property
     def facts_start(self) -> dt.date | None:

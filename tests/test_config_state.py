@@ -28,6 +28,8 @@ def test_config_validation():
     assert cfg.facts_start == dt.date(2024, 1, 20) and cfg.dry_run is False
     assert PipelineConfig(source_path="s", target_db="d", start_date="2024-01-20").facts_start is None
     assert PipelineConfig(source_path="s", target_db="d", persist_state="false").persist_state is False
+    with pytest.raises(ValueError):
+        PipelineConfig(source_path="s", target_db="d", mode="incremental", replace_all=True)
 
 
 def test_window_resolution():
