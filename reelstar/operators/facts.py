@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstar import schemas
-from reelstar.functions import parse_event_time, parse_instant, typed_select, watch_time
+from reelstar.functions import parse_event_time, typed_select, watch_time
 from reelstar.operators.dedupe import latest_per_key
 from reelstar.operators.dims import audit_ts
 from reelstar.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join

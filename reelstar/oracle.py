@@ -10,8 +10,7 @@ so agreement checks the Spark plans, not a shared code path.
 from __future__ import annotations
 
 from reelstar import schemas
-from reelstar.plans.queries import (EARLY_CUTOFF, INCREMENTAL_START, LANDING_TS,
-                                    MERGE_FIRST_CUTOFF)
+from reelstar.plans.queries import INCREMENTAL_START, LANDING_TS, MERGE_FIRST_CUTOFF
 
 EVENT_TIME = "'%Y-%m-%dT%H:%M:%S.%gZ'"
 
