@@ -40,9 +40,13 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--replace-all", action="store_true")
         s.add_argument("--no-stage-raw", action="store_true")
         s.add_argument("--no-prune-raw", action="store_true")
+        s.add_argument("--late-aware", action="store_true",
+                       help="widen the incremental window to late events' days")
         if name == "stream":
             s.add_argument("--checkpoint-location", required=True)
             s.add_argument("--max-files-per-trigger", type=int)
+            s.add_argument("--no-dimensions", action="store_true",
+                           help="maintain only the facts; dimensions come from batch runs")
     d = sub.add_parser("ddl")
     d.add_argument("--source-db", default="raw")
     d.add_argument("--target-db", default="curated")
@@ -56,7 +60,8 @@ def _config(a: argparse.Namespace) -> PipelineConfig:
         source_path=a.source_path, target_db=a.target_db, warehouse_dir=a.warehouse_dir,
         mode=a.mode, start_date=a.start_date, dates_end=a.dates_end, dry_run=a.dry_run,
         state_path=a.state_path, persist_state=a.persist_state, replace_all=a.replace_all,
-        stage_raw=not a.no_stage_raw, prune_raw_by_ingest_date=not a.no_prune_raw)
+        stage_raw=not a.no_stage_raw, prune_raw_by_ingest_date=not a.no_prune_raw,
+        late_aware=a.late_aware)
 
 
 def ddl(source_db: str, target_db: str, source_path: str, warehouse_dir: str | None) -> str:
@@ -86,7 +91,8 @@ def main(argv: list[str] | None = None) -> int:
                           "table_rows": rep.table_rows}))
     else:
         from reelstar.streaming.incremental import run_available_now
-        n = run_available_now(spark, cfg, a.checkpoint_location, a.max_files_per_trigger)
+        n = run_available_now(spark, cfg, a.checkpoint_location, a.max_files_per_trigger,
+                              maintain_dimensions=not a.no_dimensions)
         print(json.dumps({"micro_batches": n}))
     return 0
 
