@@ -43,3 +43,13 @@ def test_stream_command(spark, capsys):
     assert out["micro_batches"] >= 1
     assert spark.table("cli_stream.fct_media_engagement").count() > 0
     assert spark.table("cli_stream.dim_visitors").count() == 15
+
+
+def test_column_listing_of_a_dataframe(spark):
+    from reelstar.operators import dims
+    from reelstar.schemas import columns_ddl
+    from conftest import events_df
+    df = dims.build_visitors(events_df(spark, [{}]))
+    assert columns_ddl(df.schema) == ("visitor_id string, created_at timestamp, ip_address string, "
+                                      "country string, region string, updated_at timestamp")
+    assert columns_ddl(df.schema, all_strings=True).count(" string") == 6
