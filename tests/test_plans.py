@@ -41,6 +41,13 @@ def test_lookup_beyond_the_bound_is_not_broadcast(spark):
         assert "BroadcastHashJoin" not in plan
         plan = lookup_join(left, right, "k", max_rows=100)._jdf.queryExecution().sparkPlan().toString()
         assert "BroadcastHashJoin" in plan
+        # a size already proven (observed on the lookup's write) skips the count
+        plan = lookup_join(left, right, "k", max_rows=100, known_rows=50)._jdf.queryExecution() \
+            .sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        plan = lookup_join(left, right, "k", max_rows=10, known_rows=50)._jdf.queryExecution() \
+            .sparkPlan().toString()
+        assert "BroadcastHashJoin" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
