@@ -264,3 +264,12 @@ def test_watermark_follows_the_latest_landing(spark):
                                           incremental_dims=False, **cfg))
     assert rep.dimensions == "rebuilt"
     assert state.watermark(spark)[0] == dt.date(2024, 2, 3)
+
+
+def test_empty_landing_writes_nothing(spark):
+    root = scratch_path(spark, "raw")
+    empty = events_df(spark, [{}]).limit(0)
+    landing.land_events(empty, root, landing.batch_name(dt.date(2024, 3, 1), None))
+    assert read_raw_events(spark, root).count() == 0
+    landing.land_events(events_df(spark, [{}]), root, "b")
+    assert read_raw_events(spark, root).count() == 1
