@@ -9,6 +9,8 @@ so agreement checks the Spark plans, not a shared code path.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from reelstar import schemas
 from reelstar.plans.queries import INCREMENTAL_START, LANDING_TS, MERGE_FIRST_CUTOFF
 
@@ -50,8 +52,8 @@ def _media_select(second: bool) -> str:
   FROM part{' WHERE p_partkey % 5 = 0' if second else ''}"""
 
 
-# name -> (dependencies, body)
-CTES: dict[str, tuple[tuple[str, ...], str]] = {
+# name -> (dependencies, SQL body or a function building it)
+CTES: dict[str, tuple[tuple[str, ...], str | Callable[[], str]]] = {
     "ev": ((), "SELECT event_id, ts, user_id, event_type, value, "
                 "json_extract_string(props, '$.k') AS k FROM events"),
     "raw_events": (("ev",), _event_select(False) + "\n  UNION ALL" + _event_select(True)),
@@ -81,8 +83,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
          try_cast(percent_viewed AS DOUBLE) AS percent_viewed,
          try_cast(ingest_ts AS TIMESTAMP) AS ingest_at, event_key, ingest_date
   FROM raw_events"""),
-    "fct_events_all": (("typed_events", "durations"), "<fct:typed_events>"),
-    "engagement_all": (("fct_events_all",), "<eng:fct_events_all>"),
+    "fct_events_all": (("typed_events", "durations"), lambda: _fct("typed_events")),
+    "engagement_all": (("fct_events_all",), lambda: _eng("fct_events_all")),
     "dim_visitors": (("raw_events",), """
   SELECT visitor_key AS visitor_id, min(try_cast(received_at AS TIMESTAMP)) AS created_at,
          max(ip) AS ip_address, max(country) AS country, max(region) AS region
@@ -144,23 +146,18 @@ CTES.update({
         .replace("CAST(NULL AS VARCHAR) AS ingest_ts, ", "")),
     "typed_since": (("typed_events",), f"""
   SELECT * FROM typed_events WHERE CAST(created_at AS DATE) >= DATE '{INCREMENTAL_START}'"""),
-    "fct_since": (("typed_since", "durations"), "<fct:typed_since>"),
+    "fct_since": (("typed_since", "durations"), lambda: _fct("typed_since")),
     "typed_first": (("typed_events",), f"""
   SELECT * FROM typed_events WHERE ingest_date <= DATE '{MERGE_FIRST_CUTOFF}'"""),
-    "fct_first": (("typed_first", "durations"), "<fct:typed_first>"),
-    "dim_dates_run": (("bounds",), "<cal:DATE '2024-01-29'>"),
+    "fct_first": (("typed_first", "durations"), lambda: _fct("typed_first")),
+    "dim_dates_run": (("bounds",), lambda: _calendar(_spine("DATE '2024-01-29'", "run_date"))),
 })
 
 
 def _body(name: str) -> str:
+    """SQL of a CTE; templated bodies are built when first needed."""
     body = CTES[name][1]
-    if body.startswith("<fct:"):
-        return _fct(body[5:-1])
-    if body.startswith("<eng:"):
-        return _eng(body[5:-1])
-    if body.startswith("<cal:"):
-        return _calendar(_spine(body[5:-1], "run_date"))
-    return body
+    return body() if callable(body) else body
 
 
 def _calendar(spine_sql: str) -> str:
