@@ -121,3 +121,12 @@ def test_results_do_not_depend_on_partitioning(spark):
     a = facts.build_events(ev, dims.media_durations(media)).drop("updated_at")
     b = facts.build_events(ev.repartition(5, F.rand(3)), dims.media_durations(media)).drop("updated_at")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_spine_between_data_bounds(spark):
+    from reelstar.operators.spine import date_spine_between
+    bounds = spark.createDataFrame(
+        [(dt.date(2024, 2, 28), dt.date(2024, 3, 1)), (dt.date(2024, 3, 5), dt.date(2024, 3, 4))],
+        "s date, e date")
+    got = sorted(r.date for r in date_spine_between(bounds, "s", "e").collect())
+    assert got == [dt.date(2024, 2, 28), dt.date(2024, 2, 29), dt.date(2024, 3, 1)]
