@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstar.llm import sentencepiece_codec, token_counts, token_files
+from reelstar.llm import exact_dedup, sentencepiece_codec, simhash, token_counts, token_files
 from reelstar.llm.common import table
 from reelstar.session import scratch_path
 
@@ -21,6 +21,14 @@ TOKEN_LIMIT = 2048
 END_ID = 1
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE),
                                      TOKEN_LIMIT)
@@ -36,9 +44,20 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_exact_dedup": op3_exact_dedup,
+    "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
     "op10_token_files": op10_token_files,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_exact_dedup": r"""
+        WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
+                   FROM documents)
+        SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id,
+               count(*) OVER (PARTITION BY norm) AS group_size,
+               doc_id IS NOT DISTINCT FROM min(doc_id) OVER (PARTITION BY norm) AS kept,
+               sha256(norm) AS text_sha256
+        FROM t""",
+}
