@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import os
 import re
+import shutil
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +23,26 @@ SPACE_SET = r"[\x20\x09-\x0D]+"
 _UNICODE_ONLY = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, so that jobs run
+    wherever it is installed on the driver alone."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    tmp = tempfile.mkdtemp(prefix="reelstar-package-")        # the driver's: Spark serves the file from here
+    atexit.register(shutil.rmtree, tmp, ignore_errors=True)
+    path = os.path.join(tmp, "reelstar_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -7,12 +7,13 @@ Each query applies its operator with production parameters to the whole table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstar.llm import exact_dedup, sentencepiece_codec, simhash, token_counts, token_files
-from reelstar.llm.common import table
+from reelstar.llm import exact_dedup, quality, sentencepiece_codec, simhash, token_counts, token_files, toxicity
+from reelstar.llm.common import ship_package, table
 from reelstar.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -25,6 +26,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.5)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -38,18 +44,33 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_and_read(spark, table(spark, sf_dir, "documents"),
                                       public_tokenizers.path(WORD_BPE), scratch_path(spark, "tokens"), END_ID)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _on_executors(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+    return run
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _on_executors(query) for name, query in {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
+    "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
-}
+}.items()}
 
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": r"""

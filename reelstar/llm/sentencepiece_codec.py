@@ -187,7 +187,7 @@ class Codec:
         self.reference = sentencepiece.SentencePieceProcessor(model_file=path)
         self.threads = threads
         self.cut = self._chunks if self.model.can_cut() else self._whole
-        self.encoder = ChunkEncoder(self.model.core, self.cut, self.learn)
+        self.encoder = _Checked(self)
         self.decoded: list[str] = []
         self.agrees = np.zeros(0, bool)
         types = np.array([t for _, _, t in self.model.pieces])
@@ -200,9 +200,8 @@ class Codec:
         marked = self.model.marked(text)
         return [marked] if marked else []
 
-    def learn(self, fresh: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
-        if len(self.encoder.lens) == 0:
-            self.decoded, self.agrees = [], np.zeros(0, bool)
+    def check(self, fresh: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
+        """Decode new chunks, and hold their ids against sentencepiece's."""
         ends = np.cumsum(lens)
         spans = [ids[e - n:e].tolist() for e, n in zip(ends, lens, strict=True)]
         self.decoded += self.model.core.decode_batch(spans, skip_special_tokens=False)
@@ -232,6 +231,25 @@ class Codec:
             "parity": bad[chunk_ends] == bad[chunk_ends - sizes]})
 
 
+class _Checked(ChunkEncoder):
+    """Chunks that are checked as they are learnt."""
+
+    def __init__(self, codec: Codec):
+        super().__init__(codec.model.core, codec.cut)
+        self.codec = codec
+
+    def learn(self, fresh: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, lens = super().learn(fresh)
+        self.codec.check(fresh, ids, lens)
+        return ids, lens
+
+    def forget(self) -> np.ndarray:
+        kept = super().forget()
+        self.codec.decoded = [self.codec.decoded[i] for i in kept.tolist()]
+        self.codec.agrees = self.codec.agrees[kept]
+        return kept
+
+
 @lru_cache(maxsize=2)
 def _codec(path: str, threads: int) -> Codec:
     return Codec(path, threads)

@@ -45,6 +45,8 @@ from reelstar.llm.chunked import ChunkEncoder
 from reelstar.llm.common import blocks, small_batches
 from reelstar.llm.token_counts import chunks
 
+#: Marks that end a word.
+TAILS = ",.!?;:%&*#$|"
 NULL_ID = -(1 << 63)
 INDEX = "part int, name string, n_docs long, n_tokens long, base long, width int"
 
@@ -61,11 +63,15 @@ def _encoder(path: str) -> ChunkEncoder:
     spec = json.loads(tokenizer.to_str())
     if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
         raise ValueError("special tokens that take white space can't be encoded by chunk")
-    a, b = "thorn,", "été!"
-    whole = tokenizer.encode(f"{a} \n{b} ", add_special_tokens=False).ids
-    if whole != [i for c in (a, b) for i in tokenizer.encode(c, add_special_tokens=False).ids]:
+    def ids(*parts: str) -> list[int]:
+        return [i for p in parts for i in tokenizer.encode(p, add_special_tokens=False).ids]
+
+    if ids("thorn, \n été! ") != ids("thorn,", "été!"):
         raise ValueError("this vocabulary encodes white space; chunks would differ from whole texts")
-    return ChunkEncoder(tokenizer, chunks)
+    # end marks go separately if the vocabulary never joins them to a word or a mark before
+    apart = all(ids(f"{w}{m}{n}") == ids(w, f"{m}{n}") for w in ("thorn", "été", "x7", "don't") for m in TAILS
+                for n in ("", ".", "!"))
+    return ChunkEncoder(tokenizer, chunks, TAILS if apart else "")
 
 
 def _width(tokenizer_path: str, end_id: int) -> int:
