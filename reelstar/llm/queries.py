@@ -12,7 +12,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstar.llm import exact_dedup, quality, sentencepiece_codec, simhash, token_counts, token_files, toxicity
+from reelstar.llm import decontamination, exact_dedup, quality, sentencepiece_codec, simhash, token_counts, token_files, toxicity
 from reelstar.llm.common import ship_package, table
 from reelstar.session import scratch_path
 
@@ -44,6 +44,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _on_execut
     "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
 }.items()}
