@@ -12,7 +12,17 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstar.llm import decontamination, exact_dedup, quality, sentencepiece_codec, simhash, token_counts, token_files, toxicity
+from reelstar.llm import (
+    decontamination,
+    exact_dedup,
+    quality,
+    sentencepiece_codec,
+    simhash,
+    substring_dedup,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from reelstar.llm.common import ship_package, table
 from reelstar.session import scratch_path
 
@@ -22,6 +32,10 @@ TOKEN_LIMIT = 2048
 END_ID = 1
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate(table(spark, sf_dir, "documents"), window=50)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
@@ -67,6 +81,7 @@ def _on_executors(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _on_executors(query) for name, query in {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
