@@ -97,3 +97,14 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     out = single.unionByName(from_hot).unionByName(from_cold)
     return out.select(F.col("_id").alias(id_col), "keep_id", "group_size",
                       F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that repeat a text of a smaller id; a row
+    that repeats both id and text stays once. All columns unchanged."""
+    dropped = (duplicates(docs, id_col, text_col).filter(~F.col("kept"))
+               .select(F.col(id_col).alias("_drop_id"), F.col("text_sha256").alias("_drop_sha")).distinct())
+    keyed = docs.withColumn("_sha", F.sha2(normalised(F.col(text_col)), 256))
+    left = keyed.join(durable(dropped, "dropped"),
+                      keyed[id_col].eqNullSafe(F.col("_drop_id")) & (F.col("_sha") == F.col("_drop_sha")), "left_anti")
+    return left.dropDuplicates([id_col, "_sha"]).select(*docs.columns)

@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -174,3 +175,22 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
               .mapInPandas(run, f"_id {kind}, score double"))
     return scored.select(F.col("_id").alias(id_col), held_out(F.col("_id")).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that reach the threshold, all columns unchanged."""
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        dense = m.dense()
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            good = np.zeros(len(texts), bool)
+            for a, b in blocks(texts):
+                good[a:b] = score_texts(texts[a:b], dense, m.intercept, m.bits) >= threshold
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reelstar.llm import (
     decontamination,
     exact_dedup,
+    pii,
     quality,
     sentencepiece_codec,
     simhash,
@@ -30,6 +31,12 @@ WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 TOKEN_LIMIT = 2048
 END_ID = 1
+#: Key of the registered query; a deployment passes a secret one of its own.
+PII_KEY = "registered"
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +88,7 @@ def _on_executors(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _on_executors(query) for name, query in {
+    "op1_pii": op1_pii,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_toxicity": op4_toxicity,

@@ -71,16 +71,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """``(_id, fp)``; the fingerprint's bits as a signed long."""
+    """``(_id, _r, fp)``: a hash of the text to tell rows of one id apart, and
+    the fingerprint's bits as a signed long."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["_id", "fp"])
+            fps = np.array([fingerprint(t, shingle) for t in batch.column(2).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))],
+                                             ["_id", "_r", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).mapInArrow(run, f"_id {kind}, fp long")
+    return (docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_r"), F.col(text_col).alias("_t"))
+            .mapInArrow(run, f"_id {kind}, _r long, fp long"))
 
 
 def shared_bytes(diff: np.ndarray) -> np.ndarray:
@@ -263,9 +266,7 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """``(id, fingerprint, component_id)`` for each row of ``docs``."""
+def _grouped(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
     fps = durable(fingerprints(docs, shingle, id_col, text_col), "fps")
     distinct = durable(fps.groupBy("fp").agg(F.min("_id").alias("first")), "distinct")
     groups = durable(components(fingerprint_links(distinct.select("fp"), max_bits)), "groups")
@@ -274,6 +275,22 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     rooted = durable(rooted, "rooted")
     least = durable(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     of_fp = durable(rooted.join(least, "root").select("fp", "component_id"), "of-fp")
-    return (fps.join(of_fp, "fp")
-            .select(F.col("_id").alias(id_col),
-                    F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+    return fps.join(of_fp, "fp")
+
+
+def near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """``(id, fingerprint, component_id)`` for each row of ``docs``."""
+    return _grouped(docs, shingle, max_bits, id_col, text_col).select(
+        F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group, that of the smallest id (of a
+    group of null ids all stay). All columns unchanged."""
+    dropped = durable(_grouped(docs, shingle, max_bits, id_col, text_col)
+                      .filter(~F.col("_id").eqNullSafe(F.col("component_id")))
+                      .select(F.col("_id").alias("_drop_id"), F.col("_r").alias("_drop_r")).distinct(), "dropped")
+    same = docs[id_col].eqNullSafe(F.col("_drop_id")) & (F.xxhash64(docs[text_col]) == F.col("_drop_r"))
+    return docs.join(dropped, same, "left_anti")
