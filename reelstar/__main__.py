@@ -1,5 +1,6 @@
 """Command line: ``python -m reelstar <command> [options]``.
 
+    land    land fetched pages and media snapshots from files
     build   rebuild the star schema (full or incremental), then commit state
     stream  run the availableNow stream over newly landed events
     ddl     print the DDL of the raw and curated tables
@@ -12,6 +13,7 @@ Arguments mirror the job parameters (``--source-path``, ``--target-db``,
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import logging
 import sys
@@ -20,7 +22,9 @@ from pyspark.sql import SparkSession
 
 from reelstar import schemas, session
 from reelstar.plans.batch import run_pipeline
-from reelstar.plans.config import PipelineConfig
+from reelstar.functions import utc
+from reelstar.plans.config import PipelineConfig, parse_date
+from reelstar.sources import landing
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -39,7 +43,14 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--persist-state", default="true")
         s.add_argument("--replace-all", action="store_true")
         s.add_argument("--no-stage-raw", action="store_true")
-        s.add_argument("--no-prune-raw", action="store_true")
+        s.add_argument("--prune-raw", action="store_true",
+                       help="skip landings older than the window (no event may be dated after its landing day)")
+        s.add_argument("--incremental-dims", action="store_true",
+                       help="merge dimensions from new landings (append-only sources)")
+        s.add_argument("--dates-start")
+        s.add_argument("--raw-mode", default="PERMISSIVE", help="PERMISSIVE, DROPMALFORMED or FAILFAST")
+        s.add_argument("--quarantine-path", help="copy malformed lines there")
+        s.add_argument("--allow-missing-source", action="store_true")
         s.add_argument("--late-aware", action="store_true",
                        help="widen the incremental window to late events' days")
         if name == "stream":
@@ -47,6 +58,13 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--max-files-per-trigger", type=int)
             s.add_argument("--no-dimensions", action="store_true",
                            help="maintain only the facts; dimensions come from batch runs")
+    s = sub.add_parser("land")
+    s.add_argument("--source-path", required=True, help="root of the raw zone")
+    s.add_argument("--pages", help="pages as JSON Lines")
+    s.add_argument("--media", help="media snapshots as JSON Lines")
+    s.add_argument("--start-date", help="window that was fetched: names the batch")
+    s.add_argument("--end-date")
+    s.add_argument("--ingest-ts")
     d = sub.add_parser("ddl")
     d.add_argument("--source-db", default="raw")
     d.add_argument("--target-db", default="curated")
@@ -60,8 +78,22 @@ def _config(a: argparse.Namespace) -> PipelineConfig:
         source_path=a.source_path, target_db=a.target_db, warehouse_dir=a.warehouse_dir,
         mode=a.mode, start_date=a.start_date, dates_end=a.dates_end, dry_run=a.dry_run,
         state_path=a.state_path, persist_state=a.persist_state, replace_all=a.replace_all,
-        stage_raw=not a.no_stage_raw, prune_raw_by_ingest_date=not a.no_prune_raw,
-        late_aware=a.late_aware)
+        stage_raw=not a.no_stage_raw, prune_raw_by_ingest_date=a.prune_raw,
+        incremental_dims=a.incremental_dims, raw_mode=a.raw_mode, quarantine_path=a.quarantine_path,
+        allow_missing_source=a.allow_missing_source, late_aware=a.late_aware,
+        **({"dates_start": a.dates_start} if a.dates_start else {}))
+
+
+def land(spark: SparkSession, a: argparse.Namespace) -> dict:
+    """Land pages ``{"media_id", "page", "payload"}`` and media snapshots, both JSON Lines."""
+    now = utc(dt.datetime.fromisoformat(a.ingest_ts)) if a.ingest_ts else utc(dt.datetime.now(dt.timezone.utc))
+    batch = landing.batch_name(parse_date(a.start_date), parse_date(a.end_date))
+    if a.pages:
+        pages = spark.read.schema("media_id string, page int, payload string").json(a.pages, mode="FAILFAST")
+        landing.land_events(landing.records_from_pages(pages, now), a.source_path, batch)
+    if a.media:
+        landing.land_media(spark.read.schema(schemas.RAW_MEDIA).json(a.media, mode="FAILFAST"), a.source_path, now.date())
+    return {"batch": batch, "ingest_ts": now.isoformat(), "pages": bool(a.pages), "media": bool(a.media)}
 
 
 def ddl(source_db: str, target_db: str, source_path: str, warehouse_dir: str | None) -> str:
@@ -82,6 +114,9 @@ def main(argv: list[str] | None = None) -> int:
         print(ddl(a.source_db, a.target_db, a.source_path, a.warehouse_dir))
         return 0
     spark = session.configure(SparkSession.builder.getOrCreate())
+    if a.command == "land":
+        print(json.dumps(land(spark, a)))
+        return 0
     cfg = _config(a)
     if a.command == "build":
         rep = run_pipeline(spark, cfg)

@@ -7,6 +7,7 @@ mode instead of failing the job.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -28,17 +29,17 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def utc(t: dt.datetime) -> dt.datetime:
+    """The time in UTC, without a zone; one without a zone is taken as UTC."""
+    return t.astimezone(dt.timezone.utc).replace(tzinfo=None) if t.tzinfo else t
+
+
 def parse_event_time(c: str | Column) -> Column:
     """Event time by the API pattern; anything else (no fraction, 6 digits,
     no Z, junk) is NULL."""
     return F.try_to_timestamp(as_col(c), F.lit(EVENT_TIME_PATTERN))
 
 
-def parse_instant(c: str | Column) -> Column:
-    """Lenient ISO-8601 instant (zone suffix honoured), NULL if invalid."""
-    return as_col(c).try_cast("timestamp")
-
-
 def typed_select(df: DataFrame, spec: Iterable[tuple[str, str, str | None]]) -> DataFrame:
     """Rename and cast by a spec of ``(source, target, type)``.
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar import schemas
-from reelstar.functions import channel_of, date_attributes, typed_select
+from reelstar.functions import channel_of, date_attributes, typed_select, utc
 from reelstar.operators.spine import date_spine
 
 # --- fixed values: raw -> typed projections (source, target, type) -------
@@ -34,10 +34,14 @@ DEFAULT_DATES_START = dt.date(2024, 1, 29)
 
 
 def audit_ts(run_ts: dt.datetime | None) -> Column:
-    """The run's ``updated_at``: a literal when given, else the query time."""
+    """The run's ``updated_at``: a literal when given, else the query time.
+
+    A time without a zone is in UTC. It goes to Spark as text with a zone:
+    a plain datetime would be read in the driver's own time zone.
+    """
     if run_ts is None:
         return F.current_timestamp()
-    return F.lit(run_ts).cast("timestamp")
+    return F.lit(utc(run_ts).isoformat() + "Z").cast("timestamp")
 
 
 def typed_visitors(raw_events: DataFrame) -> DataFrame:
@@ -135,8 +139,7 @@ def build_dates(spark: SparkSession, start: dt.date | str = DEFAULT_DATES_START,
     """dim_dates: the calendar from ``start`` to ``end`` (default: today, UTC).
 
     The reference left-joins the spine with the observed event dates and
-    de-duplicates again, which adds nothing; the spine alone is the result
-    (see :func:`dates_with_observed` for that form).
+    de-duplicates again, which adds nothing; the spine alone is the result.
     """
     end = end or dt.datetime.now(dt.timezone.utc).date()
     return dates_from_spine(date_spine(spark, start, end), run_ts)
@@ -157,15 +160,6 @@ def observed_dates(raw_events: DataFrame) -> DataFrame:
     )
 
 
-def dates_with_observed(spine: DataFrame, raw_events: DataFrame) -> DataFrame:
-    """The spine LEFT JOIN observed dates, the reference's form of dim_dates.
-
-    Observed dates are made distinct first (partial aggregate, at most one
-    row per day), so the join cannot fan out and needs no second dedupe.
-    """
-    return spine.join(observed_dates(raw_events), on="date", how="left")
-
-
 # --- incremental maintenance ------------------------------------------------
 # Every dimension attribute is a min or max over raw rows: associative and
 # idempotent. With append-only raw data, aggregating (previous dimension

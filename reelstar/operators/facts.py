@@ -34,14 +34,14 @@ def typed_events(raw_events: DataFrame) -> DataFrame:
 
 
 def events_since(raw_events: DataFrame, start: dt.date | str | None,
-                 prune_by_ingest_date: bool = True) -> DataFrame:
+                 prune_by_ingest_date: bool = False) -> DataFrame:
     """Raw events whose event date is on or after ``start``.
 
     Unparseable times (NULL dates) are dropped. The parsed-date predicate
-    cannot reach the JSON scan, so, when the frame carries the landing
-    partition ``ingest_date``, the same bound is added on it: an event is
-    never landed before it happens, so every copy of an event dated >= start
-    sits in a partition >= start and partition pruning skips the rest.
+    cannot reach the JSON scan. ``prune_by_ingest_date`` adds the same bound on
+    the landing partition, which skips older landings; that is right only where
+    no event is dated after its landing day and every row has one, so it is
+    off unless the caller vouches for the source.
     """
     if start is None:
         return raw_events
@@ -61,9 +61,9 @@ def build_events(raw_events: DataFrame, durations: DataFrame,
     Duplicates (overlapping landings, anonymous events at the same instant
     of a media) collapse to the latest landed copy. The dedupe runs before
     the duration lookup so fewer rows are joined; the lookup is broadcast
-    when its size is proven small (``durations_rows`` when the caller already
-    knows it, else a bounded count), and otherwise left to a shuffle join
-    with AQE skew handling.
+    when its size is known and small (``durations_rows``), and otherwise left
+    to AQE: a broadcast once its size is known, or a shuffle join with skew
+    handling.
     """
     latest = latest_per_key(typed_events(raw_events), list(EVENT_KEY), list(LATEST_ORDER))
     joined = lookup_join(latest, durations.select("media_id", "duration"), "media_id",

@@ -14,15 +14,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       known_rows: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
 
-    ``known_rows`` is a count already proven by Spark (e.g. observed while
-    the lookup table was written); otherwise the check is a bounded action
-    (``limit(max_rows + 1).count()``) on what is meant to be a small,
-    aggregated lookup. Beyond the bound the frame is returned unmarked and
-    the join stays a shuffle join, where AQE may still switch to broadcast
-    at run time and splits skewed partitions.
+    ``known_rows`` is a count of the table the lookup was written to. Without
+    one, or beyond the bound, the frame is returned unmarked: the lookup is
+    not computed just to be counted, AQE knows its size once it has run and
+    switches to a broadcast then, or splits skewed partitions.
     """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if known_rows is None:
+        return df
+    return F.broadcast(df) if known_rows <= max_rows else df
 
 
 def lookup_join(left: DataFrame, lookup: DataFrame, key: str,

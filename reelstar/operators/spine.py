@@ -6,25 +6,6 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-def _as_date(d: dt.date | str) -> dt.date:
-    return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
-
-
-def date_spine(spark: SparkSession, start: dt.date | str, end: dt.date | str) -> DataFrame:
-    """One row per day from ``start`` to ``end`` inclusive; empty if end < start.
-
-    The day count is known on the driver, so no job is needed to size it;
-    ``spark.range`` spreads the rows over the default parallelism.
-    """
-    start, end = _as_date(start), _as_date(end)
-    n = (end - start).days + 1
-    if n <= 0:
-        return spark.createDataFrame([], T.StructType([T.StructField("date", T.DateType())]))
-    return spark.range(n).select(
-        F.date_add(F.lit(start), F.col("id").cast("int")).alias("date"))
 
 
 def date_spine_between(bounds: DataFrame, start: str | Column, end: str | Column) -> DataFrame:
@@ -34,5 +15,13 @@ def date_spine_between(bounds: DataFrame, start: str | Column, end: str | Column
     e = F.col(end) if isinstance(end, str) else end
     return (
         bounds.where(s <= e)
-        .select(F.explode(F.sequence(s, e, F.expr("interval 1 day"))).alias("date"))
+        # bounds known while planning are folded before the filter holds them back
+        .select(F.explode(F.sequence(s, F.greatest(s, e), F.expr("interval 1 day"))).alias("date"))
     )
+
+
+def date_spine(spark: SparkSession, start: dt.date | str, end: dt.date | str) -> DataFrame:
+    """One row per day from ``start`` to ``end`` inclusive; empty if end < start."""
+    bounds = spark.range(1).select(F.lit(str(start)).cast("date").alias("s"),
+                                   F.lit(str(end)).cast("date").alias("e"))
+    return date_spine_between(bounds, "s", "e")

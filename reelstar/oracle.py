@@ -149,6 +149,9 @@ CTES.update({
     "fct_since": (("typed_since", "durations"), lambda: _fct("typed_since")),
     "typed_first": (("typed_events",), f"""
   SELECT * FROM typed_events WHERE ingest_date <= DATE '{MERGE_FIRST_CUTOFF}'"""),
+    "typed_later": (("typed_events",), f"""
+  SELECT * FROM typed_events WHERE ingest_date >= DATE '{INCREMENTAL_START}'"""),
+    "fct_later": (("typed_later", "durations"), lambda: _fct("typed_later")),
     "fct_first": (("typed_first", "durations"), lambda: _fct("typed_first")),
     "dim_dates_run": (("bounds",), lambda: _calendar(_spine("DATE '2024-01-29'", "run_date"))),
 })
@@ -226,7 +229,11 @@ FROM typed_events t LEFT JOIN durations d ON t.media_id = d.media_id""",
         "media_channel_counts": _with(
             "SELECT channel, count(*) AS n_media FROM dim_media GROUP BY channel", "dim_media"),
         "incremental_filter": _with(f"""
-SELECT event_key, media_id, received_at, ingest_date FROM raw_events
+SELECT event_key, media_id, received_at,
+       CASE WHEN regexp_matches(event_key, '9r?$') THEN NULL
+            WHEN regexp_matches(event_key, '7r?$') THEN CAST(ingest_date - INTERVAL 3 DAYS AS DATE)
+            ELSE ingest_date END AS ingest_date
+FROM raw_events
 WHERE {_DATED} >= DATE '{INCREMENTAL_START}'""", "raw_events"),
         "latest_per_key": _with("""
 SELECT visitor_id, event_key, ingest_at, media_id, created_at, percent_viewed
@@ -248,13 +255,12 @@ SELECT * FROM fct_since""", "fct_first", "fct_since"),
         "table_counts": _with(" UNION ALL ".join(
             f"SELECT '{t}' AS table_name, count(*) AS rows FROM {c}"
             for t, c in _TABLE_CTES.items()), *_TABLE_CTES.values()),
-        "full_pipeline_counts": _with(" UNION ALL ".join(
-            f"SELECT '{t}' AS table_name, count(*) AS rows, "
-            + ("count(DISTINCT p_date) AS partitions, "
-               "count(*) FILTER (WHERE p_date IS NULL) AS null_date_rows"
-               if t.startswith("fct") else
-               "CAST(0 AS BIGINT) AS partitions, CAST(0 AS BIGINT) AS null_date_rows")
-            + f" FROM {c}" for t, c in _TABLE_CTES.items()), *_TABLE_CTES.values()),
+        "full_pipeline_counts": _summary_sql(),
+        "incremental_quiet_window": _summary_sql(),
+        "incremental_dim_visitors": _with("SELECT * FROM dim_visitors", "dim_visitors"),
+        "incremental_engagement": _with(
+            "SELECT * FROM engagement_all WHERE p_date IS NOT NULL", "engagement_all"),
+        "full_rebuild_after_purge": _with("SELECT * FROM fct_later", "fct_later"),
         "incremental_equals_full": _with(" UNION ALL ".join(
             f"SELECT '{t}' AS table_name, 'rows' AS metric, count(*) AS value FROM {c}"
             + (" WHERE p_date IS NOT NULL" if t.startswith("fct") else "")
@@ -277,6 +283,16 @@ _TABLE_CTES = {
 }
 
 
+def _summary_sql() -> str:
+    return _with(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows, "
+        + ("count(DISTINCT p_date) AS partitions, "
+           "count(*) FILTER (WHERE p_date IS NULL) AS null_date_rows"
+           if t.startswith("fct") else
+           "CAST(0 AS BIGINT) AS partitions, CAST(0 AS BIGINT) AS null_date_rows")
+        + f" FROM {c}" for t, c in _TABLE_CTES.items()), *_TABLE_CTES.values())
+
+
 def _pk_sql() -> str:
     parts = []
     for table, cte in _TABLE_CTES.items():

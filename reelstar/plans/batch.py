@@ -2,12 +2,12 @@
 and the land -> build -> commit chain (R4).
 
 Raw events JSON is parsed once per run: the used columns are staged as
-parquet next to the tables, and media URLs, visitors and the event fact
-read that columnar copy (the fact pruned to its landing days). Incremental
-runs read only recent landings: dimensions are merged, not rebuilt.
-Engagement reads the event fact back from the partitions just written, the
-duration lookup comes from the written media dimension, and row counts are
-observed on the writes themselves.
+parquet next to the tables, in a folder of the run's own, and media URLs,
+visitors and the event fact read that columnar copy. Dimensions are rebuilt
+from all raw data in both modes; merging them from new landings is an option
+for append-only sources. Engagement reads the event fact back from the
+partitions just written, the duration lookup comes from the written media
+dimension.
 """
 
 from __future__ import annotations
@@ -16,16 +16,16 @@ import datetime as dt
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar import schemas, session
-from reelstar.functions import parse_event_time
+from reelstar.functions import parse_event_time, utc
 from reelstar.operators import dims, facts
-from reelstar.plans.config import PipelineConfig
+from reelstar.plans.config import FULL, INCREMENTAL, PipelineConfig
 from reelstar.plans.dimstate import DimState
 from reelstar.plans.state import commit_checkpoint, read_checkpoint, resolve_window
-from reelstar.sinks.tables import (WriteResult, ensure_tables, overwrite_partitions,
+from reelstar.sinks.tables import (WriteResult, ensure_tables, in_partitions, overwrite_partitions,
                                    overwrite_table, table_counts)
 from reelstar.sources import landing
 from reelstar.sources.raw import read_raw_events, read_raw_media, stage
@@ -45,26 +45,45 @@ class RunReport:
     raw_rows: dict[str, int] = field(default_factory=dict)   # rows scanned for dimensions
 
 
-def _written_partitions(spark: SparkSession, table: str, res: WriteResult) -> DataFrame:
-    """The partitions a write just replaced, read back from the table."""
-    pc = F.col(schemas.TARGET_PARTITION_COL)
-    cond = pc.isin(res.partitions) if res.partitions else F.lit(False)
-    if res.null_partition:
-        cond = cond | pc.isNull()
-    return spark.table(table).where(cond)
+def _raw(spark: SparkSession, cfg: PipelineConfig, reader, since: dt.date | None = None) -> DataFrame:
+    return reader(spark, cfg.source_path, since=since, mode=cfg.raw_mode,
+                  missing_ok=cfg.allow_missing_source)
+
+
+def quarantine(spark: SparkSession, cfg: PipelineConfig, since: dt.date | None = None) -> None:
+    """Copy malformed event lines of the landings read to ``quarantine_path``, by landing day."""
+    part = schemas.RAW_PARTITION_COL
+    raw = read_raw_events(spark, cfg.source_path, since=since, with_corrupt=True,
+                          missing_ok=cfg.allow_missing_source)
+    # Spark refuses to parse for the corrupt column alone, so a data column is looked at with it
+    corrupt = F.col(schemas.CORRUPT_COL)
+    bad = raw.where(corrupt.isNotNull() & (F.length(F.concat_ws("", corrupt, "event_key")) > 0))
+    (bad.select(F.col(schemas.CORRUPT_COL).alias("value"), part).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(part).text(cfg.quarantine_path))
+
+
+def event_days(raw_events: DataFrame) -> DataFrame:
+    """The fact partitions that raw events belong to."""
+    return raw_events.select(F.to_date(parse_event_time("received_at")).alias(schemas.TARGET_PARTITION_COL))
+
+
+def _through(df: DataFrame):
+    """Latest landing day of a frame and its rows."""
+    return df.agg(F.max(schemas.RAW_PARTITION_COL).alias("through"), F.count(F.lit(1)).alias("rows")).first()
 
 
 def run_batch(spark: SparkSession, cfg: PipelineConfig,
               run_ts: dt.datetime | None = None) -> RunReport:
     """Rebuild dimensions over all raw data and facts from ``cfg.facts_start`` on.
 
-    Full mode aggregates every landing. Incremental mode, once a previous run
-    left its dimension state, reads only landings on or after the older of
-    the fact window start and the dimension watermark, and merges them into
-    the existing dimensions (same result as a rebuild, see ``dims``).
+    With ``incremental_dims`` an incremental run, once a previous run left its
+    dimension state, reads only landings on or after the older of the fact
+    window start and the dimension watermark, and merges them into the
+    existing dimensions (the same result for append-only sources, see
+    ``dimstate``).
     """
     session.configure(spark)
-    run_ts = (run_ts or dt.datetime.now(dt.timezone.utc)).replace(tzinfo=None, microsecond=0)
+    run_ts = utc(run_ts or dt.datetime.now(dt.timezone.utc)).replace(microsecond=0)
     db, start = cfg.target_db, cfg.facts_start
     report = RunReport(cfg.mode, start, run_ts)
     if cfg.dry_run:
@@ -75,21 +94,16 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig,
     urls_prev = state.urls(spark) if events_wm and media_wm else None
     merge_dims = bool(start and cfg.incremental_dims and urls_prev is not None)
 
-    raw_events = read_raw_events(spark, cfg.source_path,
-                                 since=min(events_wm, start) if merge_dims else None)
-    raw_media = read_raw_media(spark, cfg.source_path, since=media_wm if merge_dims else None)
-    # The latest landing day seen is observed on the scan feeding the
-    # dimensions (an observe node stops filter pushdown, so the fact scan
-    # stays unobserved and keeps its partition pruning).
-    ev_obs, media_obs = Observation("events_through"), Observation("media_through")
     part = F.col(schemas.RAW_PARTITION_COL)
-    dim_events = raw_events.observe(ev_obs, F.max(part).alias("through"),
-                                    F.count(F.lit(1)).alias("rows"))
-    raw_media = raw_media.observe(media_obs, F.max(part).alias("through"),
-                                  F.count(F.lit(1)).alias("rows"))
+    since = min(events_wm, start) if merge_dims else None
+    if cfg.quarantine_path:
+        quarantine(spark, cfg, since)
+    raw_events = _raw(spark, cfg, read_raw_events, since)
+    raw_media = _raw(spark, cfg, read_raw_media, media_wm if merge_dims else None)
     if cfg.stage_raw:
-        raw_events = dim_events = stage(dim_events, f"{state.root}/staging/raw_events")
-
+        raw_events = stage(raw_events, state.staging("raw_events"))
+    seen, seen_media = _through(raw_events), _through(raw_media)
+    dim_events = raw_events
     if merge_dims:
         report.dimensions = "merged"
         dim_events = dim_events.where(part >= F.lit(events_wm))
@@ -109,27 +123,26 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig,
             log.info("late events: window widened from %s to %s", start, earliest)
             if merge_dims and earliest < min(events_wm, start):
                 # the widened days may hold copies landed before this run's scan
-                facts_raw = read_raw_events(spark, cfg.source_path, since=earliest)
+                facts_raw = _raw(spark, cfg, read_raw_events, earliest)
             start = report.facts_start = earliest
     durations = spark.table(f"{db}.dim_media").select("media_id", "duration")
-    fct_events = facts.build_events(
-        facts.events_since(facts_raw, start, cfg.prune_raw_by_ingest_date),
-        durations, run_ts, cfg.max_broadcast_rows,
-        durations_rows=report.writes["dim_media"].rows)   # observed on its write
-    res = overwrite_partitions(fct_events, f"{db}.fct_events", replace_all=cfg.replace_all)
+    windowed = facts.events_since(facts_raw, start, cfg.prune_raw_by_ingest_date)
+    fct_events = facts.build_events(windowed, durations, run_ts, cfg.max_broadcast_rows,
+                                    durations_rows=report.writes["dim_media"].rows)
+    res = overwrite_partitions(fct_events, f"{db}.fct_events", replace_all=cfg.replace_all,
+                               days=event_days(windowed))
     report.writes["fct_events"] = res
+    written = in_partitions(spark.table(f"{db}.fct_events"), schemas.TARGET_PARTITION_COL, res)
     report.writes["fct_media_engagement"] = overwrite_partitions(
-        facts.build_media_engagement(_written_partitions(spark, f"{db}.fct_events", res), run_ts),
-        f"{db}.fct_media_engagement", replace_all=cfg.replace_all)
+        facts.build_media_engagement(written, run_ts), f"{db}.fct_media_engagement",
+        replace_all=cfg.replace_all, days=res)
 
-    # Dimension watermark last: a failed run leaves the previous one.
-    seen_events = ev_obs.get.get("through") or events_wm
-    seen_media = media_obs.get.get("through") or media_wm
-    report.raw_rows = {"events": ev_obs.get.get("rows", 0), "media": media_obs.get.get("rows", 0)}
+    # Dimension watermark last: a failed run leaves the previous one. Valid in
+    # both modes: a rebuild saw every landing, a merge every landing since.
+    report.raw_rows = {"events": seen.rows, "media": seen_media.rows}
     log.info("raw rows read: %s", report.raw_rows)
-    # Valid in both modes: a rebuild saw every landing, a merge saw every
-    # landing since the previous watermark.
-    state.write_watermark(spark, seen_events, seen_media)
+    state.write_watermark(spark, seen.through or events_wm, seen_media.through or media_wm)
+    state.drop_staging(spark)
     report.table_rows = {r.table_name: r.rows for r in table_counts(spark, db).collect()}
     return report
 
@@ -156,6 +169,7 @@ def write_dimensions(spark: SparkSession, cfg: PipelineConfig, state: DimState,
         visitors = dims.build_visitors(events, run_ts)
         media = dims.media_from_urls(raw_media, urls, run_ts)
     out = {}
+    state.begin_write(spark)
     for name, df in (
         ("dim_dates", dims.build_dates(spark, cfg.dates_start, cfg.dates_end or run_ts.date(),
                                        run_ts)),
@@ -169,9 +183,13 @@ def write_dimensions(spark: SparkSession, cfg: PipelineConfig, state: DimState,
 
 def _dry_run(spark: SparkSession, cfg: PipelineConfig, run_ts: dt.datetime,
              report: RunReport) -> RunReport:
-    """Build every table and count it, write nothing."""
-    raw_media = read_raw_media(spark, cfg.source_path)
-    raw_events = read_raw_events(spark, cfg.source_path)
+    """Build every table and count it, write no table: raw JSON is parsed once
+    into a staging folder, which goes afterwards."""
+    raw_media = _raw(spark, cfg, read_raw_media)
+    raw_events = _raw(spark, cfg, read_raw_events)
+    staged = session.scratch_path(spark, "dry")
+    if cfg.stage_raw:
+        raw_events = stage(raw_events, f"{staged}/raw_events")
     built = {
         "dim_dates": dims.build_dates(spark, cfg.dates_start, cfg.dates_end or run_ts.date(),
                                       run_ts),
@@ -180,15 +198,19 @@ def _dry_run(spark: SparkSession, cfg: PipelineConfig, run_ts: dt.datetime,
     }
     for name, df in built.items():
         report.writes[name] = WriteResult(name, df.count(), written=False)
+    durations = dims.media_durations(raw_media)
+    # both facts from one pass: engagement rows of a day out of the events' rows
     fct = facts.build_events(
         facts.events_since(raw_events, cfg.facts_start, cfg.prune_raw_by_ingest_date),
-        dims.media_durations(raw_media), run_ts, cfg.max_broadcast_rows)
-    for name, df in (("fct_events", fct),
-                     ("fct_media_engagement", facts.build_media_engagement(fct, run_ts))):
-        values = df.agg(F.count(F.lit(1)).alias("rows"),
-                        F.collect_set(schemas.TARGET_PARTITION_COL).alias("partitions")).first()
-        report.writes[name] = WriteResult(name, values.rows, sorted(values.partitions),
-                                          written=False)
+        durations, run_ts, cfg.max_broadcast_rows)
+    day = schemas.TARGET_PARTITION_COL
+    by_day = (fct.groupBy(day, "media_id", "visitor_id").agg(F.count(F.lit(1)).alias("n"))
+              .groupBy(day).agg(F.sum("n").alias("events"), F.count(F.lit(1)).alias("engagement")).collect())
+    days = sorted(r[day] for r in by_day if r[day] is not None)
+    for name, col in (("fct_events", "events"), ("fct_media_engagement", "engagement")):
+        report.writes[name] = WriteResult(name, sum(r[col] for r in by_day), days,
+                                          any(r[day] is None for r in by_day), written=False)
+    session.delete_path(spark, staged)
     return report
 
 
@@ -202,18 +224,19 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig, pages: DataFrame | No
     not appended, so the replay is harmless).
     """
     session.configure(spark)
-    now = (now or dt.datetime.now(dt.timezone.utc)).replace(tzinfo=None)
+    now = utc(now or dt.datetime.now(dt.timezone.utc))
     checkpoint = read_checkpoint(spark, cfg.state_path)
     window = resolve_window(cfg.mode, cfg.start_date, checkpoint, now)
     if not cfg.dry_run:
         if pages is not None:
-            records = landing.records_from_pages(pages, now, cfg.max_broadcast_rows)
+            records = landing.records_from_pages(pages, now)
             landing.land_events(records, cfg.source_path,
                                 landing.batch_name(window.fetch_start, window.fetch_end))
         if media_snapshot is not None:
             landing.land_media(media_snapshot, cfg.source_path, now.date())
+    # an incremental run without a start rebuilds everything, too
     build_cfg = PipelineConfig(**{**cfg.__dict__, "start_date": window.start_date,
-                                  "mode": "incremental" if window.start_date else "full"})
+                                  "mode": INCREMENTAL if window.start_date else FULL})
     report = run_batch(spark, build_cfg, now)
     report.checkpoint = commit_checkpoint(spark, cfg.state_path, window.new_last_run_ts,
                                           cfg.persist_state, cfg.dry_run)

@@ -58,9 +58,12 @@ class PipelineConfig:
     dry_run: bool = False
     dates_start: dt.date = DEFAULT_DATES_START
     dates_end: dt.date | None = None          # None: the run date
-    prune_raw_by_ingest_date: bool = True
+    prune_raw_by_ingest_date: bool = False    # only where no event is dated after its landing
     stage_raw: bool = True                    # parse raw JSON once per run
-    incremental_dims: bool = True             # merge dims from new landings
+    incremental_dims: bool = False            # merge dims from new landings (append-only sources)
+    raw_mode: str = "PERMISSIVE"              # what a malformed line does: kept, dropped, fails
+    quarantine_path: str | None = None        # where malformed lines are copied to
+    allow_missing_source: bool = False        # read an absent folder as empty
     late_aware: bool = False                  # widen the window to late events' days
     replace_all: bool = False                 # static overwrite of the facts
     state_path: str | None = None             # checkpoint of the last run
@@ -75,7 +78,10 @@ class PipelineConfig:
         object.__setattr__(self, "dry_run", parse_bool(self.dry_run))
         object.__setattr__(self, "persist_state", parse_bool(self.persist_state, True))
         object.__setattr__(self, "stage_raw", parse_bool(self.stage_raw, True))
-        object.__setattr__(self, "incremental_dims", parse_bool(self.incremental_dims, True))
+        object.__setattr__(self, "incremental_dims", parse_bool(self.incremental_dims, False))
+        object.__setattr__(self, "prune_raw_by_ingest_date", parse_bool(self.prune_raw_by_ingest_date, False))
+        object.__setattr__(self, "allow_missing_source", parse_bool(self.allow_missing_source, False))
+        object.__setattr__(self, "raw_mode", str(self.raw_mode).strip().upper())
         object.__setattr__(self, "late_aware", parse_bool(self.late_aware, False))
         if not self.source_path or not self.target_db:
             raise ValueError("source_path and target_db are required")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from reelstar import schemas, session
 from reelstar.functions import parse_event_time, watch_time
 from reelstar.operators import dims, facts
-from reelstar.operators.dedupe import key_violations, latest_per_key
+from reelstar.operators.dedupe import latest_per_key
 from reelstar.operators.joins import lookup_join
 from reelstar.operators.spine import date_spine_between
 from reelstar.plans.batch import run_batch
@@ -39,6 +39,7 @@ INCREMENTAL_START = "2024-01-20"
 EARLY_CUTOFF = "2024-01-10"
 MERGE_FIRST_CUTOFF = "2024-01-22"
 LANDING_TS = "2024-02-02T00:00:00"
+QUIET_START = "2030-01-01"
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -87,11 +88,9 @@ def _run_date_bounds(ev: DataFrame) -> DataFrame:
 
 
 def q_dim_dates(spark, sf_dir):
-    """Calendar from the configured start to the run date of the data."""
+    """Calendar from the configured start to the run date of the data, as the job builds it."""
     ev, _ = _inputs(spark, sf_dir)
-    bounds = _run_date_bounds(ev).withColumn("start", F.lit(dims.DEFAULT_DATES_START))
-    spine = date_spine_between(bounds, "start", "run_date")
-    return dims.dates_from_spine(spine).drop("updated_at")
+    return dims.build_dates(spark, dims.DEFAULT_DATES_START, _run_date(ev)).drop("updated_at")
 
 
 def q_date_spine(spark, sf_dir):
@@ -192,9 +191,10 @@ def q_media_channel_counts(spark, sf_dir):
 
 
 def q_incremental_filter(spark, sf_dir):
-    """Raw events dated on/after the window start (landing partitions pruned)."""
+    """Raw events dated on/after the window start, some of them dated after
+    their landing day or without one."""
     ev, _ = _inputs(spark, sf_dir)
-    return (facts.events_since(ev, INCREMENTAL_START)
+    return (facts.events_since(testdata.unordered_landings(ev), INCREMENTAL_START)
             .select("event_key", "media_id", "received_at", schemas.RAW_PARTITION_COL))
 
 
@@ -224,19 +224,6 @@ def q_affected_partitions(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
-def _built_tables(spark, sf_dir) -> dict[str, DataFrame]:
-    ev, media = _inputs(spark, sf_dir)
-    bounds = _run_date_bounds(ev).withColumn("start", F.lit(dims.DEFAULT_DATES_START))
-    fct = facts.build_events(ev, dims.media_durations(media))
-    return {
-        "dim_dates": dims.dates_from_spine(date_spine_between(bounds, "start", "run_date")),
-        "dim_visitors": dims.build_visitors(ev),
-        "dim_media": dims.build_media(media, ev),
-        "fct_events": fct,
-        "fct_media_engagement": facts.build_media_engagement(fct),
-    }
-
-
 def _long(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -250,13 +237,16 @@ def _metric(df: DataFrame, table: str, metric: str, value) -> DataFrame:
 
 
 def q_pk_violations(spark, sf_dir):
-    """Rows and duplicated primary keys of each built table (expect 0)."""
+    """Rows and duplicated primary keys of each table after a full run
+    (expect 0), from one aggregate a table."""
+    db = _full_run(spark, sf_dir)
     frames = []
-    for table, df in _built_tables(spark, sf_dir).items():
-        keys = list(schemas.PRIMARY_KEYS[table])
-        frames.append(_metric(df, table, "rows", F.count(F.lit(1))))
-        frames.append(_metric(key_violations(df, keys), table, "duplicate_keys",
-                              F.count(F.lit(1))))
+    for table in schemas.CURATED:
+        by_key = spark.table(f"{db}.{table}").groupBy(*schemas.PRIMARY_KEYS[table]).count()
+        both = by_key.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
+                          F.count(F.when(F.col("count") > 1, 1)).alias("duplicate_keys"))
+        frames.append(both.unpivot([], ["rows", "duplicate_keys"], "metric", "value")
+                      .select(F.lit(table).alias("table_name"), "metric", "value"))
     return _long(frames)
 
 
@@ -368,15 +358,60 @@ def q_incremental_equals_full(spark, sf_dir):
     return _long(frames)
 
 
-_STREAM_RUNS: dict[tuple[str, str], str] = {}
+def q_incremental_quiet_window(spark, sf_dir):
+    """A full run, then an incremental run whose window holds no event: all tables as they were."""
+    root = _landed(spark, sf_dir)
+    db, wh = _scratch_db(spark)
+    run_date = _run_date(read_raw_events(spark, root))
+    cfg = dict(source_path=root, target_db=db, warehouse_dir=wh, dates_end=run_date)
+    run_batch(spark, PipelineConfig(**cfg))
+    run_batch(spark, PipelineConfig(mode="incremental", start_date=QUIET_START, **cfg))
+    return _table_summary(spark, db)
+
+
+def q_full_rebuild_after_purge(spark, sf_dir):
+    """A full run over everything, then one over later landings alone that
+    replaces all: no earlier row comes back."""
+    db, wh = _scratch_db(spark)
+    everything = _landed(spark, sf_dir)
+    run_date = _run_date(read_raw_events(spark, everything))
+    cfg = dict(target_db=db, warehouse_dir=wh, dates_end=run_date)
+    run_batch(spark, PipelineConfig(source_path=everything, **cfg))
+    later = _landed(spark, sf_dir, F.col(schemas.RAW_PARTITION_COL) >= F.lit(INCREMENTAL_START).cast("date"))
+    run_batch(spark, PipelineConfig(source_path=later, replace_all=True, **cfg))
+    return _values(spark.table(f"{db}.fct_events"), "fct_events")
+
+
+def _incremental_run(spark: SparkSession, sf_dir: str) -> str:
+    """Full run over early landings, the rest landed to an older day too, an incremental run."""
+    ev, media = _inputs(spark, sf_dir)
+    cut = F.lit(INCREMENTAL_START).cast("date")
+    root = session.scratch_path(spark, "raw")
+    landing.land(media, root, "media", "media")
+    landing.land(ev.where(F.col(schemas.RAW_PARTITION_COL) < cut), root, "events", "b1")
+    db, wh = _scratch_db(spark)
+    cfg = dict(source_path=root, target_db=db, warehouse_dir=wh, dates_end=_run_date(ev))
+    run_batch(spark, PipelineConfig(**cfg))
+    late = ev.where(F.col(schemas.RAW_PARTITION_COL) >= cut)
+    start = late.agg(F.min(F.to_date(parse_event_time("received_at")))).first()[0]
+    # a backfill: landed under a day that the first run had already read
+    landing.land(late.withColumn(schemas.RAW_PARTITION_COL, F.lit(EARLY_CUTOFF).cast("date")), root, "events", "b2")
+    run_batch(spark, PipelineConfig(mode="incremental", start_date=start, **cfg))
+    return db
+
+
+def q_incremental_dim_visitors(spark, sf_dir):
+    """dim_visitors after a backfilled landing and an incremental run."""
+    return _values(spark.table(f"{_incremental_run(spark, sf_dir)}.dim_visitors"), "dim_visitors")
+
+
+def q_incremental_engagement(spark, sf_dir):
+    """Dated engagement after a backfilled landing and an incremental run."""
+    return _dated(spark.table(f"{_incremental_run(spark, sf_dir)}.fct_media_engagement"), "fct_media_engagement")
 
 
 def _stream_db(spark: SparkSession, sf_dir: str) -> str:
-    """Run the availableNow stream over two landings (once per session and
-    input); return the database it maintained."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _STREAM_RUNS and spark.catalog.databaseExists(_STREAM_RUNS[key]):
-        return _STREAM_RUNS[key]
+    """Run the availableNow stream over two landings; return the database it maintained."""
     ev, media = _inputs(spark, sf_dir)
     cut = F.lit(INCREMENTAL_START).cast("date")
     root = session.scratch_path(spark, "raw")
@@ -388,7 +423,6 @@ def _stream_db(spark: SparkSession, sf_dir: str) -> str:
     incremental_stream.run_available_now(spark, cfg, ckpt, max_files_per_trigger=128)
     landing.land(ev.where(F.col(schemas.RAW_PARTITION_COL) >= cut), root, "events", "b2")
     incremental_stream.run_available_now(spark, cfg, ckpt, max_files_per_trigger=128)
-    _STREAM_RUNS[key] = db
     return db
 
 
@@ -444,6 +478,10 @@ def queries() -> dict[str, Query]:
         "table_counts": q_table_counts,
         "full_pipeline_counts": q_full_pipeline_counts,
         "incremental_equals_full": q_incremental_equals_full,
+        "incremental_quiet_window": q_incremental_quiet_window,
+        "incremental_dim_visitors": q_incremental_dim_visitors,
+        "incremental_engagement": q_incremental_engagement,
+        "full_rebuild_after_purge": q_full_rebuild_after_purge,
         "stream_incremental": q_stream_incremental,
         "stream_dim_visitors": q_stream_dim_visitors,
         "stream_dim_media": q_stream_dim_media,

@@ -14,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
-from reelstar.plans.config import FULL, INCREMENTAL, parse_bool, parse_mode
+from reelstar.functions import utc
+from reelstar.plans.config import INCREMENTAL, parse_bool, parse_mode
 
 # Days of history a full run asks the API for.
 FULL_HISTORY_DAYS = 730
@@ -57,17 +58,23 @@ class RunWindow:
 
 def resolve_window(mode: str | None, start_date: dt.date | None, checkpoint: dt.date | None,
                    now: dt.datetime) -> RunWindow:
-    """Explicit start, else the checkpoint (incremental), else 730 days.
+    """What to fetch and which facts to rebuild.
+
+    An incremental run starts at the explicit date, else at the checkpoint;
+    without either it fetches the whole history and rebuilds everything. A full
+    run rebuilds everything whatever the start date; it fetches from that date
+    if given, else 730 days.
 
     The new watermark is the run's start instant, taken before fetching, so
     events arriving during the run are fetched again next time.
     """
     mode = parse_mode(mode)
-    stamp = now.replace(tzinfo=None).isoformat()
+    now = utc(now)
+    stamp = now.isoformat()
+    if mode == INCREMENTAL:
+        since = start_date or checkpoint
+        return RunWindow(since, None, since, stamp)
     if start_date is not None:
-        return RunWindow(start_date, None, start_date, stamp)
-    if mode == INCREMENTAL and checkpoint is not None:
-        return RunWindow(checkpoint, None, checkpoint, stamp)
+        return RunWindow(start_date, None, None, stamp)
     today = now.date()
-    assert mode in (FULL, INCREMENTAL)
     return RunWindow(today - dt.timedelta(days=FULL_HISTORY_DAYS), today, None, stamp)

@@ -51,18 +51,27 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
-    Read from the session; only when it is unset (local runs, tests) is a
-    folder of our own created and registered.
+    Read from the session; only when it is unset in a local run is a folder
+    of our own created and registered. A cluster without one is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="reelstar-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir().rstrip("/")
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it; absent is fine."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/reelstar-{label}-{uuid.uuid4().hex[:12]}"

@@ -1,24 +1,22 @@
 """Writers for the curated tables.
 
 Writes are ``insertInto`` (positional), so every frame is first projected
-to the target's column order by name. Row counts and the set of rewritten
-partitions are collected as observed metrics of the write itself: no
-separate counting job over the data.
+to the target's column order by name. The set of rewritten partitions is read
+from the rows' days before the write and row counts from the written table, so
+neither depends on metrics of tasks that may be retried or planned away.
 """
 
 from __future__ import annotations
 
-import itertools
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar import schemas
 
 log = logging.getLogger("reelstar")
-_ids = itertools.count()
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -44,23 +42,6 @@ def ensure_tables(spark: SparkSession, db: str, warehouse_dir: str | None = None
         spark.sql(schemas.table_ddl(db, table, loc))
 
 
-def _metrics(partition_col: str | None):
-    out = [F.count(F.lit(1)).alias("rows")]
-    if partition_col:
-        out += [F.collect_set(partition_col).alias("partitions"),
-                F.max(F.col(partition_col).isNull()).alias("null_partition")]
-    return out
-
-
-def _result(table: str, values: dict, partition_col: str | None, written: bool) -> WriteResult:
-    return WriteResult(
-        table=table, rows=int(values.get("rows") or 0),
-        partitions=sorted(values.get("partitions") or []) if partition_col else [],
-        null_partition=bool(values.get("null_partition")) if partition_col else False,
-        written=written,
-    )
-
-
 def _aligned(df: DataFrame, table: str, partition_col: str | None) -> DataFrame:
     target = df.sparkSession.table(table).columns
     if partition_col:
@@ -71,31 +52,61 @@ def _aligned(df: DataFrame, table: str, partition_col: str | None) -> DataFrame:
     return df.select(*target)
 
 
+def _partitions(days: DataFrame, partition_col: str) -> tuple[list, bool]:
+    """Partition values in a frame, and whether NULL is among them: one
+    aggregate, at most one row per day."""
+    values = [r[0] for r in days.select(partition_col).distinct().collect()]
+    return sorted(v for v in values if v is not None), None in values
+
+
+def in_partitions(df: DataFrame, partition_col: str, res: WriteResult) -> DataFrame:
+    """Rows of the partitions that a write replaced."""
+    pc = F.col(partition_col)
+    cond = pc.isin(res.partitions) if res.partitions else F.lit(False)
+    if res.null_partition:
+        cond = cond | pc.isNull()
+    return df.where(cond)
+
+
 def _write(df: DataFrame, table: str, partition_col: str | None, dry_run: bool,
-           mode: str) -> WriteResult:
+           mode: str, days: DataFrame | WriteResult | None = None) -> WriteResult:
     df = _aligned(df, table, partition_col)
+    spark = df.sparkSession
+    res = WriteResult(table, 0, written=not dry_run)
     if dry_run:
-        values = df.agg(*_metrics(partition_col)).first().asDict()
-        res = _result(table, values, partition_col, written=False)
+        if partition_col:
+            counts = df.groupBy(partition_col).count().collect()
+            res.rows = sum(r["count"] for r in counts)
+            res.partitions = sorted(r[0] for r in counts if r[0] is not None)
+            res.null_partition = any(r[0] is None for r in counts)
+        else:
+            res.rows = df.count()
         log.info("[dry run] %s: %d rows, partitions %s", table, res.rows, res.partitions)
         return res
-    obs = Observation(f"write_{next(_ids)}")
-    observed = df.observe(obs, *_metrics(partition_col))
     if partition_col:
+        if isinstance(days, WriteResult):
+            res.partitions, res.null_partition = days.partitions, days.null_partition
+        else:
+            res.partitions, res.null_partition = _partitions(df if days is None else days, partition_col)
+        if mode == "dynamic" and not res.partitions and not res.null_partition:
+            log.info("%s: nothing to write", table)
+            return res
         # Cluster rows of a day together so each task writes few files; AQE
         # splits a heavy day and merges light ones (no single-task day).
-        observed = observed.hint("rebalance", partition_col)
+        df = df.hint("rebalance", partition_col)
     # insertInto takes the overwrite mode from the session, not from writer
     # options: switch it for this write only.
-    conf = df.sparkSession.conf
+    conf = spark.conf
     previous = conf.get(_OVERWRITE_MODE, "static")
     conf.set(_OVERWRITE_MODE, mode)
     try:
-        observed.write.insertInto(table, overwrite=True)
+        df.write.insertInto(table, overwrite=True)
     finally:
         conf.set(_OVERWRITE_MODE, previous)
-    df.sparkSession.catalog.refreshTable(table)
-    res = _result(table, obs.get, partition_col, written=True)
+    spark.catalog.refreshTable(table)
+    # what was written is counted on the table itself (parquet footers)
+    written = spark.table(table)
+    res.rows = (in_partitions(written, partition_col, res) if partition_col else written).count()
     log.info("%s: wrote %d rows, partitions %s", table, res.rows, res.partitions)
     return res
 
@@ -107,14 +118,19 @@ def overwrite_table(df: DataFrame, table: str, dry_run: bool = False) -> WriteRe
 
 def overwrite_partitions(df: DataFrame, table: str, partition_col: str = schemas.TARGET_PARTITION_COL,
                          dry_run: bool = False, replace_all: bool = False,
-                         repair: bool = False) -> WriteResult:
+                         repair: bool = False,
+                         days: DataFrame | WriteResult | None = None) -> WriteResult:
     """Replace only the partitions present in ``df`` (dynamic overwrite).
 
+    ``days`` tells which partitions these are where that is cheaper to find
+    than from ``df``: a frame with the partition column, or the result of an
+    earlier write of the same days. A frame without rows replaces nothing.
+
     Other days keep their rows; ``replace_all`` switches to a static
     overwrite that empties the table first. ``repair`` re-syncs partition
     metadata with the file system (for directories added outside Spark).
     """
-    res = _write(df, table, partition_col, dry_run, "static" if replace_all else "dynamic")
+    res = _write(df, table, partition_col, dry_run, "static" if replace_all else "dynamic", days)
     if repair and not dry_run:
         df.sparkSession.sql(f"MSCK REPAIR TABLE {table}")
     return res

@@ -12,37 +12,47 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reelstar import schemas
-from reelstar.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from reelstar.functions import utc
 
 STAMPED = ("media_id", "ingest_ts")
 RECORD_FIELDS = [c for c in schemas.RAW_EVENT_COLUMNS if c not in STAMPED]
-RECORD_SCHEMA = T.ArrayType(T.StructType(
-    [T.StructField(c, T.StringType(), True) for c in RECORD_FIELDS]))
+RECORDS = "array<map<string,string>>"
 BATCH_COL = schemas.RAW_BATCH_COL
+# The whole record as JSON text, as it is landed.
+RECORD_COL = "record"
 
 
-def records_from_pages(pages: DataFrame, ingest_ts: dt.datetime | str,
-                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def records_from_pages(pages: DataFrame, ingest_ts: dt.datetime | str) -> DataFrame:
     """Flatten pages into raw event records stamped with media and landing time.
 
     Pages after a media's first empty page are ignored (the fetch loop stops
-    there). Scalar API values of any JSON type land as their text.
+    there). Scalar API values of any JSON type land as their text. ``record``
+    holds the whole record, also fields that the raw columns don't name. A page
+    that is neither NULL nor a JSON array of records fails the job.
+
+    The stop page is found by counting a page's elements; records are parsed
+    once, and only of the pages kept.
     """
-    stamp = ingest_ts if isinstance(ingest_ts, str) else ingest_ts.isoformat()
-    parsed = pages.select("media_id", "page",
-                          F.from_json("payload", RECORD_SCHEMA).alias("records"))
-    stops = (parsed.where(F.size("records") == 0).groupBy("media_id")
-             .agg(F.min("page").alias("stop_page")))
-    kept = (lookup_join(parsed, stops, "media_id", max_broadcast_rows)
-            .where(F.col("stop_page").isNull() | (F.col("page") < F.col("stop_page"))))
-    flat = kept.select("media_id", F.explode("records").alias("r"))
-    by_name = {c: F.col(f"r.{c}") for c in RECORD_FIELDS}
+    stamp = ingest_ts if isinstance(ingest_ts, str) else utc(ingest_ts).isoformat()
+    length = F.json_array_length("payload")
+    stops = (pages.where(length == 0).groupBy("media_id").agg(F.min("page").alias("stop_page")))
+    kept = (pages.join(stops, "media_id", "left")
+            .where(F.col("stop_page").isNull() | (F.col("page") < F.col("stop_page")))
+            .where(F.col("payload").isNotNull()))
+    bad = F.raise_error(F.concat(F.lit("page "), F.col("page").cast("string"), F.lit(" of media "),
+                                 F.coalesce("media_id", F.lit("NULL")), F.lit(" isn't a JSON array")))
+    whole = F.when(length.isNull(), bad.cast("string")).otherwise(F.col("payload"))
+    # what is an array but no array of objects fails in the parser
+    flat = kept.select("media_id", F.explode(F.from_json(whole, RECORDS, {"mode": "FAILFAST"})).alias("r"))
+    stamped = F.map_from_arrays(F.array(*map(F.lit, STAMPED)), F.array("media_id", F.lit(stamp)))
+    others = F.map_filter("r", lambda k, v: ~k.isin(*STAMPED))
+    by_name = {c: F.col("r")[c] for c in RECORD_FIELDS}
     by_name["media_id"] = F.col("media_id")
     by_name["ingest_ts"] = F.lit(stamp)
     return flat.select(*[by_name[c].alias(c) for c in schemas.RAW_EVENT_COLUMNS],
+                       F.to_json(F.map_concat(others, stamped)).alias(RECORD_COL),
                        F.to_date(F.lit(stamp[:10])).alias(schemas.RAW_PARTITION_COL))
 
 
@@ -59,13 +69,17 @@ def land(records: DataFrame, root: str, table: str, batch: str) -> None:
     """Write records under ``root/table/ingest_date=D/batch=B/`` as JSON Lines.
 
     Dynamic overwrite on (ingest_date, batch): a replayed batch replaces its
-    own files only; other batches of the same day stay. An empty frame
-    writes nothing.
+    own files only; other batches of the same day stay. Of an empty frame
+    only the folder is made. Whole records, where there are any, are written
+    as they are.
     """
-    (records.withColumn(BATCH_COL, F.lit(batch))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(schemas.RAW_PARTITION_COL, BATCH_COL)
-     .json(f"{root.rstrip('/')}/{table}"))
+    out = records.withColumn(BATCH_COL, F.lit(batch))
+    whole = RECORD_COL in records.columns
+    if whole:
+        out = out.select(RECORD_COL, schemas.RAW_PARTITION_COL, BATCH_COL)
+    writer = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy(schemas.RAW_PARTITION_COL, BATCH_COL))
+    (writer.text if whole else writer.json)(f"{root.rstrip('/')}/{table}")
 
 
 def land_events(records: DataFrame, root: str, batch: str) -> None:

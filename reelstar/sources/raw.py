@@ -1,8 +1,8 @@
 """Readers of the raw landing zone (JSON Lines, partitioned by ingest_date).
 
 Always an explicit all-text schema: no inference job, no type drift between
-runs, nested API fields kept as their JSON text, and an empty or missing
-directory reads as an empty frame instead of failing.
+runs, nested API fields kept as their JSON text. An empty directory reads as an
+empty frame; a missing one is an error unless the caller allows it.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ def _read_schema(schema: T.StructType, with_corrupt: bool) -> T.StructType:
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType, *,
              with_corrupt: bool = False, mode: str = "PERMISSIVE",
-             since: dt.date | str | None = None) -> DataFrame:
+             since: dt.date | str | None = None, missing_ok: bool = False) -> DataFrame:
     """Scan a raw directory. ``since`` prunes landing partitions."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
@@ -42,7 +42,8 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType, *,
     try:
         df = spark.read.schema(read_schema).options(**options).json(path)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
+        missing = "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc)
+        if not (missing and missing_ok):
             raise
         df = spark.createDataFrame([], read_schema)
     df = df.select(*read_schema.names)
@@ -76,11 +77,12 @@ def stage(raw: DataFrame, path: str, columns: tuple[str, ...] = EVENT_COLUMNS_US
     read this columnar copy instead, pruned to their own columns and, by
     ``ingest_date``, to their own landing days. The copy also cuts the
     lineage: a lost executor costs a re-read of parquet, not a re-parse.
-    ``path`` is overwritten by the next run, so one copy exists at a time.
+    ``path`` belongs to one run. The overwrite is static whatever the session
+    says: days that this run doesn't read must not stay behind.
     """
     part = schemas.RAW_PARTITION_COL
-    (raw.select(*columns, part).write.mode("overwrite")
-     .partitionBy(part).parquet(path))
+    (raw.select(*columns, part).hint("rebalance", part).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy(part).parquet(path))
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns]
                           + [T.StructField(part, T.DateType(), True)])
     return raw.sparkSession.read.schema(schema).parquet(path)

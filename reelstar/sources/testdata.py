@@ -9,8 +9,8 @@ the media does the same for media. Edge cases are spread by id arithmetic:
 anonymous visitors, unparseable event times, NULL countries, events of
 media without metadata (ids m0-m9) and media without events.
 
-The same derivation is written as SQL in ``reelstar.plans.oracle`` for the
-DuckDB oracle.
+The same derivation is written as SQL in ``reelstar.oracle`` for the DuckDB
+oracle.
 """
 
 from __future__ import annotations
@@ -29,87 +29,78 @@ FIRST_SNAPSHOT_DATE = "2024-01-31"
 SECOND_SNAPSHOT_DATE = "2024-02-01"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input read from fewer files than there are cores.
-
-    The test tables are single files with one row group, which Spark cannot
-    split; without this, all per-row work above the scan runs in one task.
-    Inputs made of many files (any real landing) are left alone, so no
-    shuffle is added at scale.
-    """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < parallelism:
-        return df.repartition(parallelism)
-    return df
-
-
 def _events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
-
-
-def _event_exprs(copy: bool) -> dict[str, str]:
-    """Spark SQL expression per raw event column (one JVM call per column)."""
-    shift = 2 if copy else 1
-    value = "value + 1.0D" if copy else "value"
-    return {
-        "country": "CASE user_id % 4 WHEN 0 THEN 'US' WHEN 1 THEN 'CA' WHEN 2 THEN 'DE' END",
-        "event_key": f"concat('e', CAST(event_id AS STRING), '{'r' if copy else ''}')",
-        "ingest_ts": f'date_format(ts + INTERVAL {shift} DAYS, "{INGEST_FORMAT}")',
-        "ip": "concat_ws('.', '10', CAST(user_id % 7 AS STRING), CAST(user_id % 256 AS STRING), "
-              "CAST(event_id % 256 AS STRING))",
-        "media_id": "concat('m', get_json_object(props, '$.k'))",
-        "media_url": f"concat('{URL_PREFIX}', event_type, '/', get_json_object(props, '$.k'))",
-        "percent_viewed": f"CAST(least({value}, 100.0D) AS STRING)",
-        "received_at": "CASE WHEN event_id % 211 = 0 THEN 'not-a-timestamp' "
-                       f'ELSE date_format(ts, "{RECEIVED_FORMAT}") END',
-        "region": "concat('R', CAST(user_id % 11 AS STRING))",
-        "visitor_key": "CASE WHEN event_id % 97 != 0 THEN concat('v', CAST(user_id AS STRING)) END",
-        schemas.RAW_PARTITION_COL: f"to_date(ts + INTERVAL {shift} DAYS)",
-    }
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+
+
+# Spark SQL expression per raw event column; _copy marks a re-ingested row
+# (one JVM call per column).
+EVENT_EXPRS = {
+    "country": "CASE user_id % 4 WHEN 0 THEN 'US' WHEN 1 THEN 'CA' WHEN 2 THEN 'DE' END",
+    "event_key": "concat('e', CAST(event_id AS STRING), if(_copy, 'r', ''))",
+    "ingest_ts": f'date_format(if(_copy, ts + INTERVAL 2 DAYS, ts + INTERVAL 1 DAYS), "{INGEST_FORMAT}")',
+    "ip": "concat_ws('.', '10', CAST(user_id % 7 AS STRING), CAST(user_id % 256 AS STRING), "
+          "CAST(event_id % 256 AS STRING))",
+    "media_id": "concat('m', get_json_object(props, '$.k'))",
+    "media_url": f"concat('{URL_PREFIX}', event_type, '/', get_json_object(props, '$.k'))",
+    "percent_viewed": "CAST(least(if(_copy, value + 1.0D, value), 100.0D) AS STRING)",
+    "received_at": "CASE WHEN event_id % 211 = 0 THEN 'not-a-timestamp' "
+                   f'ELSE date_format(ts, "{RECEIVED_FORMAT}") END',
+    "region": "concat('R', CAST(user_id % 11 AS STRING))",
+    "visitor_key": "CASE WHEN event_id % 97 != 0 THEN concat('v', CAST(user_id AS STRING)) END",
+    schemas.RAW_PARTITION_COL: "to_date(if(_copy, ts + INTERVAL 2 DAYS, ts + INTERVAL 1 DAYS))",
+}
 
 
 def _select(df: DataFrame, names: list[str], exprs: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{exprs.get(c, 'CAST(NULL AS STRING)')} AS {c}" for c in names])
 
 
-def _shape_events(ev: DataFrame, copy: bool) -> DataFrame:
-    src = ev.where("event_id % 10 = 3") if copy else ev
-    return _select(src, schemas.RAW_EVENT_COLUMNS + [schemas.RAW_PARTITION_COL],
-                   _event_exprs(copy))
+def _shape_events(ev: DataFrame, copies: bool) -> DataFrame:
+    """One scan: a row becomes one or, if it was re-ingested, two."""
+    flags = "if(event_id % 10 = 3, array(false, true), array(false))" if copies else "array(false)"
+    return _select(ev.selectExpr("*", f"explode({flags}) AS _copy"),
+                   schemas.RAW_EVENT_COLUMNS + [schemas.RAW_PARTITION_COL], EVENT_EXPRS)
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events as landed: every event, plus the re-ingested copies."""
-    ev = _events_table(spark, sf_dir)
-    return _shape_events(ev, copy=False).unionByName(_shape_events(ev, copy=True))
+    return _shape_events(_events_table(spark, sf_dir), copies=True)
+
+
+# Days on which some events were landed other than on the day after: a day
+# before they happened (clocks differ), or on a day that nobody noted.
+EARLY_LANDING = "event_key RLIKE '7r?$'"
+NO_LANDING_DAY = "event_key RLIKE '9r?$'"
 
 
-def _media_exprs(second: bool) -> dict[str, str]:
-    day = f"p_partkey % 28 + {2 if second else 1}"
-    return {
-        "archived": "'false'",
-        "created": f"concat('2023-12-', lpad(CAST({day} AS STRING), 2, '0'), 'T00:00:00+00:00')",
-        "duration": "CAST(p_retailprice AS STRING)",
-        "hashed_id": f"concat('m', CAST(p_partkey + {MEDIA_ID_OFFSET} AS STRING))",
-        "id": "CAST(p_partkey AS STRING)",
-        "name": f"concat('{'zz ' if second else ''}', p_name, CASE p_partkey % 3 "
-                "WHEN 0 THEN ' - FaceBook' WHEN 1 THEN ' - YouTube' ELSE '' END)",
-        "type": "'Video'",
-        schemas.RAW_PARTITION_COL:
-            f"DATE'{SECOND_SNAPSHOT_DATE if second else FIRST_SNAPSHOT_DATE}'",
-    }
+def unordered_landings(raw: DataFrame) -> DataFrame:
+    """``raw`` with landing days that don't bound the event days."""
+    day = schemas.RAW_PARTITION_COL
+    return raw.withColumn(day, F.expr(f"CASE WHEN {NO_LANDING_DAY} THEN NULL "
+                                      f"WHEN {EARLY_LANDING} THEN date_sub({day}, 3) ELSE {day} END"))
 
 
-def _shape_media(part: DataFrame, second: bool) -> DataFrame:
-    src = part.where("p_partkey % 5 = 0") if second else part
-    return _select(src, schemas.RAW_MEDIA_COLUMNS + [schemas.RAW_PARTITION_COL],
-                   _media_exprs(second))
+# A second snapshot (_second) has a later day and another name.
+MEDIA_EXPRS = {
+    "archived": "'false'",
+    "created": "concat('2023-12-', lpad(CAST(p_partkey % 28 + if(_second, 2, 1) AS STRING), 2, '0'), "
+               "'T00:00:00+00:00')",
+    "duration": "CAST(p_retailprice AS STRING)",
+    "hashed_id": f"concat('m', CAST(p_partkey + {MEDIA_ID_OFFSET} AS STRING))",
+    "id": "CAST(p_partkey AS STRING)",
+    "name": "concat(if(_second, 'zz ', ''), p_name, CASE p_partkey % 3 "
+            "WHEN 0 THEN ' - FaceBook' WHEN 1 THEN ' - YouTube' ELSE '' END)",
+    "type": "'Video'",
+    schemas.RAW_PARTITION_COL: f"if(_second, DATE'{SECOND_SNAPSHOT_DATE}', DATE'{FIRST_SNAPSHOT_DATE}')",
+}
 
 
 def raw_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw media snapshots: every part, plus a later snapshot of some."""
     part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
-    return _shape_media(part, second=False).unionByName(_shape_media(part, second=True))
+    both = part.selectExpr("*", "explode(if(p_partkey % 5 = 0, array(false, true), array(false))) AS _second")
+    return _select(both, schemas.RAW_MEDIA_COLUMNS + [schemas.RAW_PARTITION_COL], MEDIA_EXPRS)
 
 
 def pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
@@ -118,9 +109,10 @@ def pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
     Events of a media are paged by event id (page = event_id div page_size
     + 1), so a page holds at most ``page_size`` records and building it
     never gathers a whole media into one group. Each media ends with an
-    empty page ``[]``, as the API does.
+    empty page ``[]``, as the API does; what an API gave after it must not be
+    landed, so each has one more page of a record that no event has.
     """
-    ev = _shape_events(_events_table(spark, sf_dir), copy=False)
+    ev = _shape_events(_events_table(spark, sf_dir), copies=False)
     record_cols = [c for c in schemas.RAW_EVENT_COLUMNS if c not in ("media_id", "ingest_ts")]
     paged = ev.withColumn(
         "page", (F.floor(F.col("event_key").substr(F.lit(2), F.lit(64)).cast("long") / page_size)
@@ -129,4 +121,6 @@ def pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
         F.to_json(F.collect_list(F.struct(*record_cols))).alias("payload"))
     ends = full.groupBy("media_id").agg((F.max("page") + 1).alias("page")) \
         .withColumn("payload", F.lit("[]"))
-    return full.unionByName(ends)
+    after = ends.select("media_id", (F.col("page") + 1).alias("page"),
+                        F.lit('[{"event_key": "after-the-end"}]').alias("payload"))
+    return full.unionByName(ends).unionByName(after)

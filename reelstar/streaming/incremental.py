@@ -1,50 +1,69 @@
 """Incremental fact maintenance on Structured Streaming (R5).
 
 A file stream over the raw events directory (``trigger(availableNow)``)
-hands each micro-batch of newly landed files to ``foreachBatch``. A batch
-is only used to learn which event days it touches (at most one row per
-day reaches the driver); those days are rebuilt from the whole raw zone,
-pruned to landing partitions on or after the earliest touched day, and
-replace their fact partitions by dynamic overwrite. A replayed batch
-recomputes the same partitions from the same immutable files, so the sink
-is idempotent and the stream's checkpoint gives exactly-once progress.
-
-Dimensions are merged from the micro-batch itself (min/max merges, see
-``operators.dims``) plus the media snapshots landed since the media
-watermark, so the stream keeps all five tables current. Like the batch
-job's incremental mode, events whose time cannot be parsed (NULL day) are
-left to full runs.
+hands each micro-batch of newly landed files to ``foreachBatch``. A batch is
+parsed once: its used columns are appended to a parquet copy partitioned by event
+day and batch id, which lives beside the stream's checkpoint and holds all that the
+stream has seen. The days a batch touches are its partitions in the copy; they are
+rebuilt from the copy, which reads these days only, and replace their fact
+partitions by dynamic overwrite. A replayed batch replaces its own partitions
+of the copy and recomputes the same days, so the sink is idempotent and the
+stream's checkpoint gives exactly-once progress.
+
+Dimensions are merged from the batch's copy (min/max merges, see
+``operators.dims``) plus the media snapshots landed since the media watermark, so
+the stream keeps all five tables current; a stream only ever sees landings
+appended. If an earlier write of them stopped half-way they are rebuilt from the raw
+zone instead. Like the batch job's incremental mode, events whose time
+cannot be parsed (NULL day) are left to full runs.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from reelstar import schemas, session
-from reelstar.functions import parse_event_time
+from reelstar.functions import parse_event_time, utc
 from reelstar.operators import dims, facts
 from reelstar.plans.config import PipelineConfig
-from reelstar.sinks.tables import WriteResult, ensure_tables, overwrite_partitions
+from reelstar.sinks.tables import WriteResult, ensure_tables, in_partitions, overwrite_partitions
 from reelstar.sources.landing import BATCH_COL
-from reelstar.sources.raw import read_raw_events, read_raw_media
+from reelstar.sources.raw import EVENT_COLUMNS_USED, read_raw_events, read_raw_media
+
+
+DAY_COL, ID_COL = "event_day", "batch_id"
+
+
+def append_batch(batch: DataFrame, batch_id: int, copy: str) -> DataFrame:
+    """Parse a micro-batch into the event-day copy; the batch as read back."""
+    day = F.to_date(parse_event_time("received_at")).alias(DAY_COL)
+    (batch.select(*EVENT_COLUMNS_USED, schemas.RAW_PARTITION_COL, day, F.lit(batch_id).cast("long").alias(ID_COL))
+     .hint("rebalance", DAY_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(DAY_COL, ID_COL).parquet(copy))
+    return read_copy(batch.sparkSession, copy).where(F.col(ID_COL) == batch_id)
+
+
+def read_copy(spark: SparkSession, copy: str) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in EVENT_COLUMNS_USED])
+    for name, kind in ((schemas.RAW_PARTITION_COL, "date"), (DAY_COL, "date"), (ID_COL, "long")):
+        schema = schema.add(name, kind)
+    return spark.read.schema(schema).parquet(copy)
 
 
 def touched_dates(batch: DataFrame) -> list[dt.date]:
-    """Distinct event days of a micro-batch (bounded by the number of days)."""
-    day = F.to_date(parse_event_time("received_at")).alias("d")
-    return sorted(r.d for r in batch.select(day).where(F.col("d").isNotNull())
-                  .distinct().collect())
+    """Distinct event days of a batch in the copy: its partition values."""
+    return sorted(r[0] for r in batch.select(DAY_COL).where(F.col(DAY_COL).isNotNull()).distinct().collect())
 
 
-def rebuild_dates(spark: SparkSession, cfg: PipelineConfig, dates: list[dt.date],
+def rebuild_dates(spark: SparkSession, cfg: PipelineConfig, copy: str, dates: list[dt.date],
                   run_ts: dt.datetime | None = None,
                   media_rows: int | None = None) -> dict[str, WriteResult]:
-    """Recompute both facts for ``dates`` from raw data and replace them.
+    """Recompute both facts for ``dates`` from the copy and replace them.
 
     ``media_rows``: row count of dim_media if this micro-batch just wrote it
     (a proven bound for broadcasting the duration lookup).
@@ -52,41 +71,43 @@ def rebuild_dates(spark: SparkSession, cfg: PipelineConfig, dates: list[dt.date]
     if not dates:
         return {}
     db = cfg.target_db
-    raw = read_raw_events(spark, cfg.source_path)
-    day = F.to_date(parse_event_time("received_at"))
-    events = facts.events_since(raw, dates[0], cfg.prune_raw_by_ingest_date).where(day.isin(dates))
+    events = read_copy(spark, copy).where(F.col(DAY_COL).isin(dates))
     if media_rows or spark.table(f"{db}.dim_media").take(1):
         durations = spark.table(f"{db}.dim_media").select("media_id", "duration")
     else:
-        durations, media_rows = dims.media_durations(read_raw_media(spark, cfg.source_path)), None
+        durations, media_rows = dims.media_durations(
+            read_raw_media(spark, cfg.source_path, missing_ok=cfg.allow_missing_source)), None
+    days = WriteResult("days", 0, dates)
     fct = facts.build_events(events, durations, run_ts, cfg.max_broadcast_rows, media_rows)
-    out = {"fct_events": overwrite_partitions(fct, f"{db}.fct_events")}
-    written = spark.table(f"{db}.fct_events").where(
-        F.col(schemas.TARGET_PARTITION_COL).isin(out["fct_events"].partitions))
+    out = {"fct_events": overwrite_partitions(fct, f"{db}.fct_events", days=days)}
+    written = in_partitions(spark.table(f"{db}.fct_events"), schemas.TARGET_PARTITION_COL, days)
     out["fct_media_engagement"] = overwrite_partitions(
-        facts.build_media_engagement(written, run_ts), f"{db}.fct_media_engagement")
+        facts.build_media_engagement(written, run_ts), f"{db}.fct_media_engagement", days=days)
     return out
 
 
 def refresh_dimensions(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame,
                        run_ts: dt.datetime | None = None) -> dict[str, WriteResult]:
-    """Merge a micro-batch of raw events (and new media snapshots) into the
+    """Merge a batch of the copy (and new media snapshots) into the
     dimensions. The events watermark is left to batch runs, which re-read
     from their own watermark (harmless overlap: the merges are idempotent)."""
     from reelstar.plans.batch import write_dimensions
     from reelstar.plans.dimstate import DimState
 
-    run_ts = (run_ts or dt.datetime.now(dt.timezone.utc)).replace(tzinfo=None, microsecond=0)
+    run_ts = utc(run_ts or dt.datetime.now(dt.timezone.utc)).replace(microsecond=0)
     state = DimState.for_db(spark, cfg.target_db, cfg.warehouse_dir)
     events_wm, media_wm = state.watermark(spark)
+    reread = state.write_open(spark)
     urls = state.urls(spark)
-    if urls is None:
+    if reread:
+        batch, media_wm = read_raw_events(spark, cfg.source_path), None
+    elif urls is None:
         urls = spark.createDataFrame([], "media_id string, media_url string")
-    obs = Observation("stream_media_through")
-    media = read_raw_media(spark, cfg.source_path, since=media_wm).observe(
-        obs, F.max(schemas.RAW_PARTITION_COL).alias("through"))
+    media = read_raw_media(spark, cfg.source_path, since=media_wm, missing_ok=cfg.allow_missing_source)
+    through = media.agg(F.max(schemas.RAW_PARTITION_COL)).first()[0]
     out = write_dimensions(spark, cfg, state, batch, media, run_ts, urls)
-    state.write_watermark(spark, events_wm, obs.get.get("through") or media_wm)
+    state.write_watermark(spark, events_wm, through or media_wm)
+    state.drop_staging(spark)
     return out
 
 
@@ -102,12 +123,15 @@ def start(spark: SparkSession, cfg: PipelineConfig, checkpoint_location: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(f"{cfg.source_path.rstrip('/')}/events")
+    # lives and dies with the checkpoint: both know the same files
+    copy = f"{checkpoint_location.rstrip('/')}-event-days"
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        copied = append_batch(batch, batch_id, copy)
         media_rows = None
         if maintain_dimensions:
-            media_rows = refresh_dimensions(spark, cfg, batch)["dim_media"].rows
-        rebuild_dates(spark, cfg, touched_dates(batch), media_rows=media_rows)
+            media_rows = refresh_dimensions(spark, cfg, copied)["dim_media"].rows
+        rebuild_dates(spark, cfg, copy, touched_dates(copied), media_rows=media_rows)
 
     writer = (stream.writeStream.foreachBatch(process)
               .option("checkpointLocation", checkpoint_location))

@@ -1,4 +1,7 @@
 import datetime as dt
+import os
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 
@@ -94,6 +97,28 @@ def test_events_since_drops_null_dates_and_prunes_landings(spark):
     assert facts.events_since(ev, None).count() == 3
 
 
+def test_events_dated_after_their_landing_are_kept(spark):
+    ev = events_df(spark, [
+        {"event_key": "early", "received_at": "2024-03-02T00:00:00.000Z", "ingest_date": dt.date(2024, 2, 29)},
+        {"event_key": "nowhere", "received_at": "2024-03-02T00:00:00.000Z"},
+    ]).withColumn("ingest_date", F.expr("if(event_key = 'nowhere', NULL, ingest_date)"))
+    assert sorted(r.event_key for r in facts.events_since(ev, "2024-03-01").collect()) == ["early", "nowhere"]
+    assert facts.events_since(ev, "2024-03-01", prune_by_ingest_date=True).count() == 0
+
+
+def test_audit_time_does_not_depend_on_the_driver_zone():
+    code = ("from conftest import events_df\nimport datetime as dt\n"
+            "from reelstar.session import local_session\nfrom reelstar.operators import dims\n"
+            "s = local_session(1)\n"
+            "for t in (dt.datetime(2024, 3, 1), dt.datetime(2024, 3, 1, 1, tzinfo=dt.timezone(dt.timedelta(hours=1)))):\n"
+            "    df = dims.build_visitors(events_df(s, [{}]), t)\n"
+            "    print('AT', df.selectExpr('CAST(updated_at AS STRING) t').first().t)\n")
+    here = os.path.dirname(os.path.abspath(__file__))
+    env = os.environ | {"TZ": "America/New_York", "PYTHONPATH": os.pathsep.join([here, os.path.dirname(here)])}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=180, check=True)
+    assert [x for x in out.stdout.splitlines() if x.startswith("AT")] == ["AT 2024-03-01 00:00:00"] * 2
+
+
 def test_dates_dimension(spark):
     rows = dims.build_dates(spark, "2024-02-27", "2024-03-01").collect()
     assert [r.date for r in rows] == [dt.date(2024, 2, 27), dt.date(2024, 2, 28), dt.date(2024, 2, 29),
@@ -110,7 +135,7 @@ def test_dates_dimension(spark):
 def test_spine_join_with_observed_dates_changes_nothing(spark):
     ev = events_df(spark, [{"received_at": "2024-03-01T00:00:00.000Z"}] * 3)
     spine = dims.build_dates(spark, "2024-02-28", "2024-03-02").select("date")
-    joined = dims.dates_with_observed(spine, ev)
+    joined = spine.join(dims.observed_dates(ev), "date", "left")
     assert sorted(r.date for r in joined.collect()) == sorted(r.date for r in spine.collect())
 
 

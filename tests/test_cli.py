@@ -53,3 +53,17 @@ def test_column_listing_of_a_dataframe(spark):
     assert columns_ddl(df.schema) == ("visitor_id string, created_at timestamp, ip_address string, "
                                       "country string, region string, updated_at timestamp")
     assert columns_ddl(df.schema, all_strings=True).count(" string") == 6
+
+
+def test_land_command(spark, tmp_path, capsys):
+    pages, media, root = tmp_path / "pages.jsonl", tmp_path / "media.jsonl", tmp_path / "raw"
+    pages.write_text("\n".join(json.dumps({"media_id": "m1", "page": i, "payload": p}) for i, p in (
+        (1, '[{"event_key": "a"}]'), (2, "[]"), (3, '[{"event_key": "late"}]'))))
+    media.write_text(json.dumps({"hashed_id": "m1", "name": "x"}))
+    assert main(["land", "--source-path", str(root), "--pages", str(pages), "--media", str(media),
+                 "--start-date", "2026-01-27", "--ingest-ts", "2026-01-28T02:00:00+02:00"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["batch"] == "events_2026-01-27-latest" and out["ingest_ts"] == "2026-01-28T00:00:00"
+    from reelstar.sources.raw import read_raw_events, read_raw_media
+    assert [r.event_key for r in read_raw_events(spark, str(root)).collect()] == ["a"]
+    assert read_raw_media(spark, str(root)).first().hashed_id == "m1"

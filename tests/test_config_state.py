@@ -40,8 +40,14 @@ def test_window_resolution():
     w = resolve_window("full", None, dt.date(2026, 1, 27), now)
     assert w.start_date is None and w.fetch_end == dt.date(2026, 1, 28)
     assert w.fetch_start == dt.date(2026, 1, 28) - dt.timedelta(days=730)
-    assert resolve_window("full", dt.date(2026, 1, 1), None, now).start_date == dt.date(2026, 1, 1)
-    assert resolve_window("incremental", None, None, now).start_date is None
+    w = resolve_window("full", dt.date(2026, 1, 1), None, now)
+    assert (w.fetch_start, w.start_date) == (dt.date(2026, 1, 1), None)      # a full run rebuilds all
+    w = resolve_window("incremental", None, None, now)
+    assert (w.fetch_start, w.fetch_end, w.start_date) == (None, None, None)  # first run: the whole history
+    w = resolve_window("incremental", dt.date(2026, 1, 1), dt.date(2026, 1, 27), now)
+    assert (w.fetch_start, w.start_date) == (dt.date(2026, 1, 1), dt.date(2026, 1, 1))
+    zoned = dt.datetime(2026, 1, 28, 2, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    assert resolve_window("full", None, None, zoned).new_last_run_ts == "2026-01-28T00:00:00"
 
 
 def test_checkpoint_roundtrip(spark):

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from reelstar.functions import channel_of, parse_event_time, parse_instant, typed_select
+from reelstar.functions import channel_of, parse_event_time, typed_select, utc
 
 
 def _one(spark, expr, value):
@@ -21,10 +21,10 @@ def test_event_time_pattern_rejects_other_shapes(spark):
         assert _one(spark, parse_event_time, bad) is None, bad
 
 
-def test_lenient_instant_honours_zone(spark):
-    assert _one(spark, parse_instant, "2024-03-01T01:30:00Z") == dt.datetime(2024, 3, 1, 1, 30)
-    assert _one(spark, parse_instant, "2023-12-02T00:00:00+01:00") == dt.datetime(2023, 12, 1, 23, 0)
-    assert _one(spark, parse_instant, "not a time") is None
+def test_utc_converts_zones_and_keeps_plain_times():
+    plain = dt.datetime(2024, 3, 1, 1, 30)
+    assert utc(plain) == plain
+    assert utc(dt.datetime.fromisoformat("2023-12-02T00:00:00+01:00")) == dt.datetime(2023, 12, 1, 23, 0)
 
 
 def test_session_zone_does_not_change_results(spark):

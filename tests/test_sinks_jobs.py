@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import uuid
 
 import pytest
@@ -115,7 +116,9 @@ def test_malformed_lines_and_empty_directories(spark, tmp_path):
     # together with a data column
     bad = corrupt.select("event_key", schemas.CORRUPT_COL).collect()
     assert [r[schemas.CORRUPT_COL] for r in bad if r[schemas.CORRUPT_COL]] == ["{not json"]
-    assert read_raw_events(spark, str(tmp_path / "nothing")).count() == 0
+    assert read_raw_events(spark, str(tmp_path / "nothing"), missing_ok=True).count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_raw_events(spark, str(tmp_path / "nothing"))
 
 
 def test_pages_stop_at_first_empty_page(spark):
@@ -185,7 +188,7 @@ def test_incremental_run_merges_dimensions_like_a_rebuild(spark):
          "visitor_key": "v2", "received_at": "2024-03-04T00:00:00.000Z", "ingest_date": d2}]), root, "events", "b2")
     landing.land(media_df(spark, [{"hashed_id": "m7", "name": "late", "ingest_date": d2}]),
                  root, "media", "media")
-    rep = run_batch(spark, PipelineConfig(target_db=db, mode="incremental",
+    rep = run_batch(spark, PipelineConfig(target_db=db, mode="incremental", incremental_dims=True,
                                           start_date="2024-03-04", **cfg))
     assert rep.dimensions == "merged"
     db_full = _db()
@@ -273,3 +276,157 @@ def test_empty_landing_writes_nothing(spark):
     assert read_raw_events(spark, root).count() == 0
     landing.land_events(events_df(spark, [{}]), root, "b")
     assert read_raw_events(spark, root).count() == 1
+
+
+def _same(spark, a, b, tables=tuple(schemas.CURATED)):
+    for t in tables:
+        x, y = (spark.table(f"{db}.{t}").drop("updated_at") for db in (a, b))
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, t
+
+
+@pytest.mark.parametrize("stage_raw", [True, False])
+def test_quiet_window_leaves_all_tables(spark, stage_raw):
+    root, db, wh, state = _landed(spark), _db(), scratch_path(spark, "wh"), scratch_path(spark, "state")
+    cfg = dict(source_path=root, target_db=db, warehouse_dir=wh, dates_end="2024-02-01", stage_raw=stage_raw,
+               mode="incremental", state_path=state)
+    run_pipeline(spark, PipelineConfig(**cfg), now=dt.datetime(2030, 1, 1))
+    before = {t: spark.table(f"{db}.{t}").drop("updated_at").collect() for t in schemas.CURATED}
+    rep = run_pipeline(spark, PipelineConfig(**cfg), now=dt.datetime(2030, 1, 2))
+    assert rep.facts_start == dt.date(2030, 1, 1) and rep.checkpoint["status"] == "committed"
+    assert rep.writes["fct_events"].rows == 0 and rep.writes["fct_events"].partitions == []
+    for t in schemas.CURATED:
+        assert sorted(map(str, spark.table(f"{db}.{t}").drop("updated_at").collect())) == sorted(map(str, before[t]))
+
+
+def test_empty_source_folders(spark):
+    root, db, wh = scratch_path(spark, "raw"), _db(), scratch_path(spark, "wh")
+    landing.land(events_df(spark, [{}]).limit(0), root, "events", "b")
+    landing.land(media_df(spark, [{}]).limit(0), root, "media", "media")
+    cfg = PipelineConfig(source_path=root, target_db=db, warehouse_dir=wh, dates_end="2024-02-01")
+    assert run_batch(spark, cfg).table_rows["fct_events"] == 0
+    rep = run_batch(spark, PipelineConfig(**{**cfg.__dict__, "replace_all": True}))
+    assert rep.table_rows["fct_media_engagement"] == 0
+
+
+def test_rebuild_after_purge_brings_no_old_rows_back(spark):
+    db, wh = _db(), scratch_path(spark, "wh")
+    cfg = dict(target_db=db, warehouse_dir=wh, dates_end="2024-03-06")
+    old = _landed(spark, events_df(spark, [{"visitor_key": "v1"}, {"visitor_key": "v2", "ingest_date": dt.date(2024, 3, 3)}]),
+                  media_df(spark, [{}]))
+    run_batch(spark, PipelineConfig(source_path=old, **cfg))
+    new = _landed(spark, events_df(spark, [{"visitor_key": "v7", "ingest_date": dt.date(2024, 3, 5)}]), media_df(spark, [{}]))
+    run_batch(spark, PipelineConfig(source_path=new, replace_all=True, **cfg))
+    assert [r.visitor_id for r in spark.table(f"{db}.dim_visitors").collect()] == ["v7"]
+    assert [r.visitor_id for r in spark.table(f"{db}.fct_events").collect()] == ["v7"]
+
+
+def test_mistyped_source_fails_and_changes_nothing(spark):
+    root, db, wh = _landed(spark), _db(), scratch_path(spark, "wh")
+    cfg = dict(target_db=db, warehouse_dir=wh, dates_end="2024-02-01")
+    run_batch(spark, PipelineConfig(source_path=root, **cfg))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run_batch(spark, PipelineConfig(source_path=root + "x", **cfg))
+    assert spark.table(f"{db}.dim_media").count() == 200
+
+
+@pytest.mark.parametrize("merge", [False, True])
+def test_failed_dimension_write_loses_nothing(spark, monkeypatch, merge):
+    from reelstar.plans import batch
+    root, db, wh = scratch_path(spark, "raw"), _db(), scratch_path(spark, "wh")
+    landing.land(events_df(spark, [{"visitor_key": "v1"}, {"visitor_key": "v2", "event_key": "e2"}]), root, "events", "b1")
+    landing.land(media_df(spark, [{}]), root, "media", "media")
+    cfg = dict(source_path=root, target_db=db, warehouse_dir=wh, dates_end="2024-03-06")
+    run_batch(spark, PipelineConfig(**cfg))
+    landing.land(events_df(spark, [{"visitor_key": "v3", "event_key": "e3", "ingest_date": dt.date(2024, 3, 4)}]),
+                 root, "events", "b2")
+    inc = dict(mode="incremental", start_date="2024-03-01", incremental_dims=merge)
+
+    def half(df, table, dry_run=False):
+        if table.endswith("dim_visitors"):
+            overwrite_table(df.limit(1), table)
+            raise OSError("disk full")
+        return overwrite_table(df, table, dry_run)
+    monkeypatch.setattr(batch, "overwrite_table", half)
+    with pytest.raises(OSError):
+        run_batch(spark, PipelineConfig(**cfg, **inc))
+    monkeypatch.undo()
+    rep = run_batch(spark, PipelineConfig(**cfg, **inc))
+    assert rep.dimensions == "rebuilt"
+    assert sorted(r.visitor_id for r in spark.table(f"{db}.dim_visitors").collect()) == ["v1", "v2", "v3"]
+
+
+def test_replaced_snapshot_and_backfilled_day(spark):
+    root, wh = scratch_path(spark, "raw"), scratch_path(spark, "wh")
+    db, full = _db(), _db()
+    cfg = dict(source_path=root, warehouse_dir=wh, dates_end="2024-03-06")
+    landing.land(events_df(spark, [{"visitor_key": "v1"}]), root, "events", "b1")
+    landing.land(media_df(spark, [{"name": "zz first"}]), root, "media", "media")
+    run_batch(spark, PipelineConfig(target_db=db, **cfg))
+    landing.land(media_df(spark, [{"name": "aa corrected"}]), root, "media", "media")
+    landing.land(events_df(spark, [{"visitor_key": "v3", "event_key": "e3", "ingest_date": dt.date(2024, 2, 1)}]),
+                 root, "events", "late")
+    run_batch(spark, PipelineConfig(target_db=db, mode="incremental", start_date="2024-03-01", **cfg))
+    run_batch(spark, PipelineConfig(target_db=full, **cfg))
+    _same(spark, db, full)
+    assert spark.table(f"{db}.dim_media").first().title == "aa corrected"
+
+
+def test_full_mode_ignores_the_start_date(spark):
+    root, db, wh = _landed(spark), _db(), scratch_path(spark, "wh")
+    rep = run_pipeline(spark, PipelineConfig(source_path=root, target_db=db, warehouse_dir=wh, dates_end="2024-02-01",
+                                             start_date="2024-01-25", replace_all=True), now=dt.datetime(2024, 2, 2))
+    assert (rep.mode, rep.facts_start, rep.table_rows["fct_events"]) == ("full", None, 1000)
+
+
+def test_state_lives_with_the_database(spark):
+    from reelstar.plans.dimstate import DimState
+    db = _db()
+    ensure_tables(spark, db)
+    root = DimState.for_db(spark, db, None).root
+    assert root == spark.catalog.getDatabase(db).locationUri.rstrip("/") + "/_reelstar_state"
+
+
+@pytest.mark.parametrize("payload", ['[{"event_key": "a"', '{"error": "limit"}', '"text"', "", '[1, 2]'])
+def test_bad_pages_fail_the_landing(spark, payload):
+    pages = spark.createDataFrame([("m1", 1, '[{"event_key": "ok"}]'), ("m2", 1, payload)],
+                                  "media_id string, page int, payload string")
+    with pytest.raises(Exception):
+        landing.records_from_pages(pages, "2026-01-28T00:00:00").collect()
+
+
+def test_whole_records_are_landed(spark, tmp_path):
+    pages = spark.createDataFrame(
+        [("m1", 1, '[{"event_key": "a", "unknown": {"x": [1, 2]}, "media_id": "other"}]'), ("m1", 2, None)],
+        "media_id string, page int, payload string")
+    root = str(tmp_path / "raw")
+    landing.land_events(landing.records_from_pages(pages, "2026-01-28T00:00:00"), root, "b")
+    line = spark.read.text(f"{root}/events").first().value
+    assert json.loads(line) == {"event_key": "a", "unknown": '{"x":[1,2]}', "media_id": "m1",
+                                "ingest_ts": "2026-01-28T00:00:00"}
+    assert read_raw_events(spark, root).first().media_id == "m1"
+
+
+def test_malformed_lines_can_be_dropped_and_copied_away(spark, tmp_path):
+    root = _landed(spark, events_df(spark, [{}]), media_df(spark, [{}]))
+    day = f"{root.removeprefix('file:')}/events/ingest_date=2024-03-02/batch=b0"
+    with open(f"{day}/bad.json", "w") as f:
+        f.write("{cut off\n")
+    db, wh = _db(), scratch_path(spark, "wh")
+    aside = scratch_path(spark, "aside")
+    cfg = dict(source_path=root, target_db=db, warehouse_dir=wh, dates_end="2024-03-06")
+    assert run_batch(spark, PipelineConfig(**cfg)).table_rows["fct_events"] == 2        # an all-NULL row
+    rep = run_batch(spark, PipelineConfig(raw_mode="dropmalformed", quarantine_path=aside, replace_all=True, **cfg))
+    assert rep.table_rows["fct_events"] == 1
+    assert [r.value for r in spark.read.text(aside).collect()] == ["{cut off"]
+    with pytest.raises(Exception):
+        run_batch(spark, PipelineConfig(raw_mode="FAILFAST", **cfg))
+
+
+def test_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from reelstar.session import checkpoint_dir
+    fake = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://x"),
+                           conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(RuntimeError, match="executors share"):
+        checkpoint_dir(fake)
