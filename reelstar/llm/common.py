@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
-import os
+import io
 import re
-import shutil
-import tempfile
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -28,17 +25,21 @@ _shipped: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, once per application, so that jobs run
-    wherever it is installed on the driver alone."""
+    wherever it is installed on the driver alone. The archive goes to the
+    shared folder, from where Spark hands it out."""
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parents[1]
-    tmp = tempfile.mkdtemp(prefix="reelstar-package-")        # the driver's: Spark serves the file from here
-    atexit.register(shutil.rmtree, tmp, ignore_errors=True)
-    path = os.path.join(tmp, "reelstar_package.zip")
-    with zipfile.ZipFile(path, "w") as z:
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
+    path = f"{scratch_path(spark, 'package')}/reelstar_package.zip"
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    out.write(archive.getvalue())
+    out.close()
     sc.addPyFile(path)
     _shipped.add(sc.applicationId)
 
