@@ -30,7 +30,6 @@ from functools import partial
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
