@@ -37,7 +37,7 @@ TRAINING_ROWS = 16_000
 BITS = 20
 #: Feature values of a text sum up to this for each n-gram order.
 SCALE = 32.0
-MEMORY = 500_000
+MEMORY = 200_000
 #: Stands for every pair of a token with itself.
 REPEATED = np.uint64(1)
 
