@@ -37,7 +37,9 @@ TRAINING_ROWS = 16_000
 BITS = 20
 #: Feature values of a text sum up to this for each n-gram order.
 SCALE = 32.0
+#: Token hashes that a task remembers, and characters worked on at a time.
 MEMORY = 200_000
+CHARS = 1_000_000
 #: Stands for every pair of a token with itself.
 REPEATED = np.uint64(1)
 
@@ -50,17 +52,15 @@ class _Hashes(dict):
         return h
 
 
-_hashes = _Hashes()
-
-
-def features(texts: list[str | None], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of all n-grams of all texts, and how many each text has. A
-    text's single tokens come before its pairs."""
-    if len(_hashes) > MEMORY:
-        _hashes.clear()
+def features(texts: list[str | None], bits: int = BITS, known: _Hashes | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of all n-grams of all texts, and how many each text has. ``known``
+    are token hashes to go on with: a task's own, gone when it ends."""
+    known = _Hashes() if known is None else known
+    if len(known) > MEMORY:
+        known.clear()
     found = [_TOKEN.findall(t or "") for t in texts]
     sizes = np.fromiter(map(len, found), np.int64, len(found))
-    one = np.fromiter((h for f in found for h in map(_hashes.__getitem__, f)), np.uint64, int(sizes.sum()))
+    one = np.fromiter((h for f in found for h in map(known.__getitem__, f)), np.uint64, int(sizes.sum()))
     shift = np.uint64(64 - bits)
     slots = np.empty(2 * len(one), np.int64)
     # token i of a text takes place 2i, the pair that it starts 2i + 1
@@ -122,11 +122,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: in
              .repartition(1).sortWithinPartitions(F.xxhash64("_id"), "_id", F.xxhash64("_t")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, seen = Ftrl(bits), 0
+        model, seen, known = Ftrl(bits), 0, _Hashes()
         for pdf in batches:
             texts, ys = pdf["_t"].tolist(), pdf["_y"].to_numpy()
-            for a, b in blocks(texts):
-                slots, sizes = features(texts[a:b], bits)
+            for a, b in blocks(texts, CHARS):
+                slots, sizes = features(texts[a:b], bits, known)
                 for own, y in zip(np.split(slots, np.cumsum(sizes)[:-1]), ys[a:b], strict=True):
                     model.update(own, int(y))
                     seen += 1
@@ -144,8 +144,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: in
     return Model(np.frombuffer(bytes(m.slots), "<i8"), np.frombuffer(bytes(m.weights), "<f8"), m.intercept, bits)
 
 
-def score_texts(texts: list[str | None], dense: np.ndarray, intercept: float, bits: int = BITS) -> np.ndarray:
-    slots, sizes = features(texts, bits)
+def score_texts(texts: list[str | None], dense: np.ndarray, intercept: float, bits: int = BITS,
+                known: _Hashes | None = None) -> np.ndarray:
+    slots, sizes = features(texts, bits, known)
     total = np.r_[0.0, np.cumsum(dense[slots])]
     ends = np.cumsum(sizes)
     dot = (total[ends] - total[ends - sizes]) * SCALE / np.maximum(sizes, 1)
@@ -162,13 +163,13 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
+        m, known = shared.value, _Hashes()
         dense = m.dense()
         for pdf in batches:
             texts = pdf["_t"].tolist()
             out = np.zeros(len(texts))
-            for a, b in blocks(texts):
-                out[a:b] = score_texts(texts[a:b], dense, m.intercept, m.bits)
+            for a, b in blocks(texts, CHARS):
+                out[a:b] = score_texts(texts[a:b], dense, m.intercept, m.bits, known)
             yield pd.DataFrame({"_id": pdf["_id"], "score": out})
 
     scored = (docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
@@ -184,13 +185,13 @@ def keep(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str =
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m, known = shared.value, _Hashes()
         dense = m.dense()
         for batch in batches:
             texts = batch.column(at).to_pylist()
             good = np.zeros(len(texts), bool)
-            for a, b in blocks(texts):
-                good[a:b] = score_texts(texts[a:b], dense, m.intercept, m.bits) >= threshold
+            for a, b in blocks(texts, CHARS):
+                good[a:b] = score_texts(texts[a:b], dense, m.intercept, m.bits, known) >= threshold
             yield batch.filter(pa.array(good))
 
     return docs.mapInArrow(run, docs.schema)
