@@ -29,7 +29,7 @@ def _power(n: int, up: bool) -> np.ndarray:
     """Powers of the hash's base (or its inverse) up to n."""
     have = _powers[up]
     if len(have) <= n:
-        base = np.full(max(n + 1, 1 << 22), _R if up else _R_INV, np.uint64)
+        base = np.full(max(n + 1, 1 << 20), _R if up else _R_INV, np.uint64)
         base[0] = 1
         have = _powers[up] = np.cumprod(base)
     return have
@@ -51,7 +51,7 @@ def lower(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def texts(column: pa.Array, size: int = 4_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def texts(column: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)`` of blocks of about ``size`` bytes; no text is null."""
     if pa.types.is_large_string(column.type):
         kind = np.int64
