@@ -232,7 +232,10 @@ class Codec:
 
 
 class _Checked(ChunkEncoder):
-    """Chunks that are checked as they are learnt."""
+    """Chunks that are checked as they are learnt. Each carries its text and
+    verdict, so fewer are remembered."""
+
+    memory = 150_000
 
     def __init__(self, codec: Codec):
         super().__init__(codec.model.core, codec.cut)
@@ -269,7 +272,7 @@ def encode(docs: DataFrame, model_path: str, threads: int = 2, id_col: str = "do
         codec = _codec(model_path, threads)
         for pdf in batches:
             texts, keys = pdf["_t"].tolist(), pdf["_id"]
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, 1_500_000):
                 out = codec(texts[a:b])
                 whole = [codec.model.marked(t).replace(MARK, " ") for t in texts[a:b]]
                 cut = 1 if codec.model.dummy_prefix else 0
