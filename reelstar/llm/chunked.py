@@ -42,6 +42,8 @@ class ChunkEncoder:
     marks at a chunk's end, after a letter or digit that the vocabulary never
     joins to them, are encoded on their own."""
 
+    memory: int | None = None                                 # chunks remembered, else MEMORY
+
     def __init__(self, tokenizer: Tokenizer, cut: Callable[[str | None], list[str]], tails: str = ""):
         self.tokenizer, self.cut, self.tails = tokenizer, cut, tails
         self.known = Interner()
@@ -53,7 +55,9 @@ class ChunkEncoder:
 
     def forget(self) -> np.ndarray:
         """Drop the chunks that were met only once; the slots kept, in order."""
-        kept = np.flatnonzero(self.uses > 1) if np.count_nonzero(self.uses > 1) < MEMORY // 2 else np.zeros(0, np.int64)
+        kept = np.flatnonzero(self.uses > 1)
+        if len(kept) >= (self.memory or MEMORY) // 2:
+            kept = kept[:0]
         names = list(self.known)
         self.known = Interner()
         self.known.slots([names[i] for i in kept.tolist()])
@@ -97,7 +101,7 @@ class ChunkEncoder:
     def slots(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Slots of the chunks of all texts, and how many each text has."""
         for memory in (self, self.parts):
-            if memory is not None and len(memory.known) > MEMORY:
+            if memory is not None and len(memory.known) > (memory.memory or MEMORY):
                 memory.forget()
         found, sizes = [np.zeros(0, np.int64)], np.zeros(len(texts), np.int64)
         for i, t in enumerate(texts):
