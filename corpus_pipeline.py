@@ -6,7 +6,7 @@ Each stage applies one operator of ``reelstar.llm`` to all that its predecessor
 2. exact copies: of equal texts the document of the smallest id stays;
 3. near copies: one document of each SimHash group stays;
 4. decontamination: documents that hold benchmark passages go;
-5. SentencePiece: the rest is encoded, decoded and checked.
+5. SentencePiece: the rest is encoded to ids, decoded and checked; the ids are given out.
 
 ``STAGES`` lists them as (name, function); a function takes the session, the
 documents and the folder of the other tables. All but the last return the
@@ -52,7 +52,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return sentencepiece_codec.encode(docs, public_tokenizers.path(PIECE_BPE))
+    return sentencepiece_codec.encode(docs, public_tokenizers.path(PIECE_BPE), with_ids=True)
 
 
 STAGES = [

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from reelstar.llm import decontamination, exact_dedup, quality, simhash
+from reelstar.llm import decontamination, exact_dedup, quality, sentencepiece_codec, simhash
 from reelstar.llm.common import durable
+from reelstar.llm.queries import PIECE_BPE
 
 SF = "/root/testdata/sf0.001"
 
@@ -57,3 +59,11 @@ def test_repeated_rows_nulls_and_an_empty_table(documents, spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
         assert empty.count() == 0
+
+
+def test_the_last_stage_gives_out_ids_that_decode_to_the_texts(documents, spark):
+    rows = [(1, "Some text, été \U0001f600."), (2, "  two  spaces"), (None, "no id"), (4, None), (5, "")]
+    out = corpus_pipeline.STAGES[-1][1](spark, documents(rows), SF)
+    assert all(r.n_pieces == len(r.ids) for r in out.collect())
+    back = sentencepiece_codec.decode(out, public_tokenizers.path(PIECE_BPE)).collect()
+    assert {(r.doc_id, r.text) for r in back} == {(i, t or "") for i, t in rows}
