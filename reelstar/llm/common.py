@@ -6,6 +6,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -103,6 +104,19 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of at most ``rows`` rows for the jobs that run inside; the
+    session's own setting comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ragged_gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """Concatenation of ``flat[s:s + n]`` for each (s, n), without a loop."""
     total = int(lens.sum())

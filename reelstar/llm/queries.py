@@ -11,8 +11,10 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelstar.llm import (
+    conversation_repair,
     decontamination,
     exact_dedup,
     pii,
@@ -79,6 +81,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       public_tokenizers.path(WORD_BPE), scratch_path(spark, "tokens"), END_ID)
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults that crc32 of ``conv_id:turn`` deals out: of twenty
+    rows one is dropped (``copies`` 0), one emptied, one loses its sentence ends,
+    one is there twice, one gets the role user. Nulls are one space."""
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(part("conv_id"), F.lit(":"), part("turn")).cast("binary")) % 20
+    text = (F.when(fault == 1, F.lit("")).when(fault == 2, F.regexp_replace(part("text"), "[.!?]", ""))
+            .otherwise(part("text")))
+    return conversations.select(
+        "conv_id", "turn", F.when(fault == 4, F.lit("user")).otherwise(part("role")).alias("role"),
+        text.alias("text"), F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("copies"))
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.together(conversation_repair.repair(rows, copies_col="copies"))
+
+
 def _on_executors(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _on_execut
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
+    "op11_conversation_repair": op11_conversation_repair,
 }.items()}
 
 ORACLE_SQL: dict[str, str] = {
