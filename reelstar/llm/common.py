@@ -117,6 +117,21 @@ def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def spread_join(rows: DataFrame, table: DataFrame, key: str, size: int, large: Column,
+                bound: int = 100_000) -> DataFrame:
+    """``rows`` joined to a table of ``size`` rows that has every ``key`` once or a few times.
+
+    Up to ``bound`` rows it is broadcast. Beyond it only its ``large`` keys
+    are, which the caller bounds by their share of all rows; the rest is
+    shuffled, and no key of the rest is large.
+    """
+    if size <= bound:
+        return rows.join(F.broadcast(table), key)
+    hot = F.broadcast(table.filter(large))
+    cold = rows.join(F.broadcast(table.filter(large).select(key).distinct()), key, "left_anti")
+    return rows.join(hot, key).unionByName(cold.join(table.filter(~large), key))
+
+
 def ragged_gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """Concatenation of ``flat[s:s + n]`` for each (s, n), without a loop."""
     total = int(lens.sum())

@@ -19,6 +19,7 @@ from reelstar.llm import (
     exact_dedup,
     pii,
     quality,
+    quality_rules,
     sentencepiece_codec,
     simhash,
     substring_dedup,
@@ -99,6 +100,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.together(conversation_repair.repair(rows, copies_col="copies"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def _on_executors(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _on_execut
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
     "op11_conversation_repair": op11_conversation_repair,
+    "op13_quality_rules": op13_quality_rules,
 }.items()}
 
 ORACLE_SQL: dict[str, str] = {
