@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from reelstar.llm import (
     conversation_repair,
+    cross_tokenizer,
     decontamination,
     exact_dedup,
     pii,
@@ -31,6 +32,7 @@ from reelstar.llm.common import ship_package, table
 from reelstar.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 TOKEN_LIMIT = 2048
 END_ID = 1
@@ -100,6 +102,14 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.together(conversation_repair.repair(rows, copies_col="copies"))
 
 
+def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = cross_tokenizer.align(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
+                                    public_tokenizers.path(PIECE_BPE))
+    hashed = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    linked = cross_tokenizer.written(aligned.withColumn("groups_sha256", hashed).drop("groups"))
+    return cross_tokenizer.count_links(linked, ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256"])
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -124,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _on_execut
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_cross_tokenizer": op12_cross_tokenizer,
     "op13_quality_rules": op13_quality_rules,
 }.items()}
 
