@@ -53,8 +53,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.5)
+    return toxicity.fit_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

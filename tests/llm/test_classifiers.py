@@ -132,6 +132,32 @@ def test_block_max_search_is_exact():
         assert docs.tolist() == best.tolist() and np.allclose(sims, full[best])
 
 
+def test_queries_worked_on_together_equal_single_ones():
+    rng = np.random.default_rng(6)
+    vectors = []
+    for _ in range(300):
+        terms = np.sort(rng.choice(40, rng.integers(1, 9), replace=False))
+        w = rng.choice([1.0, 2.0, 5.0], len(terms))
+        vectors.append((terms, w / np.sqrt(w @ w)))
+    index = toxicity.BlockMaxIndex(vectors, 41, block=8)
+    queries = [vectors[i] for i in range(0, 300, 3)] + [(np.zeros(0, np.int64), np.zeros(0)), (np.array([40]), np.ones(1))]
+    offsets = np.cumsum([0, *(len(t) for t, _ in queries)])
+    docs, sims = index.nearest_all(np.concatenate([t for t, _ in queries]), np.concatenate([w for _, w in queries]),
+                                   offsets, 25)
+    for (t, w), d, s in zip(queries, docs, sims, strict=True):
+        one = index.nearest(t, w, 25)
+        assert d[d < 300].tolist() == one[0].tolist() and s[d < 300].tolist() == one[1].tolist()
+
+
+def test_very_long_texts(tables, documents):
+    _, _, docs, table = tables
+    long = documents([(1, "the an er " * 300_000 + "idiot scum"), (2, "idiot " * 200_000), (3, "the an er")])
+    bad = {r.doc_id: r for r in toxicity.score(long, toxicity.fit(docs, table)).collect()}
+    assert bad[2].predicted == 1 and bad[3].predicted == 0 and len(bad) == 3
+    fine = {r.doc_id: r.score for r in quality.score(long, quality.fit(docs, table)).collect()}
+    assert len(fine) == 3 and all(0 <= s <= 1 for s in fine.values())
+
+
 def test_isotonic_rises():
     rng = np.random.default_rng(2)
     x = rng.choice(np.linspace(0, 1, 11), 500)
