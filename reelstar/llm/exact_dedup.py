@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelstar.llm.common import durable
+from reelstar.llm.common import durable, spread_join
 
 #: Upper bound of the filter: a million words of 64 bits.
 MAX_BITS = 1 << 26
@@ -100,11 +100,26 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that repeat a text of a smaller id; a row
-    that repeats both id and text stays once. All columns unchanged."""
-    dropped = (duplicates(docs, id_col, text_col).filter(~F.col("kept"))
-               .select(F.col(id_col).alias("_drop_id"), F.col("text_sha256").alias("_drop_sha")).distinct())
-    keyed = docs.withColumn("_sha", F.sha2(normalised(F.col(text_col)), 256))
-    left = keyed.join(durable(dropped, "dropped"),
-                      keyed[id_col].eqNullSafe(F.col("_drop_id")) & (F.col("_sha") == F.col("_drop_sha")), "left_anti")
-    return left.dropDuplicates([id_col, "_sha"]).select(*docs.columns)
+    """``docs`` without the rows that repeat a text of a smaller id. All columns unchanged.
+
+    Rows that the filter clears are passed straight through; only suspects meet
+    their group. Of rows that repeat both id and normalised text one stays: the
+    least by its own text, then by the other columns as JSON.
+    """
+    keyed = docs.select(F.col(id_col).alias("_id"), F.sha2(normalised(F.col(text_col)), 256).alias("text_sha256"),
+                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    hashes = durable(keyed.select("_id", "text_sha256"), "hashes")
+    rows = hashes.count()
+    bits = filter_bits(rows)
+    words = durable(repeated_cells(hashes, bits), "bloom")
+    marked = mark_suspects(keyed, words, bits)
+    suspects = durable(marked.filter("suspect").drop("suspect"), "suspects")
+    groups = durable(suspects.groupBy("text_sha256").agg(F.min("_id").alias("keep_id"),
+                                                         F.count(F.lit(1)).alias("group_size")), "groups")
+    large = F.col("group_size") >= max(1000, rows // 1000)
+    first = (spread_join(suspects, groups, "text_sha256", groups.count(), large)
+             .filter(F.col("_id").eqNullSafe(F.col("keep_id"))))
+    # partial minima meet before the shuffle, so rows repeated many times don't gather in a task
+    one = first.groupBy("text_sha256").agg(
+        F.min_by("_doc", F.struct(F.col(f"_doc.`{text_col}`"), F.to_json("_doc"))).alias("_doc"))
+    return marked.filter(~F.col("suspect")).select("_doc").unionByName(one.select("_doc")).select("_doc.*")

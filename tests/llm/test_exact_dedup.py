@@ -58,3 +58,28 @@ def test_only_suspects_reach_the_grouping(spark, documents):
     marked = exact_dedup.mark_suspects(hashes, exact_dedup.repeated_cells(hashes, bits), bits)
     ids = {r._id for r in marked.filter("suspect").collect()}
     assert {1, 900} <= ids and len(ids) < 50
+
+
+def test_keep_first_defines_ties_and_keeps_columns(spark):
+    schema = "doc_id long, text string, lang string, _doc int, text_sha256 string, suspect int"
+    rows = [(1, "a b", "y", 1, "q", 0), (1, "a  b", "x", 2, "q", 0), (1, "a  b", "w", 2, "q", 0), (2, "a b", "z", 3, "q", 0),
+            (None, "n", "b", 4, None, 1), (None, "n", "a", 4, None, 1), (5, None, "c", 5, None, 1), (6, "", "d", 6, None, 1),
+            (7, "alone", "e", 7, None, 1), (8, "alone 2", None, None, None, None), (8, "alone 2", None, None, None, None)]
+    want = sorted([rows[2], rows[5], rows[6], rows[8], rows[9]], key=str)
+    for order in (rows, rows[::-1]):
+        kept = exact_dedup.keep_first(spark.createDataFrame(order, schema))
+        assert kept.columns == ["doc_id", "text", "lang", "_doc", "text_sha256", "suspect"]
+        assert sorted(map(tuple, kept.collect()), key=str) == want
+    assert exact_dedup.keep_first(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_keep_first_passes_rows_beyond_suspicion_straight_through(spark, documents):
+    df = documents([(i, f"text {i}") for i in range(2000)] + [(9000, "text 1")] * 3)
+    plan = exact_dedup.keep_first(df)._jdf.queryExecution().executedPlan().toString()
+    clear = plan[plan.index("Union"):].split("+- ", 1)[0]
+    assert "Exchange" not in clear
+    kept = exact_dedup.keep_first(df)
+    assert kept.count() == 2000 and kept.filter("doc_id = 9000").count() == 0
+    # a third of all rows are one text
+    hot = documents([(i, "same" if i % 3 == 0 else f"t {i}") for i in range(6000)])
+    assert exact_dedup.keep_first(hot).count() == 4001
