@@ -67,15 +67,45 @@ def texts(column: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, int, n
         a = b
 
 
-def find(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the number of words of each text."""
+def alone(data: np.ndarray) -> np.ndarray:
+    """Places of the first bytes of characters that are words of their own: those
+    of scripts written without spaces (Thai and Lao, Myanmar, Khmer, kana, Han)."""
+    lead = data[:-1] >= 0xE0
+    at = np.flatnonzero(lead)
+    one, two = data[at], data[at + 1]
+    kana_han = (one >= 0xE3) & (one <= 0xE9)
+    rare_han = (one == 0xF0) & (two >= 0xA0) & (two <= 0xB2)
+    thai = (one == 0xE0) & (two >= 0xB8) & (two <= 0xBB)
+    others = (one == 0xE1) & ((two == 0x80) | (two == 0x81) | (two == 0x9E) | (two == 0x9F))
+    return at[kana_han | rare_han | thai | others]
+
+
+def marks(data: np.ndarray) -> np.ndarray:
+    """Places of the first bytes of marks of those scripts: U+3000 to U+303F and full-width ASCII marks."""
+    at = np.flatnonzero((data[:-2] == 0xE3) & (data[1:-1] == 0x80) | (data[:-2] == 0xEF) & (data[1:-1] == 0xBC))
+    two, three = data[at + 1], data[at + 2]
+    return at[(two == 0x80) | (three <= 0x8F) | (three >= 0x9A) & (three <= 0xA0)]
+
+
+def find(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, characters: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the number of words of each text. With
+    ``characters``, those of scripts written without spaces are words each."""
     inside = kind[data]
+    if characters and len(data) > 2:
+        inside[marks(data)[:, None] + np.arange(3)] = False
     first = offsets[:-1][np.diff(offsets) > 0]
     before = np.r_[False, inside[:-1]]
     before[first] = False
-    starts = np.flatnonzero(inside & ~before)
     after = np.r_[inside[1:], False]
     after[first[1:] - 1] = False
+    if characters and len(data):
+        at = alone(data)
+        last = np.minimum(at + 2 + (data[at] >= 0xF0), len(data) - 1)
+        before[at] = False
+        before[last[last + 1 < len(data)] + 1] = False
+        after[last] = False
+        after[at[at > 0] - 1] = False
+    starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
     return starts, ends, np.diff(np.searchsorted(starts, offsets))
 
