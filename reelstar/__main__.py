@@ -47,6 +47,8 @@ def _parser() -> argparse.ArgumentParser:
                        help="skip landings older than the window (no event may be dated after its landing day)")
         s.add_argument("--incremental-dims", action="store_true",
                        help="merge dimensions from new landings (append-only sources)")
+        s.add_argument("--tracked", action="store_true",
+                       help="follow the landings by a ledger: incremental runs need no start date")
         s.add_argument("--dates-start")
         s.add_argument("--raw-mode", default="PERMISSIVE", help="PERMISSIVE, DROPMALFORMED or FAILFAST")
         s.add_argument("--quarantine-path", help="copy malformed lines there")

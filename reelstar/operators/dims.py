@@ -199,3 +199,35 @@ def merge_media(previous: DataFrame, new_raw_media: DataFrame, urls: DataFrame,
              .withColumn("channel", channel_of("title")))
     return (attrs.join(urls, on="media_id", how="left")
             .select(*schemas.DIM_MEDIA.names[:-1], audit_ts(run_ts).alias("updated_at")))
+
+
+# --- partials by landing ----------------------------------------------------
+# The same minima and maxima for each landing (``unit``) on its own: a landing that
+# is replaced replaces its partials, so the merge over all of them needs nothing
+# taken back.
+
+def visitor_partials(raw_events: DataFrame, unit: str) -> DataFrame:
+    typed = typed_select(raw_events, VISITOR_SPEC + ((unit, unit, None),)).where(F.col("visitor_id").isNotNull())
+    return typed.groupBy(unit, "visitor_id").agg(*[fn(name).alias(name) for name, fn in VISITOR_ATTRS])
+
+
+def url_partials(raw_events: DataFrame, unit: str) -> DataFrame:
+    return (raw_events.where(F.col("media_id").isNotNull()).groupBy(unit, "media_id")
+            .agg(F.max("media_url").alias("media_url")))
+
+
+def media_partials(raw_media: DataFrame, unit: str) -> DataFrame:
+    typed = typed_select(raw_media, MEDIA_SPEC + ((unit, unit, None),)).where(F.col("media_id").isNotNull())
+    return typed.groupBy(unit, "media_id").agg(*[fn(name).alias(name) for name, fn in MEDIA_ATTRS])
+
+
+def visitors_from_partials(partials: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+    return (_merge([partials], "visitor_id", VISITOR_ATTRS)
+            .select(*schemas.DIM_VISITORS.names[:-1], audit_ts(run_ts).alias("updated_at")))
+
+
+def media_from_partials(partials: DataFrame, urls: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+    """dim_media from the partials of snapshots and of event URLs."""
+    attrs = _merge([partials], "media_id", MEDIA_ATTRS).withColumn("channel", channel_of("title"))
+    return (attrs.join(_merge([urls], "media_id", (("media_url", F.max),)), on="media_id", how="left")
+            .select(*schemas.DIM_MEDIA.names[:-1], audit_ts(run_ts).alias("updated_at")))

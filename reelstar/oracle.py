@@ -12,7 +12,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from reelstar import schemas
-from reelstar.plans.queries import INCREMENTAL_START, LANDING_TS, MERGE_FIRST_CUTOFF
+from reelstar.plans.queries import (AGAIN_DAY, INCREMENTAL_START, LANDING_TS, MERGE_FIRST_CUTOFF, PURGED_DAY,
+                                    REPLACED_DAY)
 
 EVENT_TIME = "'%Y-%m-%dT%H:%M:%S.%gZ'"
 
@@ -153,6 +154,15 @@ CTES.update({
   SELECT * FROM typed_events WHERE ingest_date >= DATE '{INCREMENTAL_START}'"""),
     "fct_later": (("typed_later", "durations"), lambda: _fct("typed_later")),
     "fct_first": (("typed_first", "durations"), lambda: _fct("typed_first")),
+    "raw_after": (("raw_events",), f"""
+  SELECT * FROM raw_events
+  WHERE ingest_date <> DATE '{PURGED_DAY}'
+    AND (ingest_date <> DATE '{REPLACED_DAY}' OR regexp_matches(event_key, '[02468]r?$'))"""),
+    "typed_after": (("typed_events",), f"""
+  SELECT t.* FROM typed_events t
+  WHERE ingest_date <> DATE '{PURGED_DAY}'
+    AND (ingest_date <> DATE '{REPLACED_DAY}' OR regexp_matches(event_key, '[02468]r?$'))"""),
+    "fct_after": (("typed_after", "durations"), lambda: _fct("typed_after")),
     "dim_dates_run": (("bounds",), lambda: _calendar(_spine("DATE '2024-01-29'", "run_date"))),
 })
 
@@ -260,6 +270,21 @@ SELECT * FROM fct_since""", "fct_first", "fct_since"),
         "incremental_dim_visitors": _with("SELECT * FROM dim_visitors", "dim_visitors"),
         "incremental_engagement": _with(
             "SELECT * FROM engagement_all WHERE p_date IS NOT NULL", "engagement_all"),
+        "incremental_partials": _with("""
+SELECT visitor_key AS visitor_id, min(try_cast(received_at AS TIMESTAMP)) AS created_at,
+       max(ip) AS ip_address, max(country) AS country, max(region) AS region
+FROM raw_after WHERE visitor_key IS NOT NULL GROUP BY visitor_key""", "raw_after"),
+        "tracked_media": _with("""
+SELECT a.media_id, a.created_at, a.duration, a.title, a.channel, u.media_url
+FROM media_attrs a LEFT JOIN (SELECT media_id, max(media_url) AS media_url FROM raw_after GROUP BY media_id) u
+  ON a.media_id = u.media_id""", "media_attrs", "raw_after"),
+        "tracked_engagement": _with(_eng("fct_after"), "fct_after"),
+        "touched_days": _with(f"""
+SELECT DISTINCT {_DATED} AS p_date FROM raw_events
+WHERE ingest_date IN (DATE '{AGAIN_DAY}', DATE '{PURGED_DAY}')
+UNION
+SELECT min({_DATED}) FROM raw_events""", "raw_events"),
+        "duration_change": _with("SELECT * FROM engagement_all", "engagement_all"),
         "full_rebuild_after_purge": _with("SELECT * FROM fct_later", "fct_later"),
         "incremental_equals_full": _with(" UNION ALL ".join(
             f"SELECT '{t}' AS table_name, 'rows' AS metric, count(*) AS value FROM {c}"

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +23,9 @@ from reelstar.functions import parse_event_time, utc
 from reelstar.operators import dims, facts
 from reelstar.plans.config import FULL, INCREMENTAL, PipelineConfig
 from reelstar.plans.dimstate import DimState
+from reelstar.plans.report import RunReport
 from reelstar.plans.state import commit_checkpoint, read_checkpoint, resolve_window
+from reelstar.plans.tracked import run_tracked
 from reelstar.sinks.tables import (WriteResult, ensure_tables, in_partitions, overwrite_partitions,
                                    overwrite_table, table_counts)
 from reelstar.sources import landing
@@ -33,18 +34,6 @@ from reelstar.sources.raw import read_raw_events, read_raw_media, stage
 log = logging.getLogger("reelstar")
 
 
-@dataclass
-class RunReport:
-    mode: str
-    facts_start: dt.date | None
-    run_ts: dt.datetime
-    writes: dict[str, WriteResult] = field(default_factory=dict)
-    table_rows: dict[str, int] = field(default_factory=dict)
-    checkpoint: dict | None = None
-    dimensions: str = "rebuilt"      # or "merged" (incremental, from new landings)
-    raw_rows: dict[str, int] = field(default_factory=dict)   # rows scanned for dimensions
-
-
 def _raw(spark: SparkSession, cfg: PipelineConfig, reader, since: dt.date | None = None) -> DataFrame:
     return reader(spark, cfg.source_path, since=since, mode=cfg.raw_mode,
                   missing_ok=cfg.allow_missing_source)
@@ -80,7 +69,8 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig,
     dimension state, reads only landings on or after the older of the fact
     window start and the dimension watermark, and merges them into the
     existing dimensions (the same result for append-only sources, see
-    ``dimstate``).
+    ``dimstate``). With ``tracked`` the ledger of landings decides what is read
+    and rebuilt (see ``tracked``), and a start date has no part in it.
     """
     session.configure(spark)
     run_ts = utc(run_ts or dt.datetime.now(dt.timezone.utc)).replace(microsecond=0)
@@ -89,6 +79,8 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig,
     if cfg.dry_run:
         return _dry_run(spark, cfg, run_ts, report)
     ensure_tables(spark, db, cfg.warehouse_dir)
+    if cfg.tracked:
+        return run_tracked(spark, cfg, run_ts)
     state = DimState.for_db(spark, db, cfg.warehouse_dir)
     events_wm, media_wm = state.watermark(spark) if start else (None, None)
     urls_prev = state.urls(spark) if events_wm and media_wm else None

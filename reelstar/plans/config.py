@@ -61,6 +61,7 @@ class PipelineConfig:
     prune_raw_by_ingest_date: bool = False    # only where no event is dated after its landing
     stage_raw: bool = True                    # parse raw JSON once per run
     incremental_dims: bool = False            # merge dims from new landings (append-only sources)
+    tracked: bool = False                     # follow the landings by a ledger instead of a start date
     raw_mode: str = "PERMISSIVE"              # what a malformed line does: kept, dropped, fails
     quarantine_path: str | None = None        # where malformed lines are copied to
     allow_missing_source: bool = False        # read an absent folder as empty
@@ -79,6 +80,7 @@ class PipelineConfig:
         object.__setattr__(self, "persist_state", parse_bool(self.persist_state, True))
         object.__setattr__(self, "stage_raw", parse_bool(self.stage_raw, True))
         object.__setattr__(self, "incremental_dims", parse_bool(self.incremental_dims, False))
+        object.__setattr__(self, "tracked", parse_bool(self.tracked, False))
         object.__setattr__(self, "prune_raw_by_ingest_date", parse_bool(self.prune_raw_by_ingest_date, False))
         object.__setattr__(self, "allow_missing_source", parse_bool(self.allow_missing_source, False))
         object.__setattr__(self, "raw_mode", str(self.raw_mode).strip().upper())

@@ -24,6 +24,7 @@ from reelstar.operators.joins import lookup_join
 from reelstar.operators.spine import date_spine_between
 from reelstar.plans.batch import run_batch
 from reelstar.plans.config import PipelineConfig
+from reelstar.plans.ledger import DAY, Ledger
 from reelstar.sinks.tables import (ensure_tables, overwrite_partitions, overwrite_table,
                                    table_counts)
 from reelstar.sources import landing, testdata
@@ -40,6 +41,9 @@ EARLY_CUTOFF = "2024-01-10"
 MERGE_FIRST_CUTOFF = "2024-01-22"
 LANDING_TS = "2024-02-02T00:00:00"
 QUIET_START = "2030-01-01"
+# Ledger queries: landings that are replaced, purged, backfilled and landed twice.
+REPLACED_DAY, PURGED_DAY, BACKFILL_DAY, AGAIN_DAY = "2024-01-12", "2024-01-15", "2024-01-05", "2024-01-25"
+REPLACED_KEEPS = "event_key RLIKE '[02468]r?$'"
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -410,6 +414,81 @@ def q_incremental_engagement(spark, sf_dir):
     return _dated(spark.table(f"{_incremental_run(spark, sf_dir)}.fct_media_engagement"), "fct_media_engagement")
 
 
+def _tracked(spark: SparkSession, root: str, db: str, wh: str, mode: str = "incremental"):
+    return run_batch(spark, PipelineConfig(source_path=root, target_db=db, warehouse_dir=wh, mode=mode, tracked=True,
+                                           dates_end=LANDING_TS[:10]))
+
+
+def _landing_day(day: str):
+    return F.col(schemas.RAW_PARTITION_COL) == F.lit(day).cast("date")
+
+
+def _tracked_run(spark: SparkSession, sf_dir: str) -> str:
+    """A first tracked run over early landings, then one after a landing was
+    replaced by half its rows, one purged, and all later events landed under an old day."""
+    ev, media = _inputs(spark, sf_dir)
+    cut = F.lit(INCREMENTAL_START).cast("date")
+    root = session.scratch_path(spark, "raw")
+    landing.land(media, root, "media", "media")
+    landing.land(ev.where(F.col(schemas.RAW_PARTITION_COL) < cut), root, "events", "b1")
+    db, wh = _scratch_db(spark)
+    _tracked(spark, root, db, wh)
+    landing.land(ev.where(_landing_day(REPLACED_DAY)).where(REPLACED_KEEPS), root, "events", "b1")
+    session.delete_path(spark, f"{root}/events/{schemas.RAW_PARTITION_COL}={PURGED_DAY}")
+    late = ev.where(F.col(schemas.RAW_PARTITION_COL) >= cut)
+    landing.land(late.withColumn(schemas.RAW_PARTITION_COL, F.lit(BACKFILL_DAY).cast("date")), root, "events", "late")
+    _tracked(spark, root, db, wh)
+    return db
+
+
+def q_incremental_partials(spark, sf_dir):
+    """dim_visitors from the partials of landings, after a replaced, a purged and a backfilled one."""
+    return _values(spark.table(f"{_tracked_run(spark, sf_dir)}.dim_visitors"), "dim_visitors")
+
+
+def q_tracked_media(spark, sf_dir):
+    """dim_media after the same landings: URLs that only the purged one had are gone."""
+    return _values(spark.table(f"{_tracked_run(spark, sf_dir)}.dim_media"), "dim_media")
+
+
+def q_tracked_engagement(spark, sf_dir):
+    """Engagement of all days, the unknown one too, after the same landings."""
+    return _values(spark.table(f"{_tracked_run(spark, sf_dir)}.fct_media_engagement"), "fct_media_engagement")
+
+
+def q_touched_days(spark, sf_dir):
+    """Days to rebuild after a landing was purged, one was landed again and the oldest event once more."""
+    ev, media = _inputs(spark, sf_dir)
+    root = session.scratch_path(spark, "raw")
+    landing.land(media, root, "media", "media")
+    landing.land(ev, root, "events", "b1")
+    db, wh = _scratch_db(spark)
+    _tracked(spark, root, db, wh)
+    oldest = ev.agg(F.min(F.struct("received_at", "event_key"))["event_key"]).first()[0]
+    again = ev.where(_landing_day(AGAIN_DAY) | (F.col("event_key") == oldest))
+    landing.land(again.withColumn(schemas.RAW_PARTITION_COL, F.lit(LANDING_TS[:10]).cast("date")), root, "events", "again")
+    session.delete_path(spark, f"{root}/events/{schemas.RAW_PARTITION_COL}={PURGED_DAY}")
+    ledger = Ledger.for_db(spark, db, wh, root)
+    changes = ledger.look()
+    ledger.take(changes)
+    return ledger.touched(changes).withColumnRenamed(DAY, schemas.TARGET_PARTITION_COL)
+
+
+def q_duration_change(spark, sf_dir):
+    """Engagement after a snapshot was replaced by one with other durations: nothing
+    but the days of those media is rebuilt, and no watch time is stale."""
+    ev, media = _inputs(spark, sf_dir)
+    root = session.scratch_path(spark, "raw")
+    wrong = F.when(F.col("id").cast("long") % 5 == 0, (F.col("duration").cast("double") * 2).cast("string"))
+    landing.land(media.withColumn("duration", F.coalesce(wrong, F.col("duration"))), root, "media", "media")
+    landing.land(ev, root, "events", "b1")
+    db, wh = _scratch_db(spark)
+    _tracked(spark, root, db, wh)
+    landing.land(media, root, "media", "media")
+    _tracked(spark, root, db, wh)
+    return _values(spark.table(f"{db}.fct_media_engagement"), "fct_media_engagement")
+
+
 def _stream_db(spark: SparkSession, sf_dir: str) -> str:
     """Run the availableNow stream over two landings; return the database it maintained."""
     ev, media = _inputs(spark, sf_dir)
@@ -481,6 +560,11 @@ def queries() -> dict[str, Query]:
         "incremental_quiet_window": q_incremental_quiet_window,
         "incremental_dim_visitors": q_incremental_dim_visitors,
         "incremental_engagement": q_incremental_engagement,
+        "incremental_partials": q_incremental_partials,
+        "tracked_media": q_tracked_media,
+        "tracked_engagement": q_tracked_engagement,
+        "touched_days": q_touched_days,
+        "duration_change": q_duration_change,
         "full_rebuild_after_purge": q_full_rebuild_after_purge,
         "stream_incremental": q_stream_incremental,
         "stream_dim_visitors": q_stream_dim_visitors,

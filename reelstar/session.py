@@ -72,6 +72,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder on whatever file system holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/reelstar-{label}-{uuid.uuid4().hex[:12]}"

@@ -8,13 +8,14 @@ neither depends on metrics of tasks that may be retried or planned away.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstar import schemas
+from reelstar import schemas, session
 
 log = logging.getLogger("reelstar")
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -136,6 +137,35 @@ def overwrite_partitions(df: DataFrame, table: str, partition_col: str = schemas
     return res
 
 
+def _folder(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type").collect()
+    return rows[0][0].rstrip("/")
+
+
+def partition_values(spark: SparkSession, table: str, partition_col: str = schemas.TARGET_PARTITION_COL) -> list:
+    """Values (None among them) of the partitions that the catalog knows: no data is read."""
+    out = []
+    for r in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        value = r[0].split("=", 1)[1]
+        out.append(None if value in ("__HIVE_DEFAULT_PARTITION__", "null") else dt.date.fromisoformat(value))
+    return out
+
+
+def drop_partitions(spark: SparkSession, table: str, values: list,
+                    partition_col: str = schemas.TARGET_PARTITION_COL) -> None:
+    """Remove partitions, their files too (the tables' folders are ours also where they are external)."""
+    known = set(partition_values(spark, table, partition_col))
+    for v in values:
+        if v not in known:
+            continue
+        spec = "NULL" if v is None else f"DATE '{v}'"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {spec})")
+        name = "__HIVE_DEFAULT_PARTITION__" if v is None else v.isoformat()
+        session.delete_path(spark, f"{_folder(spark, table)}/{partition_col}={name}")
+    if values:
+        spark.catalog.refreshTable(table)
+
+
 def table_counts(spark: SparkSession, db: str) -> DataFrame:
     """``(table_name, rows)`` for every table of a database, one job."""
     names = sorted(r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").collect()
