@@ -37,6 +37,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -44,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstar.llm.common import arrow_batches, durable, held_out, ragged_gather
+from reelstar.llm.common import arrow_batches, durable, held_out
 from reelstar.llm.labelled import training_rows
 
 EXAMPLES = 12_000
@@ -88,13 +89,10 @@ class Terms(dict):
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Terms in a text, ascending, and how often each occurs; words
         without a term of their own count for the last one."""
-        found: Counter = Counter()
-        own = words(text)
-        told = [t for t in map(self.__getitem__, own) if t]
-        for t in told:
-            found.update(t)
-        if len(own) > len(told):
-            found[len(self.vocabulary)] = len(own) - len(told)
+        told = list(map(self.__getitem__, words(text)))
+        found = Counter(chain.from_iterable(told))
+        if others := told.count(()):
+            found[len(self.vocabulary)] = others
         at = np.array(sorted(found), np.int64)
         return at, np.array([found[t] for t in at.tolist()], np.float64)
 
@@ -115,13 +113,22 @@ class BlockMaxIndex:
         doc = np.repeat(np.arange(self.n), sizes)
         term = np.concatenate([t for t, _ in vectors]) if vectors else np.zeros(0, np.int64)
         weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
+        self.maxima = np.zeros((n_terms, self.n_blocks))
+        np.maximum.at(self.maxima, (term, doc // block), weight)
+        # terms that half of the examples have are kept as rows, not as postings
+        self.row = np.full(n_terms, -1)
+        common = np.flatnonzero(np.bincount(term, minlength=n_terms) * 2 > max(self.n, 1))
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), self.n_blocks, block))
+        inside = self.row[term] >= 0
+        self.rows[self.row[term[inside]], doc[inside] // block, doc[inside] % block] = weight[inside]
+        doc, term, weight = doc[~inside], term[~inside], weight[~inside]
         order = np.lexsort((doc, term))
-        self.doc, self.weight = doc[order], weight[order]
+        self.weight, doc = weight[order], doc[order]
+        self.spot = doc % block                               # place within its block
         # where each (term, block) begins among the postings
-        cell = term[order] * self.n_blocks + self.doc // block
+        cell = term[order] * self.n_blocks + doc // block
         self.starts = np.searchsorted(cell, np.arange(n_terms * self.n_blocks + 1))
-        self.maxima = np.zeros((n_terms, self.n_blocks))
-        np.maximum.at(self.maxima, (term[order], self.doc // block), self.weight)
 
     def nearest_all(self, terms: np.ndarray, weights: np.ndarray, offsets: np.ndarray, k: int,
                     skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -135,6 +142,9 @@ class BlockMaxIndex:
         bound = np.zeros((len(sizes), self.n_blocks))
         bound[live] = np.add.reduceat(self.maxima[terms] * weights[:, None], offsets[live], axis=0)
         order = np.argsort(-bound, axis=1, kind="stable")
+        held = np.flatnonzero(self.row[terms] >= 0)
+        common = np.zeros((len(sizes), len(self.rows)))
+        common[np.repeat(np.arange(len(sizes)), sizes)[held], self.row[terms[held]]] = weights[held]
         for turn in range(self.n_blocks):
             block = order[live, turn]
             top, last = bound[live, block], sims[live, -1]
@@ -145,21 +155,29 @@ class BlockMaxIndex:
                 break
             # a tie at best, and ties go to smaller places: left out
             use = (last <= 0) | (top >= last + 1e-12) | (block * self.block <= docs[live, -1])
-            self._visit(terms, weights, offsets, sizes, live[use], block[use], docs, sims, skip)
+            self._visit(terms, weights, offsets, sizes, common, live[use], block[use], docs, sims, skip)
         return docs, sims
 
     def _visit(self, terms: np.ndarray, weights: np.ndarray, offsets: np.ndarray, sizes: np.ndarray,
-               query: np.ndarray, block: np.ndarray, docs: np.ndarray, sims: np.ndarray, skip: np.ndarray | None) -> None:
+               common: np.ndarray, query: np.ndarray, block: np.ndarray, docs: np.ndarray, sims: np.ndarray,
+               skip: np.ndarray | None) -> None:
         """Take the examples of one block for each query into its best."""
-        own = np.repeat(np.arange(len(query)), sizes[query])
-        at = ragged_gather(np.arange(len(terms)), offsets[query], sizes[query])
+        size = sizes[query]
+        own = np.repeat(np.arange(len(query)), size)
+        at = np.arange(len(own)) + np.repeat(offsets[query] - (np.cumsum(size) - size), size)
         cell = terms[at] * self.n_blocks + block[own]
-        start, count = self.starts[cell], self.starts[cell + 1] - self.starts[cell]
-        doc = ragged_gather(self.doc, start, count) - np.repeat(block[own] * self.block, count)
-        part = ragged_gather(self.weight, start, count) * np.repeat(weights[at], count)
+        start = self.starts[cell]
+        count = self.starts[cell + 1] - start
+        there = np.flatnonzero(count)                         # a block has few of a query's terms
+        start, count, own, at = start[there], count[there], own[there], at[there]
+        posting = np.arange(count.sum()) + np.repeat(start - (np.cumsum(count) - count), count)
+        spot = self.spot[posting] + np.repeat(own * self.block, count)
+        score = np.bincount(spot, self.weight[posting] * np.repeat(weights[at], count), len(query) * self.block)
+        score = score.astype(float).reshape(-1, self.block)   # without any posting they are whole numbers
+        for weight, row in zip(common[query].T, self.rows, strict=True):
+            score += weight[:, None] * row[block]
         # sums are rounded so that equal vectors tie whatever their order
-        score = np.bincount(np.repeat(own, count) * self.block + doc, part, len(query) * self.block)
-        score = score.reshape(-1, self.block).round(12)
+        score = score.round(12)
         place = block[:, None] * self.block + np.arange(self.block)
         if skip is not None:
             score[place == skip[query][:, None]] = 0
