@@ -12,8 +12,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from reelstar import schemas
-from reelstar.plans.queries import (AGAIN_DAY, INCREMENTAL_START, LANDING_TS, MERGE_FIRST_CUTOFF, PURGED_DAY,
-                                    REPLACED_DAY)
+from reelstar.plans.queries import (AGAIN_DAY, EARLY_CUTOFF, INCREMENTAL_START, LANDING_TS, MERGE_FIRST_CUTOFF,
+                                    PURGED_DAY, REMOVED_BEFORE, REPLACED_DAY, STRAY_DAY)
 
 EVENT_TIME = "'%Y-%m-%dT%H:%M:%S.%gZ'"
 
@@ -222,6 +222,7 @@ FROM ({_spine("first_event_date", "run_date")}) s LEFT JOIN observed o ON s.date
             "raw_events"),
         "land_events": _with("SELECT * FROM landed_pages", "landed_pages"),
         "land_media": _with("SELECT * FROM raw_media_full", "raw_media_full"),
+        "raw_drift": _drift_sql(),
         "typed_visitors": _with("""
 SELECT visitor_key AS visitor_id, try_cast(received_at AS TIMESTAMP) AS created_at,
        ip AS ip_address, country, region
@@ -262,6 +263,12 @@ WHERE rn = 1""", "typed_events"),
 SELECT * FROM fct_first WHERE p_date < DATE '{INCREMENTAL_START}' OR p_date IS NULL
 UNION ALL
 SELECT * FROM fct_since""", "fct_first", "fct_since"),
+        "partition_diff": _with(f"""
+SELECT DISTINCT 'p_date=' || p_date AS partition, 'vanished' AS status
+FROM fct_events_all WHERE p_date < DATE '{REMOVED_BEFORE}'
+UNION ALL
+SELECT DISTINCT 'p_date={STRAY_DAY}', 'unregistered' FROM fct_events_all WHERE p_date = DATE '{EARLY_CUTOFF}'""",
+                                "fct_events_all"),
         "table_counts": _with(" UNION ALL ".join(
             f"SELECT '{t}' AS table_name, count(*) AS rows FROM {c}"
             for t, c in _TABLE_CTES.items()), *_TABLE_CTES.values()),
@@ -318,6 +325,26 @@ def _summary_sql() -> str:
         + f" FROM {c}" for t, c in _TABLE_CTES.items()), *_TABLE_CTES.values())
 
 
+def _drift_sql() -> str:
+    """Counts of each field by landing day; NULLs aren't landed."""
+    cut = f"ingest_date >= DATE '{INCREMENTAL_START}'"
+    fields = sorted(_EVENT_PRESENT)
+    counts = " UNION ALL ".join(
+        f"SELECT ingest_date, '{c}' AS field, count({c}){f' FILTER (WHERE NOT {cut})' if c == 'region' else ''} AS n "
+        "FROM raw_events GROUP BY ingest_date" for c in fields)
+    return _with(f"""
+SELECT c.ingest_date, c.field, 'vanished' AS status, CAST(NULL AS VARCHAR) AS kind, CAST(0 AS BIGINT) AS rows
+FROM ({counts}) c JOIN (SELECT field, min(ingest_date) AS began FROM ({counts}) WHERE n > 0 GROUP BY field) f
+  ON c.field = f.field AND c.ingest_date > f.began
+WHERE c.n = 0
+UNION ALL
+SELECT ingest_date, 'percent_viewed', 'retyped', 'number', count(percent_viewed) FROM raw_events
+WHERE {cut} GROUP BY ingest_date
+UNION ALL
+SELECT ingest_date, 'referrer', 'added', 'string', count(*) FROM raw_events WHERE {cut} GROUP BY ingest_date""",
+                 "raw_events")
+
+
 def _pk_sql() -> str:
     parts = []
     for table, cte in _TABLE_CTES.items():

@@ -26,8 +26,9 @@ from reelstar.plans.batch import run_batch
 from reelstar.plans.config import PipelineConfig
 from reelstar.plans.ledger import DAY, Ledger
 from reelstar.sinks.tables import (ensure_tables, overwrite_partitions, overwrite_table,
-                                   table_counts)
+                                   partition_difference, partition_values, table_counts, table_folder)
 from reelstar.sources import landing, testdata
+from reelstar.sources.drift import event_drift
 from reelstar.sources.raw import ingest_date_counts, read_raw_events, read_raw_media
 from reelstar.streaming import incremental as incremental_stream
 
@@ -43,6 +44,8 @@ LANDING_TS = "2024-02-02T00:00:00"
 QUIET_START = "2030-01-01"
 # Ledger queries: landings that are replaced, purged, backfilled and landed twice.
 REPLACED_DAY, PURGED_DAY, BACKFILL_DAY, AGAIN_DAY = "2024-01-12", "2024-01-15", "2024-01-05", "2024-01-25"
+# Days whose partitions lose their folders, and a folder added outside Spark.
+REMOVED_BEFORE, STRAY_DAY = "2024-01-04", "2034-01-10"
 REPLACED_KEEPS = "event_key RLIKE '[02468]r?$'"
 
 
@@ -150,6 +153,19 @@ def q_land_events(spark, sf_dir):
     return read_raw_events(spark, root)
 
 
+def q_raw_drift(spark, sf_dir):
+    """Raw fields against the declared ones after the API changed: one field more, one less, one a number."""
+    ev, _ = _inputs(spark, sf_dir)
+    root = session.scratch_path(spark, "drift")
+    cut = F.lit(INCREMENTAL_START).cast("date")
+    landing.land(ev.where(F.col(schemas.RAW_PARTITION_COL) < cut), root, "events", "b1")
+    changed = (ev.where(F.col(schemas.RAW_PARTITION_COL) >= cut).drop("region")
+               .withColumn("percent_viewed", F.col("percent_viewed").cast("double"))
+               .withColumn("referrer", F.concat(F.lit("ref-"), "event_key")))
+    landing.land(changed, root, "events", "b2")
+    return event_drift(spark, root)
+
+
 def q_land_media(spark, sf_dir):
     """Media snapshots landed per day; a replayed day replaces its snapshot."""
     _, media = _inputs(spark, sf_dir)
@@ -298,6 +314,18 @@ def _full_run(spark, sf_dir) -> str:
     return db
 
 
+def q_partition_diff(spark, sf_dir):
+    """Partitions whose folders were removed, and folders that the catalog doesn't know."""
+    table = f"{_full_run(spark, sf_dir)}.fct_events"
+    part, root = schemas.TARGET_PARTITION_COL, table_folder(spark, table)
+    for day in partition_values(spark, table):
+        if day is not None and day.isoformat() < REMOVED_BEFORE:
+            session.delete_path(spark, f"{root}/{part}={day}")
+    one = spark.table(table).where(F.col(part) == F.lit(EARLY_CUTOFF).cast("date")).drop(part)
+    one.write.parquet(f"{root}/{part}={STRAY_DAY}")
+    return partition_difference(spark, table)
+
+
 def q_table_counts(spark, sf_dir):
     """Row count of every table in the curated database after a full run."""
     return table_counts(spark, _full_run(spark, sf_dir))
@@ -538,6 +566,7 @@ def queries() -> dict[str, Query]:
         "raw_ingest_date_counts": q_raw_ingest_date_counts,
         "land_events": q_land_events,
         "land_media": q_land_media,
+        "raw_drift": q_raw_drift,
         # projections and filters
         "typed_visitors": q_typed_visitors,
         "typed_media": q_typed_media,
@@ -554,6 +583,7 @@ def queries() -> dict[str, Query]:
         # sinks and jobs
         "overwrite_table_roundtrip": q_overwrite_table_roundtrip,
         "overwrite_partitions_merge": q_overwrite_partitions_merge,
+        "partition_diff": q_partition_diff,
         "table_counts": q_table_counts,
         "full_pipeline_counts": q_full_pipeline_counts,
         "incremental_equals_full": q_incremental_equals_full,
