@@ -79,6 +79,23 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
 
 
+def folder_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names in a folder with the bytes of the files below each."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return []
+    return sorted((s.getPath().getName(), fs.getContentSummary(s.getPath()).getLength()) for s in fs.listStatus(target))
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within its file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(path(source), path(target)):
+        raise OSError(f"can't move {source} to {target}")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/reelstar-{label}-{uuid.uuid4().hex[:12]}"

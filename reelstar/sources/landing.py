@@ -13,8 +13,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstar import schemas
+from reelstar import schemas, session
 from reelstar.functions import utc
+from reelstar.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
 
 STAMPED = ("media_id", "ingest_ts")
 RECORD_FIELDS = [c for c in schemas.RAW_EVENT_COLUMNS if c not in STAMPED]
@@ -24,7 +25,31 @@ BATCH_COL = schemas.RAW_BATCH_COL
 RECORD_COL = "record"
 
 
-def records_from_pages(pages: DataFrame, ingest_ts: dt.datetime | str) -> DataFrame:
+def _before_stop(pages: DataFrame, max_broadcast_rows: int) -> DataFrame:
+    """Pages before the first empty one of their media.
+
+    The stop pages (one row a media that has any) are found once, written, and
+    broadcast if there are few enough. Beyond that the pages to leave out are found
+    without their payload, by (media, page): they are the few pages after an end. What
+    is left over is left out by a broadcast or a join on these two columns, whose
+    keys are spread; payloads aren't shuffled by a media that has a third of them.
+    """
+    spark = pages.sparkSession
+    path = session.scratch_path(spark, "stops")
+    found = pages.where(F.json_array_length("payload") == 0).groupBy("media_id").agg(F.min("page").alias("stop_page"))
+    found.write.parquet(path)
+    stops = spark.read.schema(found.schema).parquet(path)
+    if stops.count() <= max_broadcast_rows:
+        kept = pages.join(F.broadcast(stops), "media_id", "left")
+        return kept.where(F.col("stop_page").isNull() | (F.col("page") < F.col("stop_page"))).select(*pages.columns)
+    after = (pages.select("media_id", "page").join(stops, "media_id")
+             .where(~F.coalesce(F.col("page") < F.col("stop_page"), F.lit(False)))
+             .select(F.col("media_id").alias("_media"), F.col("page").alias("_page")).distinct())
+    return pages.join(after, (F.col("media_id") == F.col("_media")) & F.col("page").eqNullSafe(F.col("_page")), "left_anti")
+
+
+def records_from_pages(pages: DataFrame, ingest_ts: dt.datetime | str,
+                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Flatten pages into raw event records stamped with media and landing time.
 
     Pages after a media's first empty page are ignored (the fetch loop stops
@@ -37,10 +62,7 @@ def records_from_pages(pages: DataFrame, ingest_ts: dt.datetime | str) -> DataFr
     """
     stamp = ingest_ts if isinstance(ingest_ts, str) else utc(ingest_ts).isoformat()
     length = F.json_array_length("payload")
-    stops = (pages.where(length == 0).groupBy("media_id").agg(F.min("page").alias("stop_page")))
-    kept = (pages.join(stops, "media_id", "left")
-            .where(F.col("stop_page").isNull() | (F.col("page") < F.col("stop_page")))
-            .where(F.col("payload").isNotNull()))
+    kept = _before_stop(pages, max_broadcast_rows).where(F.col("payload").isNotNull())
     bad = F.raise_error(F.concat(F.lit("page "), F.col("page").cast("string"), F.lit(" of media "),
                                  F.coalesce("media_id", F.lit("NULL")), F.lit(" isn't a JSON array")))
     whole = F.when(length.isNull(), bad.cast("string")).otherwise(F.col("payload"))

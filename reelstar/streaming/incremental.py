@@ -3,13 +3,19 @@
 A file stream over the raw events directory (``trigger(availableNow)``)
 hands each micro-batch of newly landed files to ``foreachBatch``. A batch is
 parsed once: its used columns are appended to a parquet copy partitioned by event
-day and batch id, which lives beside the stream's checkpoint and holds all that the
-stream has seen. The days a batch touches are its partitions in the copy; they are
+day and batch id, which lives inside the stream's checkpoint and holds all that the
+stream has seen: a new checkpoint begins a new copy. The days a batch touches are its partitions in the copy; they are
 rebuilt from the copy, which reads these days only, and replace their fact
 partitions by dynamic overwrite. A replayed batch replaces its own partitions
 of the copy and recomputes the same days, so the sink is idempotent and the
 stream's checkpoint gives exactly-once progress.
 
+Once a day has ``FAN`` folders of a like size they are rewritten as one (``compact``), so a day keeps
+a number of files that grows with the logarithm of its batches. Only batches before the current
+one are rewritten, for a replay replaces no other; a rewritten folder has a negative id of its
+own. It is moved into place before its parts are removed: a run that stops in between leaves
+rows twice, which the facts' dedupe and the dimensions' minima and maxima take for one.
+
 Dimensions are merged from the batch's copy (min/max merges, see
 ``operators.dims``) plus the media snapshots landed since the media watermark, so
 the stream keeps all five tables current; a stream only ever sees landings
@@ -21,6 +27,7 @@ cannot be parsed (NULL day) are left to full runs.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +44,10 @@ from reelstar.sources.raw import EVENT_COLUMNS_USED, read_raw_events, read_raw_m
 
 
 DAY_COL, ID_COL = "event_day", "batch_id"
+# Folders of a size class that are rewritten as one, and the first class's limit; size of the files made.
+FAN = 8
+SMALL_BYTES = 1 << 20
+FILE_BYTES = 128 << 20
 
 
 def append_batch(batch: DataFrame, batch_id: int, copy: str) -> DataFrame:
@@ -48,6 +59,10 @@ def append_batch(batch: DataFrame, batch_id: int, copy: str) -> DataFrame:
     return read_copy(batch.sparkSession, copy).where(F.col(ID_COL) == batch_id)
 
 
+def copy_path(checkpoint_location: str) -> str:
+    return f"{checkpoint_location.rstrip('/')}/event-days"
+
+
 def read_copy(spark: SparkSession, copy: str) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in EVENT_COLUMNS_USED])
     for name, kind in ((schemas.RAW_PARTITION_COL, "date"), (DAY_COL, "date"), (ID_COL, "long")):
@@ -55,6 +70,38 @@ def read_copy(spark: SparkSession, copy: str) -> DataFrame:
     return spark.read.schema(schema).parquet(copy)
 
 
+def _tier(size: int) -> int:
+    """Size class of a folder: each is ``FAN`` times the one before."""
+    tier, limit = 0, SMALL_BYTES
+    while size >= limit:
+        tier, limit = tier + 1, limit * FAN
+    return tier
+
+
+def compact(spark: SparkSession, copy: str, dates: list[dt.date | None], batch_id: int) -> int:
+    """Rewrite the batch folders of days that have ``FAN`` of a size class; returns the folders removed."""
+    schema = T.StructType([f for f in read_copy(spark, copy).schema if f.name not in (DAY_COL, ID_COL)])
+    removed = 0
+    for date in dates:
+        day = f"{copy}/{DAY_COL}={'__HIVE_DEFAULT_PARTITION__' if date is None else date}"
+        tiers: dict[int, list[tuple[str, int]]] = {}
+        for name, size in session.folder_sizes(spark, day):
+            if name.startswith(f"{ID_COL}=") and name != f"{ID_COL}={batch_id}":
+                tiers.setdefault(_tier(size), []).append((f"{day}/{name}", size))
+        for parts in tiers.values():
+            if len(parts) < FAN:
+                continue
+            # hidden from readers until it is moved: names with an underscore aren't listed
+            made = f"{copy}/_made/{uuid.uuid4().hex}"
+            files = -(-sum(size for _, size in parts) // FILE_BYTES)
+            spark.read.schema(schema).parquet(*[p for p, _ in parts]).coalesce(files).write.parquet(made)
+            session.move_path(spark, made, f"{day}/{ID_COL}=-{uuid.uuid4().int >> 80}")
+            for p, _ in parts:
+                session.delete_path(spark, p)
+            removed += len(parts)
+    return removed
+
+
 def touched_dates(batch: DataFrame) -> list[dt.date]:
     """Distinct event days of a batch in the copy: its partition values."""
     return sorted(r[0] for r in batch.select(DAY_COL).where(F.col(DAY_COL).isNotNull()).distinct().collect())
@@ -123,15 +170,17 @@ def start(spark: SparkSession, cfg: PipelineConfig, checkpoint_location: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(f"{cfg.source_path.rstrip('/')}/events")
-    # lives and dies with the checkpoint: both know the same files
-    copy = f"{checkpoint_location.rstrip('/')}-event-days"
+    # inside the checkpoint, with which it lives and dies: both know the same files
+    copy = copy_path(checkpoint_location)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         copied = append_batch(batch, batch_id, copy)
         media_rows = None
         if maintain_dimensions:
             media_rows = refresh_dimensions(spark, cfg, copied)["dim_media"].rows
-        rebuild_dates(spark, cfg, copy, touched_dates(copied), media_rows=media_rows)
+        dates = touched_dates(copied)
+        rebuild_dates(spark, cfg, copy, dates, media_rows=media_rows)
+        compact(spark, copy, [*dates, None], batch_id)
 
     writer = (stream.writeStream.foreachBatch(process)
               .option("checkpointLocation", checkpoint_location))
