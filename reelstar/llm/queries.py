@@ -138,6 +138,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _on_execut
 }.items()}
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+                   FROM documents),
+        windows AS (SELECT doc_id, i, sha256(array_to_string(words[i:i + 49], ' ')) AS key
+                    FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS i FROM d)),
+        bad AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY key) AS first FROM windows)
+                WHERE first < doc_id),
+        removed AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS p FROM bad),
+        every AS (SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS p FROM d),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+                 FROM every ANTI JOIN removed USING (doc_id, p) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.words) AS n_words, len(d.words) - coalesce(k.n, 0) AS n_removed,
+               sha256(coalesce(k.text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept k USING (doc_id)""",
     "op3_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
                    FROM documents)

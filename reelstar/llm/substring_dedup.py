@@ -178,8 +178,8 @@ def _ship(owners: DataFrame, docs: DataFrame, window: int, shards: int) -> DataF
                         if hashed is None:
                             hashed = Runs(bytewords.hash_words([w.decode("utf-8", "surrogatepass") for w in words]))
                         at = np.arange(s, s + n)
-                        edge = bytewords.mix(hashed(at, at + RUN) + hashed(at + window - RUN, at + window) * np.uint64(3))
-                        part = (edge % np.uint64(split)).astype(np.int64)
+                        # by all words of a window: templates with equal edges are spread by what is between
+                        part = (bytewords.mix(hashed(at, at + window)) % np.uint64(split)).astype(np.int64)
                         new = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
                         pieces = [(s + int(b), int(e - b), int(part[b])) for b, e in zip(new, np.r_[new[1:], n], strict=True)]
                     for b, count, part in pieces:

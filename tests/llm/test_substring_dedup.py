@@ -109,3 +109,19 @@ def test_matching_statistics():
                                 k += 1
                             best = max(best, k)
                 assert got[s + a] == best
+
+
+def test_templates_with_equal_edges_are_spread(spark):
+    # 3000 segments share their first and last twenty words; each has its own middle
+    head, tail = " ".join(f"h{i}" for i in range(20)), " ".join(f"t{i}" for i in range(20))
+    rows = [(i, f"{head} " + " ".join(f"m{i}x{k}" for k in range(10)) + f" {tail}") for i in range(3000)]
+    rows += [(5000 + i, rows[i][1]) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = df.select(F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_r"), F.col("text").alias("_t"))
+    found = substring_dedup._find_segments(keyed, 50)
+    owners = found.groupBy("key", "words").agg(F.min(F.struct("_d", "_r", "s", "n")).alias("o")).select("key", "words", "o.*")
+    split = owners.join(owners.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / 100).cast("int").alias("split")), "key")
+    largest = (substring_dedup._ship(split, keyed, 50, 40).groupBy("shard").count().agg(F.max("count")).first()[0])
+    assert largest <= 400
+    got = {r.doc_id: r.n_removed for r in substring_dedup.deduplicate(df, hot=100, shard=100).collect()}
+    assert all(got[i] == 0 for i in range(3000)) and all(got[5000 + i] == 50 for i in range(20))
