@@ -62,6 +62,8 @@ class PipelineConfig:
     stage_raw: bool = True                    # parse raw JSON once per run
     incremental_dims: bool = False            # merge dims from new landings (append-only sources)
     tracked: bool = False                     # follow the landings by a ledger instead of a start date
+    rebuild_bytes: int = 1 << 40              # tracked full runs: raw bytes parsed before that is noted
+    range_rows: int = 5_000_000_000           # tracked runs: events of the days rebuilt at a time
     raw_mode: str = "PERMISSIVE"              # what a malformed line does: kept, dropped, fails
     quarantine_path: str | None = None        # where malformed lines are copied to
     allow_missing_source: bool = False        # read an absent folder as empty

@@ -17,6 +17,10 @@ taken back. The lists of files and days are written anew as a generation, and a
 property names the current one. It is switched when all tables have been written, so after a
 failure the next run finds the same landings changed. Days about to be rebuilt are
 noted (``pending``) before the first write and rebuilt by the next run if that note is still there.
+
+A run over everything goes by groups of landings and ranges of days and notes each that is
+done (``rebuild``). If it is stopped, the next full run goes on from there: landings whose files are
+as they were aren't parsed again, and, where no landing changed at all, days already written are left alone.
 """
 
 from __future__ import annotations
@@ -39,6 +43,7 @@ EVENTS, MEDIA = "events", "media"
 LEDGER_KEY = "reelstar.ledger"
 UNIT, FILE, DAY = "unit", "file", "event_day"
 
+REBUILD_UNITS = "kind string, unit string, signature string"
 FILES = "kind string, landing string, unit string, file string, length long, modified timestamp"
 DAYS = f"{UNIT} string, {FILE} string, {DAY} date, rows long"
 #: Tables with a partition for each landing, and their other columns.
@@ -84,9 +89,9 @@ def list_files(spark: SparkSession, source_path: str, table: str, missing_ok: bo
                         file.alias(FILE), "length", F.col("modificationTime").alias("modified"))
 
 
-def read_files(spark: SparkSession, source_path: str, table: str, below: list[str] | None,
+def read_files(spark: SparkSession, source_path: str, table: str, below: list[str],
                mode: str = "PERMISSIVE") -> DataFrame:
-    """Raw rows of landings or single files (paths below the table's folder; None: all), with file and unit."""
+    """Raw rows of landings or single files (paths below the table's folder), with file and unit."""
     root = f"{source_path.rstrip('/')}/{table}"
     schema = schemas.RAW_EVENTS if table == EVENTS else schemas.RAW_MEDIA
     part, corrupt = schemas.RAW_PARTITION_COL, schemas.CORRUPT_COL
@@ -94,7 +99,7 @@ def read_files(spark: SparkSession, source_path: str, table: str, below: list[st
                           T.StructField(part, T.DateType(), True)])
     reader = (spark.read.schema(known).option("mode", mode).option("basePath", root)
               .option("columnNameOfCorruptRecord", corrupt))
-    rows = reader.json(root if below is None else [f"{root}/{b}" for b in below])
+    rows = reader.json([f"{root}/{b}" for b in below])
     file = file_of(table)
     return rows.select(*schema.names, corrupt, part, file.alias(FILE), unit_of(_folder(file)).alias(UNIT))
 
@@ -105,9 +110,32 @@ class Changes:
     read: dict[str, dict[str, str]] = field(default_factory=lambda: {EVENTS: {}, MEDIA: {}})
     gone: dict[str, dict[str, str]] = field(default_factory=lambda: {EVENTS: {}, MEDIA: {}})
 
+    #: What each landing's files are, and how many bytes, by unit.
+    signature: dict[str, str] = field(default_factory=dict)
+    size: dict[str, int] = field(default_factory=dict)
+
     def units(self, kind: str) -> list[str]:
         return [*self.read[kind], *self.gone[kind]]
 
+    def groups(self, limit: int) -> list[Changes]:
+        """The same changes in parts of about ``limit`` bytes to read; a part has a landing at least."""
+        out, room = [], -1
+        for kind in (EVENTS, MEDIA):
+            for unit, landing in self.read[kind].items():
+                if room < 0:
+                    out.append(Changes(signature=self.signature, size=self.size))
+                    room = limit
+                out[-1].read[kind][unit] = landing
+                room -= self.size.get(unit, 0) + 1
+        if any(self.gone.values()):
+            out.append(Changes(gone=self.gone))
+        return out
+
+    def without(self, done: dict[str, str]) -> Changes:
+        """The landings that weren't done with the files they have now."""
+        keep = lambda of: {u: x for u, x in of.items() if done.get(u) != self.signature.get(u)}
+        return Changes({k: keep(v) for k, v in self.read.items()}, self.gone, self.signature, self.size)
+
     def __bool__(self) -> bool:
         return any(self.units(k) for k in (EVENTS, MEDIA))
 
@@ -150,6 +178,7 @@ class Ledger:
         """Make this run's generation the current one, then forget the older ones."""
         self.spark.sql(f"ALTER TABLE {self.table} SET TBLPROPERTIES ('{LEDGER_KEY}' = '{self.run_id}')")
         session.delete_path(self.spark, f"{self.root}/pending")
+        session.delete_path(self.spark, f"{self.root}/rebuild")
         session.delete_path(self.spark, f"{self.root}/temp/{self.run_id}")
         for name in session.folder_names(self.spark, f"{self.root}/generations"):
             if name != self.run_id:
@@ -169,13 +198,17 @@ class Ledger:
                 .join(old.select(*key, F.col("length").alias("_l"), F.col("modified").alias("_m"), F.lit(True).alias("was")),
                       key, "full"))
         same = F.col("length").eqNullSafe(F.col("_l")) & F.col("modified").eqNullSafe(F.col("_m"))
+        one = F.when(F.col("here"), F.concat_ws(" ", FILE, "length", F.col("modified").cast("double")))
         by = (both.groupBy("kind", "landing", UNIT)
-              .agg(F.bool_or(~same).alias("differs"), F.coalesce(F.bool_or("here"), F.lit(False)).alias("here")))
+              .agg(F.bool_or(~same).alias("differs"), F.coalesce(F.bool_or("here"), F.lit(False)).alias("here"),
+                   F.md5(F.array_join(F.sort_array(F.collect_list(one)), "\n").cast("binary")).alias("signature"),
+                   F.coalesce(F.sum("length"), F.lit(0)).alias("size")))
         changed = by if forget else by.filter("differs")
         out = Changes()
         # a row for each changed landing (a folder), none for a file or an event
         for r in changed.collect():
             (out.read if r.here else out.gone)[r.kind][r.unit] = r.landing
+            out.signature[r.unit], out.size[r.unit] = r.signature, r.size
         return out
 
     # --- tables by landing ----------------------------------------------------
@@ -208,40 +241,93 @@ class Ledger:
 
     def take(self, changes: Changes, mode: str = "PERMISSIVE") -> dict[str, int]:
         """Read the changed landings, each raw row once, and replace what the ledger
-        keeps of them. Returns the rows read."""
-        everything = self.current() is None and not changes.gone[EVENTS] and not changes.gone[MEDIA]
-        below = lambda kind: None if everything else list(changes.read[kind].values())
-        rows = {EVENTS: 0, MEDIA: 0}
-        if changes.units(EVENTS):
-            units = changes.units(EVENTS)
-            if changes.read[EVENTS]:
-                raw = read_files(self.spark, self.source_path, EVENTS, below(EVENTS), mode)
+        keeps of them; then their days. Returns the rows read."""
+        self.parse(changes, mode)
+        return self.index(changes)
+
+    def parse(self, changes: Changes, mode: str = "PERMISSIVE") -> None:
+        """The staged events and the partials of changed landings."""
+        if units := changes.units(EVENTS):
+            fresh = list(changes.read[EVENTS])
+            if fresh:
+                raw = read_files(self.spark, self.source_path, EVENTS, list(changes.read[EVENTS].values()), mode)
                 day = F.to_date(parse_event_time("received_at")).alias(DAY)
                 self.replace("staged", raw.select(*EVENT_COLUMNS_USED, schemas.RAW_PARTITION_COL, schemas.CORRUPT_COL, FILE,
                                                   UNIT, day), units)
+                staged = self.read("staged", fresh)
+                self.replace("visitors", dims.visitor_partials(staged, UNIT), units)
+                self.replace("urls", dims.url_partials(staged, UNIT), units)
+                self.replace("media_days", staged.select(UNIT, "media_id", DAY).where("media_id IS NOT NULL").distinct(), units)
             else:
-                self._drop("staged", units)
-            fresh = self.read("staged", list(changes.read[EVENTS]))
-            self.replace("visitors", dims.visitor_partials(fresh, UNIT), units)
-            self.replace("urls", dims.url_partials(fresh, UNIT), units)
-            self.replace("media_days", fresh.select(UNIT, "media_id", DAY).where("media_id IS NOT NULL").distinct(), units)
-            days = fresh.groupBy(UNIT, FILE, DAY).agg(F.count(F.lit(1)).alias("rows"))
-            kept = self.days().where(~F.col(UNIT).isin(units))
-            self._write_generation(kept.unionByName(days.select(*kept.columns)), "days")
-            rows[EVENTS] = self.days(self.run_id).where(F.col(UNIT).isin(list(changes.read[EVENTS]))).agg(
-                F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-        else:
-            self._write_generation(self.days(), "days")
-        if changes.units(MEDIA):
-            units = changes.units(MEDIA)
+                for name in ("staged", "visitors", "urls", "media_days"):
+                    self._drop(name, units)
+        if units := changes.units(MEDIA):
             if changes.read[MEDIA]:
-                raw = read_files(self.spark, self.source_path, MEDIA, below(MEDIA), mode)
+                raw = read_files(self.spark, self.source_path, MEDIA, list(changes.read[MEDIA].values()), mode)
                 self.replace("media", dims.media_partials(raw, UNIT), units)
             else:
                 self._drop("media", units)
+
+    def index(self, changes: Changes) -> dict[str, int]:
+        """The event days of each file, those of changed landings anew; rows of changed landings."""
+        rows = {EVENTS: 0, MEDIA: 0}
+        kept = self.days().where(~F.col(UNIT).isin(changes.units(EVENTS)))
+        fresh = self.read("staged", list(changes.read[EVENTS])) if changes.read[EVENTS] else None
+        if fresh is not None:
+            kept = kept.unionByName(fresh.groupBy(UNIT, FILE, DAY).agg(F.count(F.lit(1)).alias("rows")))
+        self._write_generation(kept, "days")
+        if fresh is not None:
+            rows[EVENTS] = self.days(self.run_id).where(F.col(UNIT).isin(list(changes.read[EVENTS]))).agg(
+                F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        if changes.read[MEDIA]:
             rows[MEDIA] = self.read("media", list(changes.read[MEDIA])).count()
         return rows
 
+    # --- full runs in steps -----------------------------------------------------
+
+    def _rebuild(self, name: str, schema: str) -> list:
+        try:
+            return (self.spark.read.schema(schema).option("recursiveFileLookup", "true")
+                    .parquet(f"{self.root}/rebuild/{name}").collect())
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
+            return []
+
+    def done_units(self) -> dict[str, str]:
+        """Landings that a stopped full run has parsed, with the files they had."""
+        return {r.unit: r.signature for r in self._rebuild("units", REBUILD_UNITS)}
+
+    def done_days(self) -> set[dt.date | None]:
+        return {r[0] for r in self._rebuild("days", f"{DAY} date")}
+
+    def _note(self, name: str, rows: list, schema: str) -> None:
+        (self.spark.createDataFrame(rows, schema).coalesce(1).write
+         .parquet(f"{self.root}/rebuild/{name}/{uuid.uuid4().hex[:12]}"))
+
+    def note_units(self, changes: Changes) -> None:
+        rows = [(k, u, changes.signature[u]) for k in (EVENTS, MEDIA) for u in changes.read[k]]
+        if rows:
+            self._note("units", rows, REBUILD_UNITS)
+
+    def note_days(self, days: list[dt.date | None]) -> None:
+        self._note("days", [(d,) for d in days], f"{DAY} date")
+
+    def forget_days(self) -> None:
+        session.delete_path(self.spark, f"{self.root}/rebuild/days")
+
+    def ranges(self, days: list[dt.date | None], limit: int) -> list[list[dt.date | None]]:
+        """The days in order, in ranges of about ``limit`` rows; a range has a day at least."""
+        rows = {r[0]: r[1] for r in self.days(self.run_id).groupBy(DAY).agg(F.sum("rows")).collect()}
+        out, room = [], -1
+        for d in days:
+            if room < 0:
+                out.append([])
+                room = limit
+            out[-1].append(d)
+            room -= rows.get(d, 0) + 1
+        return out
+
     def quarantine(self, changes: Changes, path: str) -> None:
         """Malformed lines of the changed landings, a folder for each; a mended landing loses its own."""
         for u in changes.units(EVENTS):

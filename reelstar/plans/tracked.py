@@ -5,7 +5,8 @@ and rebuilds exactly the days they had or have, in whatever order things are
 landed. Dimensions come from the ledger's partial minima and maxima, equal to a rebuild also after a
 landing was replaced, backfilled or purged. A media whose duration changed
 takes along the days on which it was watched, so watch time never goes stale. Days left without an event
-lose their partitions. A full run, and the first one, reads everything.
+lose their partitions. A full run, and the first one, reads everything, in groups of landings and
+ranges of days: one that was stopped is taken up where it ended.
 """
 
 from __future__ import annotations
@@ -45,7 +46,17 @@ def run_tracked(spark: SparkSession, cfg: PipelineConfig, run_ts: dt.datetime) -
     report.landings = sorted(v for k in (EVENTS, MEDIA) for v in changes.read[k].values())
     pending = ledger.pending()
     if changes or pending or whole:
-        report.raw_rows = ledger.take(changes, cfg.raw_mode)
+        if whole:
+            todo = changes.without(ledger.done_units())
+            report.landings = sorted(v for k in (EVENTS, MEDIA) for v in todo.read[k].values())
+            if any(todo.read.values()):
+                ledger.forget_days()                          # written before what is read now
+            for group in todo.groups(cfg.rebuild_bytes):
+                ledger.parse(group, cfg.raw_mode)
+                ledger.note_units(group)
+        else:
+            ledger.parse(changes, cfg.raw_mode)
+        report.raw_rows = ledger.index(changes)
         if cfg.quarantine_path:
             ledger.quarantine(changes, cfg.quarantine_path)
         days = {r[0] for r in ledger.touched(changes).collect()} | set(pending)
@@ -57,6 +68,8 @@ def run_tracked(spark: SparkSession, cfg: PipelineConfig, run_ts: dt.datetime) -
         else:
             moved = changed_durations(spark.table(f"{db}.dim_media"), media)
             days |= {r[0] for r in ledger.days_of_media(moved).collect()}
+        if whole:
+            days -= ledger.done_days()
         days = sorted(days, key=lambda d: (d is not None, d))
         report.touched = days
         ledger.note_pending(days)
@@ -66,17 +79,29 @@ def run_tracked(spark: SparkSession, cfg: PipelineConfig, run_ts: dt.datetime) -
         for name, df in (("dim_visitors", visitors), ("dim_media", media),
                          ("dim_dates", dims.build_dates(spark, cfg.dates_start, cfg.dates_end or run_ts.date(), run_ts))):
             report.writes[name] = overwrite_table(df, f"{db}.{name}")
-        rebuild_days(spark, cfg, ledger, days, run_ts, report)
+        for some in ledger.ranges(days, cfg.range_rows):
+            rebuild_days(spark, cfg, ledger, some, run_ts, report)
+            if whole:
+                ledger.note_days(some)
     else:
         log.info("no landing changed")
         df = dims.build_dates(spark, cfg.dates_start, cfg.dates_end or run_ts.date(), run_ts)
         report.writes["dim_dates"] = overwrite_table(df, f"{db}.dim_dates")
-        ledger.take(changes)
+        ledger.index(changes)
     ledger.commit()
     report.table_rows = {r.table_name: r.rows for r in table_counts(spark, db).collect()}
     return report
 
 
+def _add(report: RunReport, table: str, done: WriteResult) -> None:
+    """Writes of several ranges of days as one."""
+    before = report.writes.get(table)
+    if before is not None:
+        done = WriteResult(table, before.rows + done.rows, before.partitions + done.partitions,
+                           before.null_partition or done.null_partition)
+    report.writes[table] = done
+
+
 def rebuild_days(spark: SparkSession, cfg: PipelineConfig, ledger: Ledger, days: list[dt.date | None],
                  run_ts: dt.datetime, report: RunReport) -> None:
     """Both facts of these days from the staged events; days without any lose their partitions."""
@@ -90,10 +115,11 @@ def rebuild_days(spark: SparkSession, cfg: PipelineConfig, ledger: Ledger, days:
         durations = spark.table(f"{db}.dim_media").select("media_id", "duration")
         fct = facts.build_events(events, durations, run_ts, cfg.max_broadcast_rows,
                                  durations_rows=report.writes["dim_media"].rows)
-        report.writes["fct_events"] = overwrite_partitions(fct, f"{db}.fct_events", days=result)
+        done = overwrite_partitions(fct, f"{db}.fct_events", days=result)
+        _add(report, "fct_events", done)
         written = in_partitions(spark.table(f"{db}.fct_events"), part, result)
-        report.writes["fct_media_engagement"] = overwrite_partitions(
-            facts.build_media_engagement(written, run_ts), f"{db}.fct_media_engagement", days=result)
+        _add(report, "fct_media_engagement", overwrite_partitions(
+            facts.build_media_engagement(written, run_ts), f"{db}.fct_media_engagement", days=result))
     empty = [d for d in days if d not in there]
     for name in schemas.FACTS:
         drop_partitions(spark, f"{db}.{name}", empty)

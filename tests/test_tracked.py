@@ -252,3 +252,52 @@ def test_missing_and_empty_raw_zone(spark, tmp_path):
     session.delete_path(spark, f"{w.root}/media")
     report = w.run(allow_missing_source=True)
     assert report.table_rows["fct_events"] == report.table_rows["dim_media"] == 0
+
+
+def test_stopped_full_run_goes_on_where_it_ended(world, monkeypatch):
+    for day in range(5, 12):
+        world.land([event(f"d{day}", f"2024-03-{day:02d}")], D(2024, 3, day))
+    steps = dict(mode="full", rebuild_bytes=1, range_rows=1)
+    real, calls = tracked.rebuild_days, []
+
+    def stop_after(n):
+        def step(spark, cfg, ledger, days, run_ts, report):
+            if len(calls) == n:
+                raise RuntimeError("killed")
+            calls.append(days)
+            real(spark, cfg, ledger, days, run_ts, report)
+        return step
+
+    monkeypatch.setattr(tracked, "rebuild_days", stop_after(4))
+    with pytest.raises(RuntimeError):
+        world.run(**steps)
+    monkeypatch.setattr(tracked, "rebuild_days", stop_after(99))
+    report = world.run(**steps)
+    # nothing was parsed again, and each range was written once
+    assert report.landings == []
+    assert [d for days in calls for d in days] == [None, *(D(2024, 3, d) for d in (1, 2, 3, 5, 6, 7, 8, 9, 10, 11))]
+    assert len(report.touched) == 7
+    world.same_as_full()
+    # a full run after that begins anew
+    assert len(world.run(**steps).landings) == 10
+
+
+def test_stopped_full_run_over_a_raw_zone_that_changed(world, monkeypatch):
+    steps = dict(mode="full", rebuild_bytes=1, range_rows=1)
+    real = Ledger.note_units
+    noted = []
+
+    def killed(self, changes):
+        real(self, changes)
+        noted.append(changes)
+        if len(noted) == 2:
+            raise RuntimeError("killed")
+
+    monkeypatch.setattr(Ledger, "note_units", killed)
+    with pytest.raises(RuntimeError):
+        world.run(**steps)
+    monkeypatch.setattr(Ledger, "note_units", real)
+    world.land([event("e1", "2024-03-01", country="QQ")], D(2024, 3, 2))
+    report = world.run(**steps)
+    assert "ingest_date=2024-03-02/batch=b1" in report.landings and len(report.landings) == 2
+    world.same_as_full()
