@@ -176,13 +176,13 @@ class BlockMaxIndex:
         score = score.astype(float).reshape(-1, self.block)   # without any posting they are whole numbers
         for weight, row in zip(common[query].T, self.rows, strict=True):
             score += weight[:, None] * row[block]
+        # only queries whose best may change go on
+        some = np.flatnonzero(score.max(axis=1) >= np.maximum(sims[query, -1], 1e-12) - 1e-11)
+        q, block = query[some], block[some]
         # sums are rounded so that equal vectors tie whatever their order
-        score = score.round(12)
-        place = block[:, None] * self.block + np.arange(self.block)
+        score, place = score[some].round(12), block[:, None] * self.block + np.arange(self.block)
         if skip is not None:
-            score[place == skip[query][:, None]] = 0
-        some = np.flatnonzero((score >= np.maximum(sims[query, -1:], 1e-12)).any(axis=1))
-        q, score, place = query[some], score[some], place[some]
+            score[place == skip[q][:, None]] = 0
         both = np.hstack([sims[q], score]), np.hstack([docs[q], np.where(score > 0, place, self.n)])
         best = np.lexsort((both[1], -both[0]), axis=1)[:, :sims.shape[1]]
         sims[q], docs[q] = np.take_along_axis(both[0], best, 1), np.take_along_axis(both[1], best, 1)
