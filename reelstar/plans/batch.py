@@ -29,26 +29,32 @@ from reelstar.plans.tracked import run_tracked
 from reelstar.sinks.tables import (WriteResult, ensure_tables, in_partitions, overwrite_partitions,
                                    overwrite_table, table_counts)
 from reelstar.sources import landing
-from reelstar.sources.raw import read_raw_events, read_raw_media, stage
+from reelstar.sources.raw import EVENT_COLUMNS_USED, read_raw_events, read_raw_media, stage
 
 log = logging.getLogger("reelstar")
 
 
-def _raw(spark: SparkSession, cfg: PipelineConfig, reader, since: dt.date | None = None) -> DataFrame:
-    return reader(spark, cfg.source_path, since=since, mode=cfg.raw_mode,
+def _raw(spark: SparkSession, cfg: PipelineConfig, reader, since: dt.date | None = None,
+         with_corrupt: bool = False) -> DataFrame:
+    # lines to be copied away have to be seen, also where they are dropped afterwards
+    mode = "PERMISSIVE" if with_corrupt and cfg.raw_mode == "DROPMALFORMED" else cfg.raw_mode
+    return reader(spark, cfg.source_path, since=since, mode=mode, with_corrupt=with_corrupt,
                   missing_ok=cfg.allow_missing_source)
 
 
-def quarantine(spark: SparkSession, cfg: PipelineConfig, since: dt.date | None = None) -> None:
-    """Copy malformed event lines of the landings read to ``quarantine_path``, by landing day."""
-    part = schemas.RAW_PARTITION_COL
-    raw = read_raw_events(spark, cfg.source_path, since=since, with_corrupt=True,
-                          missing_ok=cfg.allow_missing_source)
+def quarantine(raw: DataFrame, path: str, since: dt.date | None = None) -> None:
+    """Copy the malformed lines of raw events (read with their corrupt column) to ``path``, by landing
+    day. The landing days read (all, or those from ``since`` on) lose what was copied before."""
+    part, spark = schemas.RAW_PARTITION_COL, raw.sparkSession
+    for name in session.folder_names(spark, path):
+        day = name.removeprefix(f"{part}=")
+        if name != day and (since is None or day >= since.isoformat()):
+            session.delete_path(spark, f"{path.rstrip('/')}/{name}")
     # Spark refuses to parse for the corrupt column alone, so a data column is looked at with it
     corrupt = F.col(schemas.CORRUPT_COL)
     bad = raw.where(corrupt.isNotNull() & (F.length(F.concat_ws("", corrupt, "event_key")) > 0))
-    (bad.select(F.col(schemas.CORRUPT_COL).alias("value"), part).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(part).text(cfg.quarantine_path))
+    (bad.select(corrupt.alias("value"), part).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(part).text(path))
 
 
 def event_days(raw_events: DataFrame) -> DataFrame:
@@ -88,12 +94,15 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig,
 
     part = F.col(schemas.RAW_PARTITION_COL)
     since = min(events_wm, start) if merge_dims else None
-    if cfg.quarantine_path:
-        quarantine(spark, cfg, since)
-    raw_events = _raw(spark, cfg, read_raw_events, since)
+    raw_events = _raw(spark, cfg, read_raw_events, since, bool(cfg.quarantine_path))
     raw_media = _raw(spark, cfg, read_raw_media, media_wm if merge_dims else None)
+    corrupt = (schemas.CORRUPT_COL,) if cfg.quarantine_path else ()
     if cfg.stage_raw:
-        raw_events = stage(raw_events, state.staging("raw_events"))
+        raw_events = stage(raw_events, state.staging("raw_events"), EVENT_COLUMNS_USED + corrupt)
+    if cfg.quarantine_path:
+        quarantine(raw_events, cfg.quarantine_path, since)
+        if cfg.raw_mode == "DROPMALFORMED":
+            raw_events = raw_events.where(F.col(schemas.CORRUPT_COL).isNull())
     seen, seen_media = _through(raw_events), _through(raw_media)
     dim_events = raw_events
     if merge_dims:

@@ -301,3 +301,17 @@ def test_stopped_full_run_over_a_raw_zone_that_changed(world, monkeypatch):
     report = world.run(**steps)
     assert "ingest_date=2024-03-02/batch=b1" in report.landings and len(report.landings) == 2
     world.same_as_full()
+
+
+def test_untracked_quarantine_of_mended_days(world, tmp_path):
+    bad = str(tmp_path / "bad")
+    folder = f"{world.root}/events/ingest_date=2024-03-11/batch=b1"
+    lines = [("{broken",), ('{"event_key": "k", "received_at": "2024-03-11T00:00:00.000Z", "media_id": "m1"}',)]
+    world.spark.createDataFrame(lines, "value string").coalesce(1).write.text(folder)
+    for mode, rows in (("PERMISSIVE", 6), ("DROPMALFORMED", 5)):
+        report = world.run("full", tracked=False, quarantine_path=bad, raw_mode=mode)
+        assert [r.value for r in world.spark.read.text(bad).collect()] == ["{broken"]
+        assert report.table_rows["fct_events"] == rows
+    world.land([event("k", "2024-03-11")], D(2024, 3, 11))
+    world.run("full", tracked=False, quarantine_path=bad)
+    assert world.spark.read.schema("value string").text(bad).count() == 0
