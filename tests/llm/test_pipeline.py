@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_names_and_registration():
     qs = entry.queries()
-    assert {"pipeline", *(f"op{n}" for n in range(1, 11))} == {q.split("_")[0] for q in qs if q.startswith("op") or q == "pipeline"} - {"overwrite"}
+    assert {"pipeline", *(f"op{n}" for n in range(1, 14))} == {q.split("_")[0] for q in qs if q.startswith("op") or q == "pipeline"} - {"overwrite"}
     assert set(entry.oracle_sql()) <= set(qs)
     assert len(corpus_pipeline.STAGES) == 5
 
