@@ -81,7 +81,7 @@ def _config(a: argparse.Namespace) -> PipelineConfig:
         mode=a.mode, start_date=a.start_date, dates_end=a.dates_end, dry_run=a.dry_run,
         state_path=a.state_path, persist_state=a.persist_state, replace_all=a.replace_all,
         stage_raw=not a.no_stage_raw, prune_raw_by_ingest_date=a.prune_raw,
-        incremental_dims=a.incremental_dims, raw_mode=a.raw_mode, quarantine_path=a.quarantine_path,
+        incremental_dims=a.incremental_dims, tracked=a.tracked, raw_mode=a.raw_mode, quarantine_path=a.quarantine_path,
         allow_missing_source=a.allow_missing_source, late_aware=a.late_aware,
         **({"dates_start": a.dates_start} if a.dates_start else {}))
 

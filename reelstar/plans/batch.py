@@ -235,9 +235,9 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig, pages: DataFrame | No
                                 landing.batch_name(window.fetch_start, window.fetch_end))
         if media_snapshot is not None:
             landing.land_media(media_snapshot, cfg.source_path, now.date())
-    # an incremental run without a start rebuilds everything, too
-    build_cfg = PipelineConfig(**{**cfg.__dict__, "start_date": window.start_date,
-                                  "mode": INCREMENTAL if window.start_date else FULL})
+    # an incremental run without a start rebuilds everything, too, unless the ledger knows better
+    mode = cfg.mode if cfg.tracked else INCREMENTAL if window.start_date else FULL
+    build_cfg = PipelineConfig(**{**cfg.__dict__, "start_date": window.start_date, "mode": mode})
     report = run_batch(spark, build_cfg, now)
     report.checkpoint = commit_checkpoint(spark, cfg.state_path, window.new_last_run_ts,
                                           cfg.persist_state, cfg.dry_run)

@@ -315,3 +315,15 @@ def test_untracked_quarantine_of_mended_days(world, tmp_path):
     world.land([event("k", "2024-03-11")], D(2024, 3, 11))
     world.run("full", tracked=False, quarantine_path=bad)
     assert world.spark.read.schema("value string").text(bad).count() == 0
+
+
+def test_command_line_follows_the_landings(world):
+    from reelstar.__main__ import _config, _parser
+    from reelstar.plans.batch import run_pipeline
+
+    args = _parser().parse_args(["build", "--source-path", world.root, "--target-db", world.db, "--warehouse-dir", world.wh,
+                                 "--mode", "incremental", "--tracked", "--dates-end", "2024-04-01"])
+    assert run_pipeline(world.spark, _config(args), now=RUN).raw_rows["events"] == 4
+    world.land([event("new", "2024-03-15")], D(2024, 3, 16))
+    report = run_pipeline(world.spark, _config(args), now=RUN)
+    assert report.touched == [D(2024, 3, 15)] and report.raw_rows["events"] == 1
