@@ -49,6 +49,8 @@ def _parser() -> argparse.ArgumentParser:
                        help="merge dimensions from new landings (append-only sources)")
         s.add_argument("--tracked", action="store_true",
                        help="follow the landings by a ledger: incremental runs need no start date")
+        s.add_argument("--cluster-facts", action="store_true",
+                       help="move events once for both facts, by a bucketed copy")
         s.add_argument("--dates-start")
         s.add_argument("--raw-mode", default="PERMISSIVE", help="PERMISSIVE, DROPMALFORMED or FAILFAST")
         s.add_argument("--quarantine-path", help="copy malformed lines there")
@@ -81,7 +83,8 @@ def _config(a: argparse.Namespace) -> PipelineConfig:
         mode=a.mode, start_date=a.start_date, dates_end=a.dates_end, dry_run=a.dry_run,
         state_path=a.state_path, persist_state=a.persist_state, replace_all=a.replace_all,
         stage_raw=not a.no_stage_raw, prune_raw_by_ingest_date=a.prune_raw,
-        incremental_dims=a.incremental_dims, tracked=a.tracked, raw_mode=a.raw_mode, quarantine_path=a.quarantine_path,
+        incremental_dims=a.incremental_dims, tracked=a.tracked, cluster_facts=a.cluster_facts,
+        raw_mode=a.raw_mode, quarantine_path=a.quarantine_path,
         allow_missing_source=a.allow_missing_source, late_aware=a.late_aware,
         **({"dates_start": a.dates_start} if a.dates_start else {}))
 

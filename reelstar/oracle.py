@@ -263,6 +263,8 @@ WHERE rn = 1""", "typed_events"),
 SELECT * FROM fct_first WHERE p_date < DATE '{INCREMENTAL_START}' OR p_date IS NULL
 UNION ALL
 SELECT * FROM fct_since""", "fct_first", "fct_since"),
+        "clustered_events": _with("SELECT * FROM fct_events_all", "fct_events_all"),
+        "clustered_engagement": _with("SELECT * FROM engagement_all", "engagement_all"),
         "partition_diff": _with(f"""
 SELECT DISTINCT 'p_date=' || p_date AS partition, 'vanished' AS status
 FROM fct_events_all WHERE p_date < DATE '{REMOVED_BEFORE}'

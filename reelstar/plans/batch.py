@@ -23,11 +23,11 @@ from reelstar.functions import parse_event_time, utc
 from reelstar.operators import dims, facts
 from reelstar.plans.config import FULL, INCREMENTAL, PipelineConfig
 from reelstar.plans.dimstate import DimState
+from reelstar.plans.factwrite import write_facts
 from reelstar.plans.report import RunReport
 from reelstar.plans.state import commit_checkpoint, read_checkpoint, resolve_window
 from reelstar.plans.tracked import run_tracked
-from reelstar.sinks.tables import (WriteResult, ensure_tables, in_partitions, overwrite_partitions,
-                                   overwrite_table, table_counts)
+from reelstar.sinks.tables import WriteResult, ensure_tables, overwrite_table, table_counts
 from reelstar.sources import landing
 from reelstar.sources.raw import EVENT_COLUMNS_USED, read_raw_events, read_raw_media, stage
 
@@ -57,11 +57,6 @@ def quarantine(raw: DataFrame, path: str, since: dt.date | None = None) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(part).text(path))
 
 
-def event_days(raw_events: DataFrame) -> DataFrame:
-    """The fact partitions that raw events belong to."""
-    return raw_events.select(F.to_date(parse_event_time("received_at")).alias(schemas.TARGET_PARTITION_COL))
-
-
 def _through(df: DataFrame):
     """Latest landing day of a frame and its rows."""
     return df.agg(F.max(schemas.RAW_PARTITION_COL).alias("through"), F.count(F.lit(1)).alias("rows")).first()
@@ -128,15 +123,8 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig,
             start = report.facts_start = earliest
     durations = spark.table(f"{db}.dim_media").select("media_id", "duration")
     windowed = facts.events_since(facts_raw, start, cfg.prune_raw_by_ingest_date)
-    fct_events = facts.build_events(windowed, durations, run_ts, cfg.max_broadcast_rows,
-                                    durations_rows=report.writes["dim_media"].rows)
-    res = overwrite_partitions(fct_events, f"{db}.fct_events", replace_all=cfg.replace_all,
-                               days=event_days(windowed))
-    report.writes["fct_events"] = res
-    written = in_partitions(spark.table(f"{db}.fct_events"), schemas.TARGET_PARTITION_COL, res)
-    report.writes["fct_media_engagement"] = overwrite_partitions(
-        facts.build_media_engagement(written, run_ts), f"{db}.fct_media_engagement",
-        replace_all=cfg.replace_all, days=res)
+    report.writes.update(write_facts(spark, cfg, windowed, durations, report.writes["dim_media"].rows,
+                                     state.staging("clustered"), run_ts))
 
     # Dimension watermark last: a failed run leaves the previous one. Valid in
     # both modes: a rebuild saw every landing, a merge every landing since.

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from reelstar.operators.clustered import BUCKET_ROWS
 from reelstar.operators.dims import DEFAULT_DATES_START
 from reelstar.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
 
@@ -64,6 +65,8 @@ class PipelineConfig:
     tracked: bool = False                     # follow the landings by a ledger instead of a start date
     rebuild_bytes: int = 1 << 40              # tracked full runs: raw bytes parsed before that is noted
     range_rows: int = 5_000_000_000           # tracked runs: events of the days rebuilt at a time
+    cluster_facts: bool = False               # move events once for both facts (bucketed copy)
+    bucket_rows: int = BUCKET_ROWS            # events in one of its buckets
     raw_mode: str = "PERMISSIVE"              # what a malformed line does: kept, dropped, fails
     quarantine_path: str | None = None        # where malformed lines are copied to
     allow_missing_source: bool = False        # read an absent folder as empty
@@ -83,6 +86,7 @@ class PipelineConfig:
         object.__setattr__(self, "stage_raw", parse_bool(self.stage_raw, True))
         object.__setattr__(self, "incremental_dims", parse_bool(self.incremental_dims, False))
         object.__setattr__(self, "tracked", parse_bool(self.tracked, False))
+        object.__setattr__(self, "cluster_facts", parse_bool(self.cluster_facts, False))
         object.__setattr__(self, "prune_raw_by_ingest_date", parse_bool(self.prune_raw_by_ingest_date, False))
         object.__setattr__(self, "allow_missing_source", parse_bool(self.allow_missing_source, False))
         object.__setattr__(self, "raw_mode", str(self.raw_mode).strip().upper())

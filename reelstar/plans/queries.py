@@ -46,6 +46,8 @@ QUIET_START = "2030-01-01"
 REPLACED_DAY, PURGED_DAY, BACKFILL_DAY, AGAIN_DAY = "2024-01-12", "2024-01-15", "2024-01-05", "2024-01-25"
 # Days whose partitions lose their folders, and a folder added outside Spark.
 REMOVED_BEFORE, STRAY_DAY = "2024-01-04", "2034-01-10"
+# Buckets of the copy that both facts are built from.
+CLUSTERED_BUCKETS = 16
 REPLACED_KEEPS = "event_key RLIKE '[02468]r?$'"
 
 
@@ -314,6 +316,24 @@ def _full_run(spark, sf_dir) -> str:
     return db
 
 
+def _clustered_run(spark: SparkSession, sf_dir: str) -> str:
+    """A full run whose facts come from one exchange; buckets are small enough for heavy pairs to be split."""
+    root = _landed(spark, sf_dir)
+    db, wh = _scratch_db(spark)
+    raw = read_raw_events(spark, root)
+    run_batch(spark, PipelineConfig(source_path=root, target_db=db, warehouse_dir=wh, dates_end=_run_date(raw),
+                                    cluster_facts=True, bucket_rows=max(1, raw.count() // CLUSTERED_BUCKETS)))
+    return db
+
+
+def q_clustered_events(spark, sf_dir):
+    return _values(spark.table(f"{_clustered_run(spark, sf_dir)}.fct_events"), "fct_events")
+
+
+def q_clustered_engagement(spark, sf_dir):
+    return _values(spark.table(f"{_clustered_run(spark, sf_dir)}.fct_media_engagement"), "fct_media_engagement")
+
+
 def q_partition_diff(spark, sf_dir):
     """Partitions whose folders were removed, and folders that the catalog doesn't know."""
     table = f"{_full_run(spark, sf_dir)}.fct_events"
@@ -583,6 +603,8 @@ def queries() -> dict[str, Query]:
         # sinks and jobs
         "overwrite_table_roundtrip": q_overwrite_table_roundtrip,
         "overwrite_partitions_merge": q_overwrite_partitions_merge,
+        "clustered_events": q_clustered_events,
+        "clustered_engagement": q_clustered_engagement,
         "partition_diff": q_partition_diff,
         "table_counts": q_table_counts,
         "full_pipeline_counts": q_full_pipeline_counts,

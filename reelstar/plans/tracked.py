@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar import schemas
-from reelstar.operators import dims, facts
+from reelstar.operators import dims
 from reelstar.plans.config import INCREMENTAL, PipelineConfig
 from reelstar.plans.dimstate import DimState
+from reelstar.plans.factwrite import write_facts
 from reelstar.plans.ledger import DAY, EVENTS, MEDIA, Ledger
 from reelstar.plans.report import RunReport
-from reelstar.sinks.tables import (WriteResult, drop_partitions, in_partitions, overwrite_partitions, overwrite_table,
-                                   partition_values, table_counts)
+from reelstar.sinks.tables import WriteResult, drop_partitions, overwrite_table, partition_values, table_counts
 
 log = logging.getLogger("reelstar")
 
@@ -107,19 +107,16 @@ def rebuild_days(spark: SparkSession, cfg: PipelineConfig, ledger: Ledger, days:
     """Both facts of these days from the staged events; days without any lose their partitions."""
     if not days:
         return
-    db, part = cfg.target_db, schemas.TARGET_PARTITION_COL
+    db = cfg.target_db
     events = ledger.events_of(days)
     there = {r[0] for r in events.select(DAY).distinct().collect()}
     result = WriteResult("days", 0, sorted(d for d in there if d is not None), None in there)
     if there:
         durations = spark.table(f"{db}.dim_media").select("media_id", "duration")
-        fct = facts.build_events(events, durations, run_ts, cfg.max_broadcast_rows,
-                                 durations_rows=report.writes["dim_media"].rows)
-        done = overwrite_partitions(fct, f"{db}.fct_events", days=result)
-        _add(report, "fct_events", done)
-        written = in_partitions(spark.table(f"{db}.fct_events"), part, result)
-        _add(report, "fct_media_engagement", overwrite_partitions(
-            facts.build_media_engagement(written, run_ts), f"{db}.fct_media_engagement", days=result))
+        staging = DimState.for_db(spark, db, cfg.warehouse_dir).staging("clustered")
+        for table, done in write_facts(spark, cfg, events, durations, report.writes["dim_media"].rows, staging,
+                                       run_ts, result).items():
+            _add(report, table, done)
     empty = [d for d in days if d not in there]
     for name in schemas.FACTS:
         drop_partitions(spark, f"{db}.{name}", empty)
