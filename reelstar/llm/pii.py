@@ -4,15 +4,21 @@ Values that pass their kind's check are replaced by other valid values of the
 same format:
 
 * card: 13 to 19 digits with a valid Luhn digit; all digits but the last are
-  permuted, the last is worked out anew; account: such numbers whose last digit is
+  permuted, the last is worked out anew; account (only with ``accounts=True``, since
+  nothing tells them from time stamps and counters): such numbers whose last digit is
   off, which stays off by as much;
-* phone: international numbers; the digits after the country code;
+* phone: international numbers, and U.S. ones with an area and an exchange from 200 on, in the forms
+  (415) 555-2671, 415-555-2671 and 415.555.2671; the last ten digits, so that a number with and without
+  its country code stays linked (the area of a pseudonym may start with 0 or 1);
+* iban: account numbers with valid check digits (mod 97); digits and letters after them are permuted in
+  their places, the check digits worked out anew, the country stays;
+* ip6: IPv6 addresses, whole or with one "::" (and a digit somewhere), among all 2^128; written whole;
 * ssn: U.S. numbers with a valid area, group and serial, among all valid ones;
 * ip: dotted IPv4 addresses, among all 2^32;
 * date: calendar dates from 1900-01-01 to 2100-01-01, among these days
   (2004-02-29, 02/29/2004 and 29.02.2004 forms);
 * email: letters and digits of the local part; the domain stays;
-* hex: secrets of 32 or more hexadecimal digits.
+* hex: secrets of 32 or more hexadecimal digits; those of decimal digits alone stay such.
 
 A value is a number below a*b, held as two halves (l below a, r below b). In each
 round a keyed hash of one half is added to the other, modulo its size: a
@@ -20,28 +26,40 @@ permutation of the format's values. The permutation depends on the key and the k
 only, so equal values get equal pseudonyms in all documents, whatever their
 separators, and different values different ones.
 
+The plan holds a digest of the key, not the key, and the session's ``spark.sql.redaction.string.regex``
+is widened to hide that digest, too, where plans are explained.
+
 Everything is a built-in SQL expression. ``let`` binds a part of an expression
 to a name, so that each is worked out once for a value.
 
 Defined results: a null text stays null with no finds; null ids and repeated rows
 pass through, one row out for each row in; values that fail their check stay
-as they are; other columns are ignored here.
+as they are (with whatever else might stand inside); other columns are ignored here.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 10
-KINDS = ("email", "ip", "hex", "phone", "ssn", "date", "card")
+KINDS = ("email", "ip", "ip6", "hex", "iban", "phone", "ssn", "date", "card")
+#: What marks the digest of a key in a plan, for redaction.
+KEY_MARK = "pseudonym-key-"
+REDACTION = "spark.sql.redaction.string.regex"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: What each kind looks like. Quantifiers before a required mark don't backtrack, so long runs cost linear time.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])",
+    "ip6": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[A-Fa-f:]{0,34}[0-9])(?:[0-9A-Fa-f]{1,4}:){1,6}"
+           r"(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "hex": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9])\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?![0-9])",
+    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9])\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?![0-9])"
+             r"|(?<![0-9+.-])(?:\([2-9]\d\d\) ?|[2-9]\d\d[.-])[2-9]\d\d[.-]\d{4}(?![0-9-])",
     "ssn": r"(?<![0-9-])\d{3}-\d{2}-\d{4}(?![0-9-])",
     "date": r"(?<![0-9])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![0-9])",
     "card": r"(?<![0-9])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![0-9])",
@@ -49,7 +67,8 @@ PATTERNS = {
 ANY = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS)
 #: The forms of a whole match, to tell kinds apart without the context.
 FORMS = {
-    "email": "@", "ip": rf"^{_OCTET}(?:\\.{_OCTET}){{3}}$", "phone": r"^\\+", "ssn": r"^\\d{3}-\\d{2}-\\d{4}$",
+    "email": "@", "ip": rf"^{_OCTET}(?:\\.{_OCTET}){{3}}$", "ip6": ":", "iban": r"^[A-Z]{2}\\d{2}[0-9A-Z ]{8,}$",
+    "phone": r"^\\+|^\\(?\\d{3}[).-] ?\\d{3}[.-]\\d{4}$", "ssn": r"^\\d{3}-\\d{2}-\\d{4}$",
     "date": r"^(?:\\d{4}-\\d{2}-\\d{2}|\\d{2}/\\d{2}/\\d{4}|\\d{2}[.]\\d{2}[.]\\d{4})$", "hex": "^[0-9A-Fa-f]{32,}$",
 }
 FORMS["ip"] = FORMS["ip"].replace(r"\d", r"\\d")
@@ -126,7 +145,30 @@ def _replacement(kind: str, key: str) -> str:
         return let("_v", feistel(number, "65536", "65536", "'ip'", key), f"concat_ws('.', {parts})")
     if kind == "hex":
         moved = permuted("lower(m)", HEX, "hex", key)
-        return f"if(m rlike '[A-F]', upper({moved}), {moved})"
+        return f"CASE WHEN NOT m rlike '[A-Fa-f]' THEN {permuted('m', DIGITS, 'hex-d', key)} WHEN m rlike '[A-F]' THEN upper({moved}) ELSE {moved} END"
+    if kind == "ip6":
+        # the groups that "::" stands for, then all eight with their zeros
+        groups = lambda part: f"filter(split({part}, ':'), _g -> _g <> '')"
+        left, right = groups("split_part(lower(m), '::', 1)"), groups("split_part(lower(m), '::', 2)")
+        zeros = "array_repeat('0', 8 - size(_l) - size(_r))"
+        digits = f"array_join(transform(concat(_l, {zeros}, _r), _g -> lpad(_g, 4, '0')), '')"
+        written = "array_join(transform(sequence(0, 7), _p -> regexp_replace(substr(_v, _p * 4 + 1, 4), '^0{1,3}', '')), ':')"
+        fits = "size(_l) + size(_r) <= if(m LIKE '%::%', 7, 8)"
+        moved = let("_v", permuted(digits, HEX, "ip6", key), f"if(m rlike '[A-F]', upper({written}), {written})")
+        return let("_l", left, let("_r", right, f"if({fits}, {moved}, NULL)"))
+    if kind == "iban":
+        # both as one number: letters count from 10, country and check digits last
+        rest = lambda text: (f"aggregate(split({text}, ''), 0, (_t, _d) -> if(_d rlike '[0-9]', "
+                             "_t * 10 + CAST(_d AS INT), _t * 100 + ascii(_d) - 55) % 97)")
+        digits_of, letters_of = _only("0-9", "_b"), f"lower({_only('A-Z', '_b')})"
+        moved = refilled("_b", permuted(digits_of, DIGITS, "iban-d", key), permuted(letters_of, LETTERS, "iban-l", key))
+        unchecked = "concat(_u, left(_z, 2), '00')"
+        check = f"lpad(CAST(98 - {rest(unchecked)} AS STRING), 2, '0')"
+        whole = f"concat(left(_z, 2), {check}, _u)"
+        back = let("_q", whole, refilled("m", _only("0-9", "_q"), f"lower({_only('A-Z', '_q')})"))
+        valid = f"length(_z) BETWEEN 15 AND 34 AND {rest('concat(substr(_z, 5), left(_z, 4))')} = 1"
+        inner = let("_b", "substr(_z, 5)", let("_u", moved, back))
+        return let("_z", "replace(m, ' ', '')", f"if({valid}, {inner}, NULL)")
     if kind == "phone":
         # the country code is what stands before the last ten digits
         return let("_z", digits, refilled("m", f"concat(substr(_z, 1, length(_z) - 10), {permuted('right(_z, 10)', DIGITS, 'phone', key)})"))
@@ -151,14 +193,27 @@ def _replacement(kind: str, key: str) -> str:
     return let("_z", digits, refilled("m", let("_y", moved, f"concat(_y, {check})")))
 
 
-def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _hidden(spark: SparkSession, key: str) -> str:
+    """What stands for a key in plans; explained plans don't show it."""
+    pattern = f"{KEY_MARK}[0-9a-f]{{64}}"
+    before = spark.conf.get(REDACTION, None)
+    if pattern not in (before or ""):
+        spark.conf.set(REDACTION, f"{before}|{pattern}" if before else pattern)
+    return KEY_MARK + hashlib.sha256(key.encode()).hexdigest()
+
+
+def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text",
+                 accounts: bool = False) -> DataFrame:
     """``(id, text, n_replaced, kinds)``: the text with pseudonyms, how many, and
-    the kind of each in order of occurrence."""
+    the kind of each in order of occurrence. ``accounts`` also replaces numbers of 13 to 19 digits that
+    nothing validates."""
     if not key or not key.isalnum():
         raise ValueError("the key is a string of letters and digits")
-    number = let("_z", _only("0-9", "m"), f"if({luhn_sum('_z', 0)} % 10 = 0, 'card', 'account')")
+    key = _hidden(docs.sparkSession, key)
+    number = let("_z", _only("0-9", "m"), f"if({luhn_sum('_z', 0)} % 10 = 0, 'card', '{'account' if accounts else 'number'}')")
     kind = "CASE " + " ".join(f"WHEN m rlike '{FORMS[k]}' THEN '{k}'" for k in FORMS) + f" ELSE {number} END"
-    new = "CASE _k " + " ".join(f"WHEN '{k}' THEN {_replacement(k, key)}" for k in FORMS) + f" ELSE {_replacement('card', key)} END"
+    new = ("CASE _k " + " ".join(f"WHEN '{k}' THEN {_replacement(k, key)}" for k in FORMS)
+           + f" WHEN 'number' THEN NULL ELSE {_replacement('card', key)} END")
     replaced = f"transform(_m, m -> {let('_k', kind, f'named_struct({chr(39)}kind{chr(39)}, _k, {chr(39)}old{chr(39)}, m, {chr(39)}new{chr(39)}, {new})')})"
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
     # texts without a digit or an @ hold nothing and skip the search

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import ipaddress
 import re
 
 import pytest
@@ -12,12 +13,13 @@ from reelstar.llm import pii
 KEY = "k1"
 
 
-def run(documents, texts, key=KEY):
-    rows = pii.pseudonymise(documents(texts), key).orderBy("doc_id").collect()
+def run(documents, texts, key=KEY, accounts=True):
+    rows = pii.pseudonymise(documents(texts), key, accounts=accounts).orderBy("doc_id").collect()
     return [(r.text, r.n_replaced, r.kinds) for r in rows]
 
 
 def slow_feistel(x, a, b, tweak, key=KEY):
+    key = "pseudonym-key-" + hashlib.sha256(key.encode()).hexdigest()
     left, right = divmod(x, b)
     for i in range(1, pii.ROUNDS + 1):
         half = right if i % 2 else left
@@ -29,6 +31,33 @@ def slow_feistel(x, a, b, tweak, key=KEY):
     return left * b + right
 
 
+def slow_permuted(text, alphabet, kind):
+    """A string permuted among all of its length and alphabet."""
+    out, size, k = "", pii.CHUNK[alphabet], len(alphabet)
+    for j in range(-(-len(text) // size)):
+        c = text[j * size:(j + 1) * size]
+        v = 0
+        for d in c:
+            v = v * k + alphabet.index(d)
+        v = slow_feistel(v, k ** (len(c) // 2), k ** (len(c) - len(c) // 2), f"{kind},{j},{len(text)}")
+        back = ""
+        for _ in c:
+            back, v = alphabet[v % k] + back, v // k
+        out += back
+    return out
+
+
+def slow_iban(text):
+    """An account number by its parts; also whether check digits agree."""
+    plain = text.replace(" ", "")
+    number = lambda t: int("".join(str(int(c, 36)) for c in t))
+    d = iter(slow_permuted("".join(c for c in plain[4:] if c.isdigit()), pii.DIGITS, "iban-d"))
+    a = iter(slow_permuted("".join(c for c in plain[4:] if c.isalpha()).lower(), pii.LETTERS, "iban-l").upper())
+    body = "".join(next(d) if c.isdigit() else next(a) for c in plain[4:])
+    new = iter(f"{plain[:2]}{98 - number(body + plain[:2] + '00') % 97:02d}{body}")
+    return "".join(c if c == " " else next(new) for c in text), number(plain[4:] + plain[:4]) % 97 == 1
+
+
 def luhn(digits):
     return sum((d * 2 - 9 * (d > 4)) if i % 2 else d for i, d in enumerate(map(int, reversed(digits)))) % 10
 
@@ -81,7 +110,57 @@ def test_accounts_keep_their_remainder(documents):
         assert (n, kinds) == (1, ["card" if luhn(before) == 0 else "account"])
 
 
-@pytest.mark.parametrize("text", ["", None, "nothing", "4.0. 1.2.3 256.1.1.1 1.2.3.4.5", "2003-02-29 2101-01-01 1899-12-31 13/13/2000",
+def test_unvalidated_numbers_only_on_demand(documents):
+    stamp, card = "1699999999999", "4111111111111111"
+    (same, n, kinds), (moved, _, found) = run(documents, [stamp, card], accounts=False)
+    assert (same, n, kinds) == (stamp, 0, []) and moved != card and luhn(moved) == 0 and found == ["card"]
+    assert run(documents, [stamp])[0][2] == ["account"]
+
+
+def test_every_kind_against_plain_code(documents):
+    ten = "4155552671"
+    moved = slow_permuted(ten, pii.DIGITS, "phone")
+    card = "411111111111111"
+    body = slow_permuted(card, pii.DIGITS, "card")
+    last = next(d for d in "0123456789" if luhn(body + d) == 0)
+    secret, decimal = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "12345678901234567890123456789012"
+    want = {
+        "(415) 555-2671": (f"({moved[:3]}) {moved[3:6]}-{moved[6:]}", "phone"),
+        "415-555-2671": (f"{moved[:3]}-{moved[3:6]}-{moved[6:]}", "phone"),
+        "415.555.2671": (f"{moved[:3]}.{moved[3:6]}.{moved[6:]}", "phone"),
+        "+1 415 555 2671": (f"+1 {moved[:3]} {moved[3:6]} {moved[6:]}", "phone"),
+        card + "1": (body + last, "card"),
+        secret: (slow_permuted(secret, pii.HEX, "hex"), "hex"),
+        secret.upper(): (slow_permuted(secret, pii.HEX, "hex").upper(), "hex"),
+        decimal: (slow_permuted(decimal, pii.DIGITS, "hex-d"), "hex"),
+        "Ab.9@x.org": (None, "email"),
+    }
+    for iban in ("DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO9386011117947"):
+        new, valid = slow_iban(iban)
+        assert valid and slow_iban(new)[1]
+        want[iban] = (new, "iban")
+    for address in ("2001:db8::8a2e:370:7334", "2001:0DB8:0:0:0:8A2E:370:7334", "fe80::1"):
+        full = "".join(f"{int(g, 16):04x}" for g in ipaddress.ip_address(address).exploded.split(":"))
+        moved6 = slow_permuted(full, pii.HEX, "ip6")
+        text = ":".join(f"{int(moved6[i:i + 4], 16):x}" for i in range(0, 32, 4))
+        want[address] = (text.upper() if "DB8" in address else text, "ip6")
+    local = slow_permuted("ab", pii.LETTERS, "email-l")
+    want["Ab.9@x.org"] = (f"{local[0].upper()}{local[1]}.{slow_permuted('9', pii.DIGITS, 'email-d')}@x.org", "email")
+    got = run(documents, list(want), accounts=False)
+    assert [(t, k) for t, _, k in got] == [(t, [k]) for t, k in want.values()]
+    assert len({ipaddress.ip_address(got[i][0].lower()) for i, k in enumerate(want) if "db8" in k.lower()}) == 1
+
+
+def test_plans_do_not_show_the_key(documents, capsys):
+    df = pii.pseudonymise(documents([TEXT]), "verysecretkey")
+    df.explain("extended")
+    shown = capsys.readouterr().out
+    assert "redacted" in shown and "verysecretkey" not in shown
+    assert hashlib.sha256(b"verysecretkey").hexdigest() not in shown
+
+
+@pytest.mark.parametrize("text", ["115-555-2671 (415) 155-2671 4155552671 415-555-26715", "DE88 3704 0044 0532 0130 00 XY12 ABCD",
+                                  "std::abc::x dead::beef 12:30:45 1:2:3:4:5:6:7 1::2::3 a::", "", None, "nothing", "4.0. 1.2.3 256.1.1.1 1.2.3.4.5", "2003-02-29 2101-01-01 1899-12-31 13/13/2000",
                                   "666-12-1234 900-11-1111 000-11-1111 123-00-1234", "a@b @ x@", "123456789012 12345678901234567890"])
 def test_left_alone(documents, text):
     assert run(documents, [text]) == [(text, 0, [])]
