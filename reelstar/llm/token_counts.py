@@ -9,7 +9,8 @@ known pair leave the batch with their number of surviving symbols.
 Merging all occurrences of the lowest pair together equals merging them one
 by one as long as no merge can create a pair of lower rank than itself, that
 is, each merge comes after those that make its parts. ``load_rules`` checks
-this and refuses other vocabularies.
+this and refuses other vocabularies, and those that normalise, cut or mark texts otherwise than by
+NFC and lower case, one pattern, and special tokens matched as they stand.
 
 Texts are cut at white space first, and each distinct chunk is counted once
 per Python worker: the vocabulary drops white space, so chunks don't interact.
@@ -66,6 +67,22 @@ def byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _refuse_unknown(path: str, spec: dict) -> None:
+    """Raise for a vocabulary whose texts are prepared in another way than here."""
+    steps = (spec.get("normalizer") or {}).get("normalizers") or [spec.get("normalizer") or {}]
+    # turning white space into blanks changes nothing: texts are cut there
+    blanks = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    if [n.get("type") for n in steps if n != blanks] != ["NFC", "Lowercase"]:
+        raise ValueError(f"{path}: texts are not normalised by NFC and lower case")
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    if ([c["type"] for c in cuts] != ["Split", "ByteLevel"] or "Regex" not in cuts[0]["pattern"] or not cuts[0]["invert"]
+            or cuts[0]["behavior"] != "Removed" or cuts[1]["add_prefix_space"] or cuts[1]["use_regex"]):
+        raise ValueError(f"{path}: texts are not cut by one pattern of what to keep")
+    for t in spec["added_tokens"]:
+        if t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] or _WHITE.search(t["content"]):
+            raise ValueError(f"{path}: special token {t['content']!r} is matched in a way not known here")
+
+
 class Rules:
     """Merge rules as sorted arrays, and the patterns that cut pre-tokens."""
 
@@ -100,10 +117,11 @@ class Rules:
         sym = byte_symbols()
         self.inner = np.array([vocab[sym[b]] for b in range(256)], np.int64)
         self.final = np.array([vocab[sym[b] + self.suffix] for b in range(256)], np.int64)
+        _refuse_unknown(path, spec)
         specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
-        cut = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces = regex.compile(cut["pattern"]["Regex"])
+        self.marks = {c[0] for c in specials}
+        self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         full = Tokenizer.from_file(path)
         self.normalizer, self.splitter = full.normalizer, full.pre_tokenizer
         self.bytes_of = {ord(c): b for b, c in sym.items()}
@@ -119,7 +137,7 @@ class Rules:
 
     def pre_tokens(self, chunk: str) -> tuple[list[str], int]:
         """The pre-tokens of a chunk and its number of special tokens."""
-        if self.special is None or "<" not in chunk:
+        if not any(m in chunk for m in self.marks):
             return self.cut(chunk), 0
         parts = self.special.split(chunk)
         return [p for s in parts[::2] for p in self.cut(s)], len(parts) // 2

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -44,6 +46,58 @@ def tables(spark):
     return rows, labels, docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
+def plain_ftrl(rows, alpha=1.0, beta=1.0, l1=0.3, l2=0.02):
+    """The updates one weight at a time, as published: z and n of each feature, weights worked out from them."""
+    z, n = {}, {}
+
+    def weight(i):
+        bound = 0.0 if i == "intercept" else l1
+        zi = z.get(i, 0.0)
+        if abs(zi) <= bound:
+            return 0.0
+        sign = 1.0 if zi > 0 else -1.0
+        return -(zi - sign * bound) / ((beta + math.sqrt(n.get(i, 0.0))) / alpha + l2)
+
+    for slots, y in rows:
+        x = {i: c * quality.SCALE / len(slots) for i, c in Counter(slots).items()} | {"intercept": 1.0}
+        w = {i: weight(i) for i in x}
+        p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items())))
+        for i, v in x.items():
+            g = (p - y) * v
+            z[i] = z.get(i, 0.0) + g - (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / alpha * w[i]
+            n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_updates_match_a_plain_loop():
+    rows, labels = corpus(150, seed=4)
+    texts = [t for _, t in rows] + ["", "the the the the", "Ä ß 漢字 !!! ?"]
+    slots, sizes = quality.features(texts)
+    cut = [s.tolist() for s in np.split(slots, np.cumsum(sizes)[:-1])]
+    ys = [q for _, q, _ in labels] + [1, 0, 1]
+    model = quality.Ftrl()
+    for own, y in zip(cut, ys, strict=True):
+        model.update(np.array(own, np.int64), y)
+    want = plain_ftrl(zip(cut, ys, strict=True))
+    last = 1 << quality.BITS
+    got = model.weight(np.arange(last + 1))
+    found = {int(i) if i < last else "intercept": got[i] for i in np.flatnonzero(got)}
+    assert len(want) > 20 and set(found) == set(want)
+    assert all(math.isclose(found[i], want[i], rel_tol=1e-9, abs_tol=1e-12) for i in want)
+
+
+def test_training_in_the_job_is_the_plain_loop_over_rows_in_hash_order(tables):
+    rows, labels, docs, table = tables
+    good = {i: q for i, q, _ in labels}
+    order = (docs.where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)
+             .orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", "text").collect())
+    cut = [(quality.features([r.text])[0].tolist(), good[r.doc_id]) for r in order]
+    want, model = plain_ftrl(cut), quality.fit(docs, table)
+    assert math.isclose(model.intercept, want.pop("intercept"), rel_tol=1e-9)
+    assert model.slots.tolist() == sorted(want)
+    assert np.allclose(model.weights, [want[i] for i in sorted(want)], rtol=1e-9)
+
+
 def test_quality_on_held_out_rows(tables, documents):
     rows, labels, docs, table = tables
     model = quality.fit(docs, table)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import zlib
 
@@ -59,6 +60,25 @@ def test_counter_forgets_and_goes_on(monkeypatch, library):
             assert counter([t])[0] == len(library.encode(t or "", add_special_tokens=False).ids)
 
 
+def test_other_ways_with_texts_are_refused(tmp_path):
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    special = spec["added_tokens"][0]
+    path = tmp_path / "changed.json"
+    for change, why in (({"normalizer": None}, "normalised"), ({"normalizer": {"type": "NFC"}}, "normalised"),
+                        ({"pre_tokenizer": {"type": "Whitespace"}}, "cut"),
+                        ({"added_tokens": [{**special, "normalized": True}]}, "special"),
+                        ({"added_tokens": [{**special, "content": "two words"}]}, "special")):
+        path.write_text(json.dumps({**spec, **change}))
+        with pytest.raises(ValueError, match=why):
+            token_counts.Rules(str(path))
+    # special tokens of any shape are read from the file
+    path.write_text(json.dumps({**spec, "added_tokens": [{**t, "content": c} for t, c in zip(spec["added_tokens"], ("[x]", "ab#"))]}))
+    rules, library = token_counts.Rules(str(path)), Tokenizer.from_file(str(path))
+    texts = ["a [x] b[x]c ab# ab#[x]", "<|endoftext|>", "[x", "AB#"]
+    assert token_counts.Counter(rules)(texts).tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_files_round_trip(spark, documents, library, tmp_path):
     ship_package(spark)
     rows = list(enumerate(texts(2, 100)))
