@@ -5,10 +5,11 @@ overlapping windows of twice ``HALF`` words and their halves. Both are TF-IDF ve
 of the items; document frequencies are counted over all documents, and words
 in more than ``COMMON`` of them are left out, but for the ``KEPT`` rarest of each
 passage (a passage that leaked into many documents has no rarer ones). A
-randomised singular value decomposition, fitted on the items and at most
-``SAMPLE`` windows, gives the latent space: each round multiplies the sample, kept
-in a shared table, by a block of vectors in parallel and adds up the
-products. Every window of every document is then searched. The final check is over the
+randomised singular value decomposition, fitted on the items and all windows of all documents,
+gives the latent space. All it needs of the windows is how heavily each two words stand in
+one of them: these sums are taken over every window, put together by Spark and kept in a
+shared table, which the words of the items bound whatever the number of documents. Each round multiplies it
+by a block of vectors in parallel. Every window of every document is then searched. The final check is over the
 region of a window (four halves), so a passage is left out for a region that holds too
 little weight in its words for any common subsequence to pass (an exact consequence
 of the check, summed up by an inverted index of the passages' words). For the rest, all
@@ -48,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from reelstar.llm import bytewords
-from reelstar.llm.common import durable, ragged_gather, small_batches
+from reelstar.llm.common import arrow_batches, durable, ragged_gather, small_batches
 
 ITEMS = 500
 PASSAGE = 60
@@ -56,9 +57,10 @@ HALF = 32
 RANK = 256
 OVERSAMPLE = 16
 ROUNDS = 2
-SAMPLE = 20_000
-#: Tasks that the sample is dealt to; as many partial products come together.
-SHARDS = 8
+#: Tasks that the sums are dealt to, by stripes of as many words; as many partial products come together.
+SHARDS, STRIPE = 8, 128
+#: Sums are whole numbers of this part of a weight, so no order of adding changes them.
+UNIT = 2.0 ** -30
 COSINE = 0.25
 #: Share of documents beyond which a word tells nothing, and the words of a passage that count in any case.
 COMMON, KEPT = 0.02, 10
@@ -70,7 +72,7 @@ ANSWER, ANSWER_SHARE = 5, 0.4
 TIGHT, SHORT, LEAST = 12, 4, 2
 #: Slack for sums in another order.
 EPS = 1e-9
-#: Windows projected at a time, and entries of the inverted index added up at a time.
+#: Windows projected at a time, and entries of the inverted index (or pairs of words) added up at a time.
 GROUP, LISTED = 2_000, 1_000_000
 
 def words(text: str | None) -> list[str]:
@@ -157,63 +159,139 @@ def _frequencies(docs: DataFrame, vocabulary: list[str]) -> tuple[int, np.ndarra
     return n, df
 
 
-def _sample(docs: DataFrame, n_docs: int, lookup: bytewords.Lookup, idf: np.ndarray, limit: int) -> DataFrame:
-    """Windows of documents chosen by a hash of their text, as sparse vectors: the
-    ``limit`` least by the hash of (text, place), whatever the order of rows."""
-    share = max(1, n_docs // max(1, limit // 8))             # about eight windows a document
+def window_vectors(ids: np.ndarray, sizes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The windows of a block of texts that hold a word of the vocabulary: text and first word of
+    each, where its words begin, and the words, ascending, with the weights of its unit vector."""
+    halves = np.maximum(-(-sizes // HALF), 1)
+    first = np.cumsum(halves) - halves
+    start = np.cumsum(sizes) - sizes
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    known = np.flatnonzero(ids >= 0)
+    text, term = own[known], ids[known]
+    half = first[text] + (known - start[text]) // HALF
+    # a window is two halves that follow each other in one text, or a text's only one
+    here = (half < (first + halves - 1)[text]) | (halves[text] == 1)
+    before = half > first[text]
+    cell, count = np.unique(np.r_[half[here], half[before] - 1] * len(idf) + np.r_[term[here], term[before]],
+                            return_counts=True)
+    window, term = cell // len(idf), cell % len(idf)
+    at = np.flatnonzero(np.r_[True, window[1:] != window[:-1]][:len(window)])
+    weight = (1 + np.log(count)) * idf[term]
+    if len(at):
+        weight /= np.repeat(np.sqrt(np.add.reduceat(weight * weight, at)), np.diff(np.r_[at, len(window)]))
+    text = np.repeat(np.arange(len(sizes)), halves)[window[at]]
+    return text, (window[at] - first[text]) * HALF, np.r_[at, len(window)], term, weight
+
+
+def _windows(docs: DataFrame, lookup: bytewords.Lookup, idf: np.ndarray) -> DataFrame:
+    """All windows as sparse unit vectors, with a hash of their text and their place in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
             hashed = batch.column(1).to_numpy()
-            for first, _, data, offsets in bytewords.texts(batch.column(0)):
-                ids, sizes = ids_of(data, offsets, lookup)
-                for k, own in enumerate(np.split(ids, np.cumsum(sizes)[:-1])):
-                    for s in range(0, max(1, len(own) - HALF), HALF):
-                        at, w = tfidf(own[s:s + 2 * HALF], idf)
-                        if len(at):
-                            out.append((hashed[first + k], s, at, w / np.sqrt(w @ w)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out]) for i in range(4)],
-                                                 ["text", "place", "terms", "weights"])
-
-    chosen = docs.select("_t", F.xxhash64("_t").alias("_h")).filter(F.pmod("_h", F.lit(share)) == 0)
-    windows = chosen.mapInArrow(run, "text long, place long, terms array<long>, weights array<double>")
+            for a, _, data, offsets in bytewords.texts(batch.column(0)):
+                text, place, at, term, weight = window_vectors(*ids_of(data, offsets, lookup), idf)
+                at = pa.array(at, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashed[a + text]), pa.array(place), pa.ListArray.from_arrays(at, pa.array(term)),
+                     pa.ListArray.from_arrays(at, pa.array(weight))], ["text", "place", "terms", "weights"])
+
+    return (docs.select("_t", F.xxhash64("_t").alias("_h"))
+            .mapInArrow(run, "text long, place long, terms array<long>, weights array<double>"))
+
+
+def _sample(docs: DataFrame, n_docs: int, lookup: bytewords.Lookup, idf: np.ndarray, limit: int) -> DataFrame:
+    """For a look at windows; nothing is fitted on it. The ``limit`` least by the hash of (text, place),
+    whatever the order of rows, out of documents chosen by a hash of their text."""
+    share = max(1, n_docs // max(1, limit // 8))             # about eight windows a document
+    windows = _windows(docs.filter(F.pmod(F.xxhash64("_t"), F.lit(share)) == 0), lookup, idf)
     # equal texts have equal windows; the tie between them leaves no trace
     least = windows.orderBy(F.xxhash64("text", "place"), "text", "place").limit(limit)
     return durable(least.select("terms", "weights").repartition(SHARDS), "windows")
 
 
-def _product(sample: DataFrame, block: np.ndarray) -> np.ndarray:
-    """A'(A block), A being the sample's windows; a partial sum from each task."""
-    shared = sample.sparkSession.sparkContext.broadcast(block)
+def _pairs(size: int, at: np.ndarray, term: np.ndarray, weight: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of words of one window, as ``a * size + b`` with a up to b, and the sums of the products of their
+    weights in ``UNIT``s; about ``LISTED`` pairs at a time."""
+    lens = np.repeat(at[1:], np.diff(at)) - np.arange(len(term))
+    total = np.cumsum(lens)
+    begin = 0
+    while begin < len(term):
+        stop = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + LISTED, "right")))
+        one = np.repeat(np.arange(begin, stop), lens[begin:stop])
+        two = ragged_gather(np.arange(len(term)), np.arange(begin, stop), lens[begin:stop])
+        yield _summed(term[one] * size + term[two], np.rint(weight[one] * weight[two] / UNIT).astype(np.int64))
+        begin = stop
+
+
+def together(docs: DataFrame, lookup: bytewords.Lookup, idf: np.ndarray) -> DataFrame:
+    """``(a, b, weight)``: for each two words (a up to b) the sum over all windows of all
+    documents of the product of their weights, in ``UNIT``s; the upper half of A'A, A being the windows."""
+    size = len(idf)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(key // size), pa.array(key % size), pa.array(weight)],
+                                              ["a", "b", "weight"])
+
+        key, weight = none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            for _, _, data, offsets in bytewords.texts(batch.column(0)):
+                _, _, at, term, weights = window_vectors(*ids_of(data, offsets, lookup), idf)
+                parts = list(_pairs(size, at, term, weights))
+                key, weight = _summed(np.concatenate([key, *(k for k, _ in parts)]),
+                                      np.concatenate([weight, *(w for _, w in parts)]))
+                if len(key) > LISTED:
+                    yield out()
+                    key, weight = none
+        yield out()
+
+    sums = (docs.select("_t").mapInArrow(run, "a long, b long, weight long").groupBy("a", "b")
+            .agg(F.sum("weight").alias("weight")))
+    # a stripe of words lies in one task
+    return durable(sums.repartition(SHARDS, F.floor(F.col("a") / STRIPE)).sortWithinPartitions("a", "b"), "together")
+
+
+def _product(sums: DataFrame, block: np.ndarray) -> np.ndarray:
+    """A'(A block), A being the windows whose sums are given; a partial sum from each task."""
+    shared = sums.sparkSession.sparkContext.broadcast(block)
     width = block.shape[1]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = shared.value
         total = np.zeros_like(x)
-        for pdf in batches:
-            for t, w in zip(pdf["terms"], pdf["weights"], strict=True):
-                total[t] += np.outer(w, w @ x[t])
-        yield pd.DataFrame({"part": [total.tobytes()]})
+        for batch in batches:
+            a, b, weight = (c.to_numpy() for c in batch.columns)
+            for stripe in np.unique(a // STRIPE):
+                some = a // STRIPE == stripe
+                low = int(stripe) * STRIPE
+                rows = np.zeros((min(STRIPE, len(x) - low), len(x)))
+                # both halves hold the diagonal
+                rows[a[some] - low, b[some]] = weight[some] * UNIT * np.where(a[some] == b[some], 0.5, 1.0)
+                total[low:low + STRIPE] += rows @ x
+                total += rows.T @ x[low:low + STRIPE]
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
 
     total = np.zeros_like(block)
-    for r in sample.coalesce(SHARDS).mapInPandas(run, "part binary").toLocalIterator():
-        total += np.frombuffer(bytes(r.part)).reshape(-1, width)
+    with arrow_batches(sums.sparkSession, LISTED):
+        for r in sums.coalesce(SHARDS).mapInArrow(run, "part binary").toLocalIterator():
+            total += np.frombuffer(bytes(r.part)).reshape(-1, width)
     return total
 
 
-def latent_basis(sample: DataFrame, own: np.ndarray, rank: int = RANK, rounds: int = ROUNDS, seed: int = 7) -> np.ndarray:
-    """Right singular vectors of the sample's windows over the passages' vectors
-    (rows of ``own``). The passages together weigh as much as the sample, so
+def latent_basis(sums: DataFrame, own: np.ndarray, rank: int = RANK, rounds: int = ROUNDS, seed: int = 7) -> np.ndarray:
+    """Right singular vectors of all documents' windows (by ``together``) over the passages' vectors
+    (rows of ``own``). The passages together weigh as much as the windows, so
     that the space holds what tells them apart."""
     n_terms = own.shape[1]
-    own = own * np.sqrt(max(1, sample.count()) / len(own))
+    # a window's vector has length one, so the diagonal adds up to the number of windows
+    n_windows = round((sums.filter("a = b").agg(F.sum(F.col("weight") * F.lit(UNIT))).first()[0] or 0.0))
+    own = own * np.sqrt(max(1, n_windows) / len(own))
     width = min(rank + OVERSAMPLE, n_terms)
     q = np.random.default_rng(seed).standard_normal((n_terms, width))
     for _ in range(rounds):
-        q, _ = np.linalg.qr(_product(sample, q) + own.T @ (own @ q))
-    small = q.T @ (_product(sample, q) + own.T @ (own @ q))
+        q, _ = np.linalg.qr(_product(sums, q) + own.T @ (own @ q))
+    small = q.T @ (_product(sums, q) + own.T @ (own @ q))
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     return q @ vectors[:, np.argsort(-values)[:min(rank, width)]]
 
@@ -252,7 +330,7 @@ def in_rows(p: Passages, ids: np.ndarray, own: np.ndarray) -> list[tuple[int, in
     return out
 
 
-def fit(docs: DataFrame, items: list[tuple[object, str]], rank: int = RANK, sample: int = SAMPLE) -> Passages | None:
+def fit(docs: DataFrame, items: list[tuple[object, str]], rank: int = RANK) -> Passages | None:
     """The passages of a block of items in the latent space; ``docs`` has texts in ``_t``."""
     parts = [(i, p) for i, t in items if len(found := words(t)) >= LEAST for p in cut(found)]
     if not parts:
@@ -271,7 +349,7 @@ def fit(docs: DataFrame, items: list[tuple[object, str]], rank: int = RANK, samp
     for row, x in zip(own, ids, strict=True):
         at, w = tfidf(x, idf)
         row[at] = w / np.sqrt(w @ w)
-    basis = latent_basis(_sample(docs, n, lookup, idf, sample), own, rank)
+    basis = latent_basis(together(docs, lookup, idf), own, rank)
     latent = own @ basis
     latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)).astype(np.float32)
     weights = [{int(t): float(c * idf[t]) for t, c in zip(*np.unique(x, return_counts=True), strict=True)} for x in ids]

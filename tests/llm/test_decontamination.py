@@ -237,3 +237,43 @@ def test_sample_does_not_depend_on_the_order_of_rows(spark):
         return sorted(str(r) for r in decontamination._sample(df, 60, lookup, np.ones(200), 40).collect())
 
     assert sample(texts) == sample(texts[::-1]) and 20 <= len(sample(texts)) <= 40
+
+
+def test_the_latent_space_is_fitted_on_every_window(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "LISTED", 50)       # sums are handed on in many parts
+    rnd = random.Random(9)
+    size, half = 300, decontamination.HALF
+    texts = [" ".join(f"w{rnd.randrange(size + 40)}" for _ in range(n)) for n in (0, 1, 31, 32, 33, 64, 65, 200, 900)]
+    texts += [texts[-1], "", "nothing known"]
+    lookup = bytewords.Lookup([f"w{i}" for i in range(size)])
+    idf = np.array([rnd.uniform(0.1, 3) for _ in range(size)])
+    rows = []
+    for t in texts:
+        own = [int(w[1:]) if w[0] == "w" and int(w[1:]) < size else -1 for w in t.split()]
+        for s in range(0, max(1, len(own) - half), half):
+            at, w = decontamination.tfidf(np.array(own[s:s + 2 * half], np.int64), idf)
+            if len(at):
+                rows.append(np.zeros(size))
+                rows[-1][at] = w / np.sqrt(w @ w)
+    every = np.array(rows)
+    sums = decontamination.together(spark.createDataFrame([(t,) for t in texts], "_t string").repartition(5), lookup, idf)
+    got = np.zeros((size, size))
+    for r in sums.collect():
+        got[r.a, r.b] = r.weight * decontamination.UNIT
+    assert np.allclose(got, np.triu(every.T @ every), atol=1e-7)
+    block = np.random.default_rng(1).standard_normal((size, 7))
+    assert np.allclose(decontamination._product(sums, block), every.T @ (every @ block), atol=1e-5)
+    # however the rows are dealt, the sums are the same to the bit
+    again = decontamination.together(spark.createDataFrame([(t,) for t in texts[::-1]], "_t string").repartition(3), lookup, idf)
+    assert sorted(sums.collect()) == sorted(again.collect())
+
+
+def test_nothing_is_fitted_on_a_sample(spark, documents, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a sample of the windows")
+
+    monkeypatch.setattr(decontamination, "_sample", refuse)
+    texts = [" ".join(f"w{(7 * i + k) % 90}" for k in range(50)) for i in range(20)]
+    bench = spark.createDataFrame([(1, texts[3])], "item_id long, text string")
+    found = decontamination.contaminated(documents(texts), bench).collect()
+    assert (3, 1) in {(r.doc_id, r.item_id) for r in found}
