@@ -311,11 +311,25 @@ def vectors(docs: DataFrame, vocabulary: dict[str, int], id_col: str = "doc_id",
 
 
 def document_frequency(found: DataFrame, terms: int) -> tuple[int, np.ndarray]:
-    """Number of documents, and in how many each term occurs; all are read."""
-    df = np.zeros(terms, np.int64)
-    for r in found.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df")).collect():
-        df[r.t] = r.df
-    return found.count(), df
+    """Number of documents, and in how many each term occurs; all are read. A task
+    counts its own documents (-1 for all of them), and only its counts are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n = np.zeros(terms, np.int64), 0
+        for batch in batches:
+            n += batch.num_rows
+            df += np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False), minlength=terms)
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at]), pa.array(np.r_[n, df[at]])], ["term", "df"])
+
+    df, n = np.zeros(terms, np.int64), 0
+    for r in (found.select("terms").mapInArrow(run, "term long, df long").groupBy("term")
+              .agg(F.sum("df").alias("df")).collect()):
+        if r.term < 0:
+            n = r.df
+        else:
+            df[r.term] = r.df
+    return n, df
 
 
 def _learn(rows: DataFrame, vocabulary: dict[str, int], found: DataFrame, k: int) -> Model:

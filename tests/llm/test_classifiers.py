@@ -217,3 +217,16 @@ def test_isotonic_rises():
     x = rng.choice(np.linspace(0, 1, 11), 500)
     steps, values = toxicity.isotonic(x, (rng.random(500) < x).astype(float))
     assert (np.diff(steps) > 0).all() and (np.diff(values) >= -0.5).all() and 0 < values.min() and values.max() < 1
+
+
+def test_document_frequencies_are_counted_in_the_tasks(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a row for each term of each text")
+
+    monkeypatch.setattr(F, "explode", refuse)
+    rows = [(1, [0, 2, 4]), (2, [4]), (3, []), (None, [2, 4]), (2, [4])]
+    found = spark.createDataFrame(rows, "_id long, terms array<int>").repartition(3)
+    n, df = toxicity.document_frequency(found, 6)
+    assert n == 5 and df.tolist() == [1, 0, 2, 0, 4, 0]
+    n, df = toxicity.document_frequency(found.limit(0), 2)
+    assert n == 0 and df.tolist() == [0, 0]
