@@ -67,12 +67,16 @@ def _relative(path: Column, table: str) -> Column:
 
 
 def _folder(file: Column) -> Column:
-    return F.regexp_extract(file, "^(.*)/[^/]*$", 1)
+    name = F.substring_index(file, "/", -1)
+    return F.substring(file, F.lit(1), F.length(file) - F.length(name) - 1)
 
 
 def file_of(table: str) -> Column:
-    """File of a row below the table's folder. The reader's path is URL-encoded."""
-    return _relative(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), table)
+    """File of a row below the table's folder. The reader's path is URL-encoded; one without
+    an escape is taken as it is, for this is worked out for every row."""
+    path = F.col("_metadata.file_path")
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return _relative(F.when(path.contains("%"), decoded).otherwise(path), table)
 
 
 def list_files(spark: SparkSession, source_path: str, table: str, missing_ok: bool = False) -> DataFrame:

@@ -45,3 +45,31 @@ def test_typed_select_is_try_cast(spark):
     df = spark.createDataFrame([("1.5", "x"), ("oops", "y")], "a string, b string")
     out = typed_select(df, [("a", "num", "double"), ("b", "name", None)]).collect()
     assert [(r.num, r.name) for r in out] == [(1.5, "x"), (None, "y")]
+
+
+def test_event_time_is_what_the_pattern_reads(spark):
+    from pyspark.sql import functions as F
+
+    from reelstar.functions import EVENT_TIME_PATTERN, parse_event_time
+    good = "2024-03-01T01:30:00.123Z"
+    odd = [None, "", good, good[:-1], good + " ", " " + good[1:], good.lower(), "2024-02-30T01:30:00.123Z",
+           "2024-02-29T23:59:59.999Z", "2023-02-29T00:00:00.000Z", "2024-03-01T24:00:00.000Z", "2024-03-01T23:59:60.000Z",
+           "0000-01-01T00:00:00.000Z", "0001-01-01T00:00:00.000Z", "9999-12-31T23:59:59.999Z", "+202-03-01T01:30:00.123Z",
+           "-202-03-01T01:30:00.123Z", "+12024-03-01T01:30:00.123Z", "12024-03-01T01:30:00.123Z", "2024- 3-01T01:30:00.123Z",
+           "2024-03-01T 1:30:00.123Z", "2024-03-01T01:30:00.1 3Z", "2024-03-01T01:30:00.12ZZ", "2024-03-01 01:30:00.123Z",
+           "2024-03-01T01:30:00.1234Z", "2024-03-01T01:30:00Z", "2024-03-01T01:30:00.+12Z", "2024-03-01T01:30:+1.123Z", "2024-03-01T01:30:0Z.123Z", "2024-03-01T01:+1:00.123Z", "2024-03-01T-1:30:00.123Z",
+           "２024-03-01T01:30:00.123Z", "2024-03-31T02:30:00.123Z", "1800-01-01T00:00:00.001Z", "not-a-timestamp"]
+    df = spark.createDataFrame([(t,) for t in odd], "t string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Europe/Berlin"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = df.select("t", parse_event_time("t").cast("double").alias("a"),
+                            F.try_to_timestamp("t", F.lit(EVENT_TIME_PATTERN)).cast("double").alias("b")).collect()
+            assert [r for r in got if r.a != r.b] == []
+            assert sum(r.a is not None for r in got) >= 6
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    # the usual form doesn't wait for the pattern
+    plan = df.select(parse_event_time("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "coalesce" in plan and "as timestamp" in plan

@@ -327,3 +327,20 @@ def test_command_line_follows_the_landings(world):
     world.land([event("new", "2024-03-15")], D(2024, 3, 16))
     report = run_pipeline(world.spark, _config(args), now=RUN)
     assert report.touched == [D(2024, 3, 15)] and report.raw_rows["events"] == 1
+
+
+def test_files_and_units_of_rows_are_those_of_the_listing(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from reelstar.plans import ledger
+    for folder in ("ingest_date=2024-03-02/batch=b1", "ingest_date=2024-03-03/batch=a+b %41 ü", "ingest_date=2024-03-04/batch=c+d"):
+        (tmp_path / "events" / folder).mkdir(parents=True)
+        (tmp_path / "events" / folder / "part 1.json").write_text('{"event_key": "e1"}\n', encoding="utf-8")
+    listed = {(r.file, r.unit, r.landing) for r in ledger.list_files(spark, str(tmp_path), "events").collect()}
+    rows = ledger.read_files(spark, str(tmp_path), "events", sorted({f for _, _, f in listed}))
+    assert {(r.file, r.unit) for r in rows.collect()} == {(f, u) for f, u, _ in listed}
+    assert {f for _, _, f in listed} == {f.rsplit("/", 1)[0] for f, _, _ in listed}
+    one = spark.createDataFrame([("a/b/c.json",), ("c.json",), ("/x",), ("a//b",), (None,)], "f string")
+    assert [r[0] for r in one.select(ledger._folder(F.col("f"))).collect()] == ["a/b", "", "", "a/", None]
+    # no row waits for a regular expression
+    assert "regexp" not in rows._jdf.queryExecution().optimizedPlan().toString()
