@@ -9,7 +9,8 @@ randomised singular value decomposition, fitted on the items and all windows of
 gives the latent space. All it needs of the windows is how heavily each two words stand in
 one of them: these sums are taken over every window, put together by Spark and kept in a
 shared table, which the words of the items bound whatever the number of documents. Each round multiplies it
-by a block of vectors in parallel. Every window of every document is then searched. The final check is over the
+by a block of vectors; a task has whole rows of the product, so none reaches the driver twice.
+Every window of every document is then searched. The final check is over the
 region of a window (four halves), so a passage is left out for a region that holds too
 little weight in its words for any common subsequence to pass (an exact consequence
 of the check, summed up by an inverted index of the passages' words). For the rest, all
@@ -57,7 +58,7 @@ HALF = 32
 RANK = 256
 OVERSAMPLE = 16
 ROUNDS = 2
-#: Tasks that the sums are dealt to, by stripes of as many words; as many partial products come together.
+#: Tasks that the sums are dealt to, by stripes of as many words.
 SHARDS, STRIPE = 8, 128
 #: Sums are whole numbers of this part of a weight, so no order of adding changes them.
 UNIT = 2.0 ** -30
@@ -252,30 +253,47 @@ def together(docs: DataFrame, lookup: bytewords.Lookup, idf: np.ndarray) -> Data
     return durable(sums.repartition(SHARDS, F.floor(F.col("a") / STRIPE)).sortWithinPartitions("a", "b"), "together")
 
 
-def _product(sums: DataFrame, block: np.ndarray) -> np.ndarray:
-    """A'(A block), A being the windows whose sums are given; a partial sum from each task."""
+def both_halves(sums: DataFrame) -> DataFrame:
+    """The sums of ``together`` under (b, a) too, the words of a stripe again in one task."""
+    other = sums.filter("a != b").select(F.col("b").alias("a"), F.col("a").alias("b"), "weight")
+    return durable(sums.unionByName(other).repartition(SHARDS, F.floor(F.col("a") / STRIPE))
+                   .sortWithinPartitions("a", "b"), "halves")
+
+
+def _product(sums: DataFrame, block: np.ndarray, both: bool = False) -> np.ndarray:
+    """A'(A block), A being the windows whose sums are given (``both``: under (b, a) too). A task has all sums
+    of its stripes, so the driver gets each row of the product once, by stripes, and no partial products."""
+    rows = sums if both else both_halves(sums)
     shared = sums.sparkSession.sparkContext.broadcast(block)
-    width = block.shape[1]
+    size, width = block.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = shared.value
-        total = np.zeros_like(x)
+        at, part = -1, np.zeros((0, width))
         for batch in batches:
             a, b, weight = (c.to_numpy() for c in batch.columns)
-            for stripe in np.unique(a // STRIPE):
+            for stripe in np.unique(a // STRIPE).tolist():
                 some = a // STRIPE == stripe
-                low = int(stripe) * STRIPE
-                rows = np.zeros((min(STRIPE, len(x) - low), len(x)))
-                # both halves hold the diagonal
-                rows[a[some] - low, b[some]] = weight[some] * UNIT * np.where(a[some] == b[some], 0.5, 1.0)
-                total[low:low + STRIPE] += rows @ x
-                total += rows.T @ x[low:low + STRIPE]
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
+                low = stripe * STRIPE
+                dense = np.zeros((min(STRIPE, size - low), size))
+                dense[a[some] - low, b[some]] = weight[some] * UNIT
+                if stripe != at:
+                    if at >= 0:
+                        yield out(at, part)
+                    at, part = stripe, np.zeros((len(dense), width))
+                part += dense @ x
+        if at >= 0:
+            yield out(at, part)
+
+    def out(stripe: int, part: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([stripe]), pa.array([part.tobytes()], pa.binary())], ["stripe", "part"])
 
     total = np.zeros_like(block)
     with arrow_batches(sums.sparkSession, LISTED):
-        for r in sums.coalesce(SHARDS).mapInArrow(run, "part binary").toLocalIterator():
-            total += np.frombuffer(bytes(r.part)).reshape(-1, width)
+        for r in rows.coalesce(SHARDS).mapInArrow(run, "stripe long, part binary").toLocalIterator():
+            part = np.frombuffer(r.part).reshape(-1, width)
+            total[r.stripe * STRIPE:r.stripe * STRIPE + len(part)] += part
+    shared.destroy()                                          # else the driver keeps every round's block
     return total
 
 
@@ -286,12 +304,19 @@ def latent_basis(sums: DataFrame, own: np.ndarray, rank: int = RANK, rounds: int
     n_terms = own.shape[1]
     # a window's vector has length one, so the diagonal adds up to the number of windows
     n_windows = round((sums.filter("a = b").agg(F.sum(F.col("weight") * F.lit(UNIT))).first()[0] or 0.0))
-    own = own * np.sqrt(max(1, n_windows) / len(own))
+    share = max(1, n_windows) / len(own)
     width = min(rank + OVERSAMPLE, n_terms)
+    rows = both_halves(sums)
+
+    def multiplied(q: np.ndarray) -> np.ndarray:
+        total = _product(rows, q, both=True)
+        total += own.T @ (share * (own @ q))
+        return total
+
     q = np.random.default_rng(seed).standard_normal((n_terms, width))
     for _ in range(rounds):
-        q, _ = np.linalg.qr(_product(sums, q) + own.T @ (own @ q))
-    small = q.T @ (_product(sums, q) + own.T @ (own @ q))
+        q = np.linalg.qr(multiplied(q))[0]
+    small = q.T @ multiplied(q)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     return q @ vectors[:, np.argsort(-values)[:min(rank, width)]]
 

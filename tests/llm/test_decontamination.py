@@ -268,6 +268,39 @@ def test_the_latent_space_is_fitted_on_every_window(spark, monkeypatch):
     assert sorted(sums.collect()) == sorted(again.collect())
 
 
+def test_the_driver_gets_each_row_of_a_product_once(spark, monkeypatch):
+    rnd = random.Random(12)
+    size, rank = 3 * decontamination.STRIPE + 16, 8
+    width = rank + decontamination.OVERSAMPLE
+    texts = [" ".join(f"w{rnd.randrange(size)}" for _ in range(200)) for _ in range(30)]
+    lookup = bytewords.Lookup([f"w{i}" for i in range(size)])
+    sums = decontamination.together(spark.createDataFrame([(t,) for t in texts], "_t string"), lookup, np.ones(size))
+    upper = np.zeros((size, size))
+    for r in sums.collect():
+        upper[r.a, r.b] = r.weight * decontamination.UNIT
+    every = upper + upper.T - np.diag(np.diag(upper))
+    own = np.random.default_rng(2).random((20, size))
+    own /= np.linalg.norm(own, axis=1, keepdims=True)
+    got, plain = [], type(sums).toLocalIterator
+
+    def counted(self, *args, **options):
+        for r in plain(self, *args, **options):
+            got.append(len(r.part))
+            yield r
+
+    monkeypatch.setattr(type(sums), "toLocalIterator", counted)
+    basis = decontamination.latent_basis(sums, own, rank)
+    assert sum(got) == (decontamination.ROUNDS + 1) * size * width * 8
+    assert max(got) <= decontamination.STRIPE * width * 8
+    whole = every + own.T @ own * round(np.trace(every)) / len(own)
+    q = np.random.default_rng(7).standard_normal((size, width))
+    for _ in range(decontamination.ROUNDS):
+        q = np.linalg.qr(whole @ q)[0]
+    values, vectors = np.linalg.eigh(q.T @ whole @ q)
+    want = q @ vectors[:, np.argsort(-values)[:rank]]
+    assert np.allclose(basis @ basis.T, want @ want.T, atol=1e-6)
+
+
 def test_nothing_is_fitted_on_a_sample(spark, documents, monkeypatch):
     def refuse(*_):
         raise AssertionError("a sample of the windows")
